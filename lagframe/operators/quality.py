@@ -52,8 +52,8 @@ def profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
         F.lit(types[c].simpleString()).alias("data_type"),
         F.col(f"_a{i}").alias("n_missing"), F.col(f"_b{i}").alias("n_missing_numeric"),
         F.col(f"_m{i}").alias("mean")) for i, c in enumerate(cols)])
-    n = F.col("_n")
-    return (one.select(n.alias("n_rows"), F.inline(entries))
+    n = F.col("n_rows")
+    return (one.select(F.col("_n").alias("n_rows"), F.inline(entries))
             .select("position", "column_name", "data_type", "n_rows", "n_missing",
                     "n_missing_numeric",
                     F.try_divide(F.col("n_missing").cast("double"), n.cast("double")).alias("missing_share"),
