@@ -5,22 +5,20 @@ Each leg is matched with the observations taken exactly ``h`` hours
 its local arrival, at the destination.
 
 Plan. Instead of exploding every leg into ``max_lag + 1`` rows and
-shuffling that 12x table through two joins, the *observations* are
-shifted forward by each lag and grouped by (airport, instant): every
-group holds the hits a leg departing (or arriving) at that airport and
-instant would see, at most ``max_lag + 1`` times the observations of one
-station-instant. Legs then take two equi-joins at their own size (AQE
-picks broadcast or sort-merge), and the long rows are generated last,
-inside the same stage, without another shuffle. The keys (airport,
-instant) spread a hub airport over time, so no single key concentrates
-the legs.
+shuffling that 12x table through two joins, the join is a bucketed band
+join: observations are indexed by (airport, second-of-hour phase,
+(max_lag + 1)-hour window), each copied into two windows, and legs take
+two equi-joins on those keys at their own size (AQE picks broadcast or
+sort-merge). The lag rows are generated last, by map lookups and
+generators inside the same stage, without another shuffle. The keys
+spread a hub airport over phases and windows, so no single key
+concentrates the legs, and each index entry is bounded by the window.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType
 
 from lagframe.functions.scalar import arrival_instant, epoch_seconds, shift_hours
 from lagframe.operators.rename import qcol
@@ -84,86 +82,103 @@ def leg_lags(legs: DataFrame, max_lag: int = MAX_LAG_HOURS) -> DataFrame:
 
 
 # --------------------------------------------------------------------------
-# Observation hits, shifted by lag and grouped by (airport, instant)
+# Observation index: a band join bucketed by (airport, phase, window)
 # --------------------------------------------------------------------------
+#
+# An observation at instant t matches a leg departing at d with lag h iff
+# t = d - h hours, 0 <= h <= max_lag. So t and d share the second within the
+# hour (the phase), and t lies in [d - max_lag h, d]. With windows of
+# (max_lag + 1) hours, that range touches the leg's window and the one
+# before, so each observation is replicated into its own window and the
+# next one (2x, not 12x). A group (airport, phase, window) holds a small
+# map instant -> observations (at most 2 x (max_lag + 1) instants).
 
-def _shifted(obs: DataFrame, max_lag: int, keyed: bool = True) -> DataFrame:
-    """(_airport, _at, _lag, _obs): each observation repeated for every lag,
-    at the instant ``obs time + lag`` a leg would have to match it."""
-    payload = F.struct(*[qcol(c) for c in obs.columns]).alias("_obs")
-    valid = F.col(OBS_INSTANT).isNotNull()
-    if keyed:
-        valid = valid & F.col(OBS_AIRPORT).isNotNull()
-    airport = F.col(OBS_AIRPORT) if keyed else F.lit("*")
-    base = obs.where(valid).select(
-        airport.alias("_airport"), F.col(OBS_INSTANT).alias("_ts"), payload,
-        F.explode(F.sequence(F.lit(0), F.lit(max_lag))).alias("_lag"))
-    return base.select("_airport", (F.col("_ts") + F.make_dt_interval(hours=F.col("_lag"))).alias("_at"),
-                       "_lag", "_obs")
-
-
-def observation_hits(obs: DataFrame, max_lag: int = MAX_LAG_HOURS) -> DataFrame:
-    """(_airport, _at, _hits array<struct<_lag, _obs>>), one row per key."""
-    _check_lag(max_lag)
-    return (_shifted(obs, max_lag).groupBy("_airport", "_at")
-            .agg(F.collect_list(F.struct("_lag", "_obs")).alias("_hits")))
+HOUR = 3600
 
 
-def observation_hits_wide(obs: DataFrame, max_lag: int = MAX_LAG_HOURS,
-                          dedup_by: str | None = None) -> DataFrame:
-    """(_airport, _at, "0".."max_lag"): at most one observation per lag.
+def _window_seconds(max_lag: int) -> int:
+    return (max_lag + 1) * HOUR
 
-    Several observations at one (airport, instant) are reduced to the one
-    with the smallest ``dedup_by`` (or the smallest row when None)."""
-    _check_lag(max_lag)
-    pick = (F.min_by("_obs", F.col("_obs")[dedup_by]) if dedup_by else F.min("_obs"))
-    return (_shifted(obs, max_lag).groupBy("_airport", "_at")
-            .pivot("_lag", list(range(max_lag + 1))).agg(pick))
 
+def _band_keys(instant: Column, max_lag: int) -> tuple[Column, Column]:
+    """(phase, window start) of an instant, in whole epoch seconds."""
+    secs = F.unix_seconds(instant)
+    width = _window_seconds(max_lag)
+    return F.pmod(secs, F.lit(HOUR)), secs - F.pmod(secs, F.lit(width))
 
-def _attach(legs: DataFrame, hits: DataFrame, airport: str, instant: str, tag: str) -> DataFrame:
-    """Left equi-join of legs with hit groups on (airport, instant)."""
-    renamed = hits.select([F.col(qc).alias(f"_{tag}{c}") for c, qc in
-                           ((c, f"`{c}`") for c in hits.columns)])
-    cond = ((F.col(airport) == F.col(f"_{tag}_airport"))
-            & (F.col(instant) == F.col(f"_{tag}_at")))
-    return legs.join(renamed, cond, "left").drop(f"_{tag}_airport", f"_{tag}_at")
 
+def observation_index(obs: DataFrame, max_lag: int = MAX_LAG_HOURS,
+                      dedup_by: str | None = None, dedup: bool = False) -> DataFrame:
+    """(_airport, _phase, _window, _index map<timestamp, obs-list or obs>).
 
-# --------------------------------------------------------------------------
-# Long layout
-# --------------------------------------------------------------------------
+    With ``dedup`` several observations at one (airport, instant) are
+    reduced to the one with the smallest ``dedup_by`` (or the smallest row);
+    otherwise all of them are kept, in a list, and multiply rows later.
+    """
+    _check_lag(max_lag)
+    payload = F.struct(*[qcol(c) for c in obs.columns]).alias("_obs")
+    valid = F.col(OBS_INSTANT).isNotNull() & F.col(OBS_AIRPORT).isNotNull()
+    base = obs.where(valid).select(F.col(OBS_AIRPORT).alias("_airport"),
+                                   F.col(OBS_INSTANT).alias("_ts"), payload)
+    if dedup:
+        pick = F.min_by("_obs", F.col("_obs")[dedup_by]) if dedup_by else F.min("_obs")
+    else:
+        pick = F.collect_list("_obs")
+    per_instant = base.groupBy("_airport", "_ts").agg(pick.alias("_v"))
+    phase, window = _band_keys(F.col("_ts"), max_lag)
+    width = _window_seconds(max_lag)
+    spread = per_instant.select(
+        "_airport", phase.alias("_phase"),
+        F.explode(F.array(window, window + F.lit(width))).alias("_window"),
+        F.struct("_ts", "_v").alias("_e"))
+    return (spread.groupBy("_airport", "_phase", "_window")
+            .agg(F.map_from_entries(F.collect_list("_e")).alias("_index")))
+
+
+def _attach(legs: DataFrame, index: DataFrame, airport: str, instant: str, tag: str,
+            max_lag: int) -> DataFrame:
+    """Left equi-join of legs with the index on (airport, phase, window);
+    adds ``_<tag>_index`` (NULL when the leg has no candidate at all)."""
+    phase, window = _band_keys(F.col(instant), max_lag)
+    keyed = legs.select("*", phase.alias(f"_{tag}_lphase"), window.alias(f"_{tag}_lwindow"))
+    right = index.select(F.col("_airport").alias(f"_{tag}_airport"), F.col("_phase").alias(f"_{tag}_phase"),
+                         F.col("_window").alias(f"_{tag}_window"), F.col("_index").alias(f"_{tag}_index"))
+    cond = ((F.col(airport) == F.col(f"_{tag}_airport"))
+            & (F.col(f"_{tag}_lphase") == F.col(f"_{tag}_phase"))
+            & (F.col(f"_{tag}_lwindow") == F.col(f"_{tag}_window")))
+    return keyed.join(right, cond, "left").drop(
+        f"_{tag}_airport", f"_{tag}_phase", f"_{tag}_window", f"_{tag}_lphase", f"_{tag}_lwindow")
 
-def _per_lag_rows(o_hits: Column, d_hits: Column, h: int, obs_type: StructType) -> Column:
-    """Rows of lag ``h``: every origin hit times every destination hit,
-    a NULL observation standing in for a side without hits (left join)."""
-    null_obs = F.lit(None).cast(obs_type)
 
-    def side(hits: Column) -> Column:
-        found = F.transform(F.filter(hits, lambda x: x["_lag"] == F.lit(h)), lambda x: x["_obs"])
-        return F.when(F.size(found) > 0, found).otherwise(F.array(null_obs))
+def _lookup(tag: str, instant: str, h: int) -> Column:
+    """Observations at exactly ``instant - h hours`` (map lookup, NULL if none)."""
+    return F.col(f"_{tag}_index")[shift_hours(instant, h)]
 
-    return F.flatten(F.transform(side(o_hits), lambda a: F.transform(
-        side(d_hits), lambda b: F.struct(F.lit(h).alias("lag"), a.alias("o"), b.alias("d")))))
 
+# --------------------------------------------------------------------------
+# Long layout
+# --------------------------------------------------------------------------
 
 def lag_join_long(legs: DataFrame, obs: DataFrame, max_lag: int = MAX_LAG_HOURS) -> DataFrame:
     """Long layout: one row per leg, lag and matching observation pair.
 
-    Row multiplicity equals two chained left joins of the 12x exploded
-    legs: per leg and lag, max(1, origin hits) x max(1, destination hits).
+    Row multiplicity equals two chained left joins of the exploded legs:
+    per leg and lag, max(1, origin matches) x max(1, destination matches).
+    The rows are generated after the joins, within the same stage.
     """
     _check_lag(max_lag)
-    hits = observation_hits(obs, max_lag)
-    joined = _attach(_attach(legs, hits, LEG_ORIGIN, LEG_DEPARTURE, "o"),
-                     hits, LEG_DEST, LEG_ARRIVAL, "d")
-    obs_type = obs.schema
-    rows = F.concat(*[_per_lag_rows(F.col("_o_hits"), F.col("_d_hits"), h, obs_type)
-                      for h in range(max_lag + 1)])
-    exploded = joined.select(*[qcol(c) for c in legs.columns], F.inline(rows))
+    index = observation_index(obs, max_lag)
+    joined = _attach(_attach(legs, index, LEG_ORIGIN, LEG_DEPARTURE, "o", max_lag),
+                     index, LEG_DEST, LEG_ARRIVAL, "d", max_lag)
+    keep = [qcol(c) for c in legs.columns]
+    per_lag = F.array(*[F.struct(F.lit(h).alias("lag"), _lookup("o", LEG_DEPARTURE, h).alias("os"),
+                                 _lookup("d", LEG_ARRIVAL, h).alias("ds")) for h in range(max_lag + 1)])
+    rows = joined.select(*keep, F.inline(per_lag))
+    rows = rows.select(*keep, "lag", F.explode_outer("os").alias("o"), "ds")
+    rows = rows.select(*keep, "lag", "o", F.explode_outer("ds").alias("d"))
     lag = F.col("lag").cast("int")
-    return exploded.select(
-        *[qcol(c) for c in legs.columns],
+    return rows.select(
+        *keep,
         epoch_seconds(LEG_DEPARTURE).alias("FT_ORIGIN_UNIX_TS"),
         epoch_seconds(LEG_ARRIVAL).alias("FT_DEST_UNIX_TS"),
         lag.alias(LAG),
@@ -180,25 +195,18 @@ def lag_join_side(legs: DataFrame, obs: DataFrame, side: str = "origin",
     _check_lag(max_lag)
     if side not in ("origin", "dest"):
         raise ValueError(f"side must be 'origin' or 'dest', got {side!r}")
-    airport, instant, suffix = ((LEG_ORIGIN, LEG_DEPARTURE, ORIGIN_SUFFIX) if side == "origin"
-                                else (LEG_DEST, LEG_ARRIVAL, DEST_SUFFIX))
-    hits = observation_hits(obs, max_lag)
-    joined = _attach(legs, hits, airport, instant, "o")
-    null_obs = F.lit(None).cast(obs.schema)
-    empty = F.array().cast(ArrayType(hits.schema["_hits"].dataType.elementType))
-    o_hits = F.coalesce(F.col("_o_hits"), empty)
-    rows = F.concat(*[F.transform(
-        F.when(F.size(F.filter(o_hits, lambda x: x["_lag"] == F.lit(h))) > 0,
-               F.transform(F.filter(o_hits, lambda x: x["_lag"] == F.lit(h)), lambda x: x["_obs"]))
-        .otherwise(F.array(null_obs)),
-        lambda a: F.struct(F.lit(h).alias("lag"), a.alias("o"))) for h in range(max_lag + 1)])
-    exploded = joined.select(*[qcol(c) for c in legs.columns], F.inline(rows))
+    airport, instant, suffix, lag_name = (
+        (LEG_ORIGIN, LEG_DEPARTURE, ORIGIN_SUFFIX, "FT_ORIGIN_DATE_TIME_LAG") if side == "origin"
+        else (LEG_DEST, LEG_ARRIVAL, DEST_SUFFIX, "FT_DEST_DATE_TIME_LAG"))
+    joined = _attach(legs, observation_index(obs, max_lag), airport, instant, "o", max_lag)
+    keep = [qcol(c) for c in legs.columns]
+    per_lag = F.array(*[F.struct(F.lit(h).alias("lag"), _lookup("o", instant, h).alias("os"))
+                        for h in range(max_lag + 1)])
+    rows = joined.select(*keep, F.inline(per_lag))
+    rows = rows.select(*keep, "lag", F.explode_outer("os").alias("o"))
     lag = F.col("lag").cast("int")
-    return exploded.select(
-        *[qcol(c) for c in legs.columns], lag.alias(LAG),
-        shift_hours(instant, lag).alias(
-            "FT_ORIGIN_DATE_TIME_LAG" if side == "origin" else "FT_DEST_DATE_TIME_LAG"),
-        *[F.col("o")[c].alias(c + suffix) for c in obs.columns])
+    return rows.select(*keep, lag.alias(LAG), shift_hours(instant, lag).alias(lag_name),
+                       *[F.col("o")[c].alias(c + suffix) for c in obs.columns])
 
 
 def lag_join_long_exploded(legs: DataFrame, obs: DataFrame, max_lag: int = MAX_LAG_HOURS) -> DataFrame:
@@ -237,13 +245,14 @@ def lag_join_wide(legs: DataFrame, obs: DataFrame, max_lag: int = MAX_LAG_HOURS,
     de-duplicated observations, with exactly as many rows as legs.
     """
     o_cols, d_cols = wide_columns(obs, columns)
-    hits = observation_hits_wide(obs, max_lag, dedup_by)
-    joined = _attach(_attach(legs, hits, LEG_ORIGIN, LEG_DEPARTURE, "o"),
-                     hits, LEG_DEST, LEG_ARRIVAL, "d")
+    index = observation_index(obs, max_lag, dedup_by, dedup=True)
+    joined = _attach(_attach(legs, index, LEG_ORIGIN, LEG_DEPARTURE, "o", max_lag),
+                     index, LEG_DEST, LEG_ARRIVAL, "d", max_lag)
     out = [qcol(c) for c in legs.columns]
     for h in range(max_lag + 1):
-        out += [F.col(f"_o{h}")[c].alias(f"{c}_Part_{h}") for c in o_cols]
-        out += [F.col(f"_d{h}")[c].alias(f"{c}_Dest_Part_{h}") for c in d_cols]
+        o, d = _lookup("o", LEG_DEPARTURE, h), _lookup("d", LEG_ARRIVAL, h)
+        out += [o[c].alias(f"{c}_Part_{h}") for c in o_cols]
+        out += [d[c].alias(f"{c}_Dest_Part_{h}") for c in d_cols]
     return joined.select(*out)
 
 
