@@ -1,0 +1,62 @@
+"""Profiling, sparse-column drop, imputation, training table."""
+
+import math
+
+import pytest
+
+from lagframe.operators import quality
+
+
+def test_missing_share_at_threshold_is_kept(spark):
+    rows = [(i, None if i < 8 else "x", None if i < 9 else 1.0) for i in range(10)]
+    df = spark.createDataFrame(rows, "id int, s string, d double")
+    out = quality.drop_sparse_columns(df, 0.8)
+    assert out.columns == ["id", "s"]                      # 0.8 kept, 0.9 dropped, input order
+
+
+def test_empty_string_is_missing_only_for_text(spark):
+    df = spark.createDataFrame([("", float("nan")), ("a", 1.0)], "s string, d double")
+    prof = {r.column_name: r for r in quality.missing_profile(df).collect()}
+    assert prof["s"].n_missing == 1 and prof["d"].n_missing == 0   # NaN is not missing here
+    elig = {r.column_name: r for r in quality.impute_eligible(df, 0.6).collect()}
+    assert elig["d"].n_missing == 1 and elig["d"].eligible
+
+
+def test_empty_frame_raises(spark):
+    df = spark.createDataFrame([], "a int")
+    with pytest.raises(ValueError):
+        quality.drop_sparse_columns(df, 0.8)
+
+
+def test_impute_int_truncates_and_bound_is_strict(spark):
+    df = spark.createDataFrame([(1, 1.0), (None, None), (4, 2.0), (4, 3.0), (4, 4.0)],
+                               "i int, d double")
+    out = quality.impute_mean(df, max_missing=0.5)
+    assert [r.i for r in out.collect()] == [1, 3, 4, 4, 4]          # mean 3.25 -> 3
+    assert [r.d for r in out.collect()][1] == 2.5
+    # 1 of 5 missing = 0.2, not below 1 - 0.8 (0.19999999999999996): untouched
+    same = quality.impute_mean(df)
+    assert [r.i for r in same.collect()][1] is None
+
+
+def test_int_mean_one_null_four(spark):
+    df = spark.createDataFrame([(1,), (None,), (4,)], "i int")
+    assert [r.i for r in quality.impute_mean(df, 0.5).collect()] == [1, 2, 4]
+
+
+def test_long_columns_are_not_imputed(spark):
+    df = spark.createDataFrame([(1,), (None,), (4,), (5,), (6,), (7,)], "l bigint")
+    assert [r.l for r in quality.impute_mean(df, 0.5).collect()][1] is None
+
+
+def test_training_table_labels_drops_and_imputes(spark):
+    rows = [(float(i), None if i % 10 else 1.0, None if i % 7 else 2.0, i) for i in range(40)]
+    df = spark.createDataFrame(rows, "FT_ARR_DELAY_NEW double, sparse double, mid double, hours_lag int")
+    out = quality.build_training_table(df, missing_threshold=0.8)
+    assert out.columns == ["FT_ARR_DELAY_NEW", "hours_lag", "FT_OnTime"]
+    assert out.where("FT_OnTime = 1").count() == 16
+    df2 = spark.createDataFrame([(float(i), None if i % 10 == 0 else 1.0) for i in range(40)],
+                                "FT_ARR_DELAY_NEW double, x double")
+    out2 = quality.build_training_table(df2)
+    assert out2.where("x IS NULL").count() == 0
+    assert not any(math.isnan(r.x) for r in out2.collect())
