@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from lagframe.operators import clean, lagjoin, layout, learn, quality
 from lagframe.operators.rename import prefix_columns, suffix_columns
 from lagframe.plans.report import present
-from lagframe.schemas import LEG_FEED_SCHEMA, all_strings
+from lagframe.schemas import all_strings
 from lagframe.session import configure, scratch_path
 from lagframe.sources import fixtures, sampling
 from lagframe.sources.csv import read_feed, write_csv
