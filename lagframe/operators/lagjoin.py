@@ -248,12 +248,16 @@ def lag_join_wide(legs: DataFrame, obs: DataFrame, max_lag: int = MAX_LAG_HOURS,
     index = observation_index(obs, max_lag, dedup_by, dedup=True)
     joined = _attach(_attach(legs, index, LEG_ORIGIN, LEG_DEPARTURE, "o", max_lag),
                      index, LEG_DEST, LEG_ARRIVAL, "d", max_lag)
-    out = [qcol(c) for c in legs.columns]
-    for h in range(max_lag + 1):
-        o, d = _lookup("o", LEG_DEPARTURE, h), _lookup("d", LEG_ARRIVAL, h)
-        out += [o[c].alias(f"{c}_Part_{h}") for c in o_cols]
-        out += [d[c].alias(f"{c}_Dest_Part_{h}") for c in d_cols]
-    return joined.select(*out)
+    keep = [qcol(c) for c in legs.columns]
+    lags = range(max_lag + 1)
+    # one map lookup per lag and side; the field projections read its result
+    looked = joined.select(*keep, *[_lookup("o", LEG_DEPARTURE, h).alias(f"_o{h}") for h in lags],
+                           *[_lookup("d", LEG_ARRIVAL, h).alias(f"_d{h}") for h in lags])
+    out = list(keep)
+    for h in lags:
+        out += [F.col(f"_o{h}")[c].alias(f"{c}_Part_{h}") for c in o_cols]
+        out += [F.col(f"_d{h}")[c].alias(f"{c}_Dest_Part_{h}") for c in d_cols]
+    return looked.select(*out)
 
 
 # Largest lag the unkeyed wide mode accepts unless told otherwise: every

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lagframe.operators import clean, lagjoin, layout, learn, quality
 from lagframe.operators.rename import prefix_columns, suffix_columns
+from lagframe.plans.guards import materialize
 from lagframe.plans.report import present
 from lagframe.schemas import all_strings
 from lagframe.session import configure, scratch_path
@@ -322,9 +323,15 @@ def q_impute_mean(spark, sf):
     return present(quality.impute_mean(Tables(spark, sf).obs))
 
 
+def _training_table(spark, sf):
+    # the join is read by the profiling pass and by the output: compute it once
+    staged = materialize(Tables(spark, sf).long, "checkpoint")
+    return quality.build_training_table(staged)
+
+
 @query
 def q_training_table(spark, sf):
-    return present(quality.build_training_table(Tables(spark, sf).long))
+    return present(_training_table(spark, sf))
 
 
 @query
@@ -401,8 +408,7 @@ def q_split_by_key(spark, sf):
 
 
 def _trained(spark, sf):
-    table = quality.build_training_table(Tables(spark, sf).long)
-    return learn.train_classifier(table, quality.LABEL, split_key="FT_event_id")
+    return learn.train_classifier(_training_table(spark, sf), quality.LABEL, split_key="FT_event_id")
 
 
 @query
