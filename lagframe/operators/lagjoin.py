@@ -124,15 +124,17 @@ def observation_index(obs: DataFrame, max_lag: int = MAX_LAG_HOURS,
         pick = F.min_by("_obs", F.col("_obs")[dedup_by]) if dedup_by else F.min("_obs")
     else:
         pick = F.collect_list("_obs")
-    per_instant = base.groupBy("_airport", "_ts").agg(pick.alias("_v"))
     phase, window = _band_keys(F.col("_ts"), max_lag)
     width = _window_seconds(max_lag)
-    spread = per_instant.select(
-        "_airport", phase.alias("_phase"),
-        F.explode(F.array(window, window + F.lit(width))).alias("_window"),
-        F.struct("_ts", "_v").alias("_e"))
-    return (spread.groupBy("_airport", "_phase", "_window")
-            .agg(F.map_from_entries(F.collect_list("_e")).alias("_index")))
+    keys = ["_airport", "_phase", "_window"]
+    # one shuffle: the two aggregations below and the join with the legs all
+    # run on this hash partitioning (no exchange by (airport, instant) first)
+    spread = base.select(
+        "_airport", "_ts", "_obs", phase.alias("_phase"),
+        F.explode(F.array(window, window + F.lit(width))).alias("_window")).repartition(*keys)
+    per_instant = spread.groupBy(*keys, "_ts").agg(pick.alias("_v"))
+    return (per_instant.groupBy(*keys)
+            .agg(F.map_from_entries(F.collect_list(F.struct("_ts", "_v"))).alias("_index")))
 
 
 def _attach(legs: DataFrame, index: DataFrame, airport: str, instant: str, tag: str,
