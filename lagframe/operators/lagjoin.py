@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lagframe.functions.scalar import arrival_instant, epoch_seconds, shift_hours
-from lagframe.operators.rename import qcol
+from lagframe.operators.rename import bq, qcol
 from lagframe.schemas import DEST_SUFFIX, MAX_LAG_HOURS, ORIGIN_SUFFIX, WIDE_ORIGIN_DROP
 
 # Leg and observation columns the joins address.
@@ -152,9 +152,9 @@ def _attach(legs: DataFrame, index: DataFrame, airport: str, instant: str, tag:
         f"_{tag}_airport", f"_{tag}_phase", f"_{tag}_window", f"_{tag}_lphase", f"_{tag}_lwindow")
 
 
-def _lookup(tag: str, instant: str, h: int) -> Column:
-    """Observations at exactly ``instant - h hours`` (map lookup, NULL if none)."""
-    return F.col(f"_{tag}_index")[shift_hours(instant, h)]
+def _lookup(tag: str, instant: str, h: int) -> str:
+    """SQL: observations at exactly ``instant - h hours`` (map lookup, NULL if none)."""
+    return f"`_{tag}_index`[{bq(instant)} - INTERVAL '{h}' HOUR]"
 
 
 # --------------------------------------------------------------------------
@@ -172,22 +172,22 @@ def lag_join_long(legs: DataFrame, obs: DataFrame, max_lag: int = MAX_LAG_HOURS)
     index = observation_index(obs, max_lag)
     joined = _attach(_attach(legs, index, LEG_ORIGIN, LEG_DEPARTURE, "o", max_lag),
                      index, LEG_DEST, LEG_ARRIVAL, "d", max_lag)
-    keep = [qcol(c) for c in legs.columns]
-    per_lag = F.array(*[F.struct(F.lit(h).alias("lag"), _lookup("o", LEG_DEPARTURE, h).alias("os"),
-                                 _lookup("d", LEG_ARRIVAL, h).alias("ds")) for h in range(max_lag + 1)])
-    rows = joined.select(*keep, F.inline(per_lag))
-    rows = rows.select(*keep, "lag", F.explode_outer("os").alias("o"), "ds")
-    rows = rows.select(*keep, "lag", "o", F.explode_outer("ds").alias("d"))
-    lag = F.col("lag").cast("int")
-    return rows.select(
+    keep = [bq(c) for c in legs.columns]
+    per_lag = ", ".join(f"named_struct('lag', {h}, 'os', {_lookup('o', LEG_DEPARTURE, h)}, "
+                        f"'ds', {_lookup('d', LEG_ARRIVAL, h)})" for h in range(max_lag + 1))
+    rows = joined.selectExpr(*keep, f"inline(array({per_lag}))")
+    rows = rows.selectExpr(*keep, "lag", "explode_outer(os) AS o", "ds")
+    rows = rows.selectExpr(*keep, "lag", "o", "explode_outer(ds) AS d")
+    dep, arr = bq(LEG_DEPARTURE), bq(LEG_ARRIVAL)
+    return rows.selectExpr(
         *keep,
-        epoch_seconds(LEG_DEPARTURE).alias("FT_ORIGIN_UNIX_TS"),
-        epoch_seconds(LEG_ARRIVAL).alias("FT_DEST_UNIX_TS"),
-        lag.alias(LAG),
-        shift_hours(LEG_DEPARTURE, lag).alias("FT_ORIGIN_DATE_TIME_LAG"),
-        shift_hours(LEG_ARRIVAL, lag).alias("FT_DEST_DATE_TIME_LAG"),
-        *[F.col("o")[c].alias(c + ORIGIN_SUFFIX) for c in obs.columns],
-        *[F.col("d")[c].alias(c + DEST_SUFFIX) for c in obs.columns])
+        f"unix_timestamp({dep}) AS FT_ORIGIN_UNIX_TS",
+        f"unix_timestamp({arr}) AS FT_DEST_UNIX_TS",
+        f"CAST(lag AS INT) AS {LAG}",
+        f"{dep} - make_dt_interval(0, lag, 0, 0) AS FT_ORIGIN_DATE_TIME_LAG",
+        f"{arr} - make_dt_interval(0, lag, 0, 0) AS FT_DEST_DATE_TIME_LAG",
+        *[f"o.{bq(c)} AS {bq(c + ORIGIN_SUFFIX)}" for c in obs.columns],
+        *[f"d.{bq(c)} AS {bq(c + DEST_SUFFIX)}" for c in obs.columns])
 
 
 def lag_join_side(legs: DataFrame, obs: DataFrame, side: str = "origin",
@@ -201,14 +201,14 @@ def lag_join_side(legs: DataFrame, obs: DataFrame, side: str = "origin",
         (LEG_ORIGIN, LEG_DEPARTURE, ORIGIN_SUFFIX, "FT_ORIGIN_DATE_TIME_LAG") if side == "origin"
         else (LEG_DEST, LEG_ARRIVAL, DEST_SUFFIX, "FT_DEST_DATE_TIME_LAG"))
     joined = _attach(legs, observation_index(obs, max_lag), airport, instant, "o", max_lag)
-    keep = [qcol(c) for c in legs.columns]
-    per_lag = F.array(*[F.struct(F.lit(h).alias("lag"), _lookup("o", instant, h).alias("os"))
-                        for h in range(max_lag + 1)])
-    rows = joined.select(*keep, F.inline(per_lag))
-    rows = rows.select(*keep, "lag", F.explode_outer("os").alias("o"))
-    lag = F.col("lag").cast("int")
-    return rows.select(*keep, lag.alias(LAG), shift_hours(instant, lag).alias(lag_name),
-                       *[F.col("o")[c].alias(c + suffix) for c in obs.columns])
+    keep = [bq(c) for c in legs.columns]
+    per_lag = ", ".join(f"named_struct('lag', {h}, 'os', {_lookup('o', instant, h)})"
+                        for h in range(max_lag + 1))
+    rows = joined.selectExpr(*keep, f"inline(array({per_lag}))")
+    rows = rows.selectExpr(*keep, "lag", "explode_outer(os) AS o")
+    return rows.selectExpr(*keep, f"CAST(lag AS INT) AS {LAG}",
+                           f"{bq(instant)} - make_dt_interval(0, lag, 0, 0) AS {lag_name}",
+                           *[f"o.{bq(c)} AS {bq(c + suffix)}" for c in obs.columns])
 
 
 def lag_join_long_exploded(legs: DataFrame, obs: DataFrame, max_lag: int = MAX_LAG_HOURS) -> DataFrame:
@@ -250,16 +250,16 @@ def lag_join_wide(legs: DataFrame, obs: DataFrame, max_lag: int = MAX_LAG_HOURS,
     index = observation_index(obs, max_lag, dedup_by, dedup=True)
     joined = _attach(_attach(legs, index, LEG_ORIGIN, LEG_DEPARTURE, "o", max_lag),
                      index, LEG_DEST, LEG_ARRIVAL, "d", max_lag)
-    keep = [qcol(c) for c in legs.columns]
+    keep = [bq(c) for c in legs.columns]
     lags = range(max_lag + 1)
     # one map lookup per lag and side; the field projections read its result
-    looked = joined.select(*keep, *[_lookup("o", LEG_DEPARTURE, h).alias(f"_o{h}") for h in lags],
-                           *[_lookup("d", LEG_ARRIVAL, h).alias(f"_d{h}") for h in lags])
+    looked = joined.selectExpr(*keep, *[f"{_lookup('o', LEG_DEPARTURE, h)} AS _o{h}" for h in lags],
+                               *[f"{_lookup('d', LEG_ARRIVAL, h)} AS _d{h}" for h in lags])
     out = list(keep)
     for h in lags:
-        out += [F.col(f"_o{h}")[c].alias(f"{c}_Part_{h}") for c in o_cols]
-        out += [F.col(f"_d{h}")[c].alias(f"{c}_Dest_Part_{h}") for c in d_cols]
-    return looked.select(*out)
+        out += [f"_o{h}.{bq(c)} AS {bq(f'{c}_Part_{h}')}" for c in o_cols]
+        out += [f"_d{h}.{bq(c)} AS {bq(f'{c}_Dest_Part_{h}')}" for c in d_cols]
+    return looked.selectExpr(*out)
 
 
 # Largest lag the unkeyed wide mode accepts unless told otherwise: every

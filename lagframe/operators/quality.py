@@ -12,10 +12,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, IntegerType
+from pyspark.sql.types import DoubleType, FloatType, IntegerType, StringType
 
-from lagframe.functions.scalar import is_missing, is_missing_numeric, on_time
-from lagframe.operators.rename import qcol
+from lagframe.functions.scalar import on_time
+from lagframe.operators.rename import bq, sq
 from lagframe.schemas import MISSING_THRESHOLD, ON_TIME_THRESHOLD
 
 LABEL = "FT_OnTime"
@@ -24,42 +24,54 @@ LABEL_SOURCE = "FT_ARR_DELAY_NEW"
 IMPUTABLE_TYPES = (IntegerType, DoubleType)
 
 
-def _present(c: str, dtype):
-    """The value when present (NULL for NULL or NaN), for means."""
-    col = qcol(c)
+def _missing_sql(c: str, dtype) -> str:
+    """Missing in the profile sense: NULL, or empty text for strings."""
+    if isinstance(dtype, StringType):
+        return f"({c} IS NULL OR {c} = '')"
+    return f"{c} IS NULL"
+
+
+def _missing_numeric_sql(c: str, dtype) -> str:
+    """Missing in the imputation sense: NULL, or NaN for floating columns."""
     if isinstance(dtype, (DoubleType, FloatType)):
-        return F.when(~F.isnan(col), col)
-    return col
+        return f"({c} IS NULL OR isnan({c}))"
+    return _missing_sql(c, dtype)
+
+
+def _mean_sql(c: str, dtype) -> str:
+    if isinstance(dtype, DoubleType):
+        return f"avg(CASE WHEN isnan({c}) THEN NULL ELSE {c} END)"
+    if isinstance(dtype, IMPUTABLE_TYPES):
+        return f"CAST(avg({c}) AS DOUBLE)"
+    return "CAST(NULL AS DOUBLE)"
 
 
 def profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """One row per column: position, column_name, data_type, n_rows,
     n_missing (NULL or empty text), n_missing_numeric (NULL or NaN),
-    missing_share, missing_share_numeric, mean (numeric columns)."""
+    missing_share, missing_share_numeric, mean (numeric columns).
+
+    The expressions are generated as SQL text: one aggregate per column
+    and kind, then one row per column from an array of structs."""
     cols = list(columns or df.columns)
     types = {f.name: f.dataType for f in df.schema.fields}
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    for i, c in enumerate(cols):
-        t = types[c]
-        aggs.append(F.count_if(is_missing(qcol(c), t)).alias(f"_a{i}"))
-        aggs.append(F.count_if(is_missing_numeric(qcol(c), t)).alias(f"_b{i}"))
-        mean = (F.avg(_present(c, t)) if isinstance(t, IMPUTABLE_TYPES)
-                else F.lit(None).cast("double"))
-        aggs.append(mean.alias(f"_m{i}"))
-    one = df.agg(*aggs)
-    entries = F.array(*[F.struct(
-        F.lit(i).alias("position"), F.lit(c).alias("column_name"),
-        F.lit(types[c].simpleString()).alias("data_type"),
-        F.col(f"_a{i}").alias("n_missing"), F.col(f"_b{i}").alias("n_missing_numeric"),
-        F.col(f"_m{i}").alias("mean")) for i, c in enumerate(cols)])
-    n = F.col("n_rows")
-    return (one.select(F.col("_n").alias("n_rows"), F.inline(entries))
-            .select("position", "column_name", "data_type", "n_rows", "n_missing",
-                    "n_missing_numeric",
-                    F.try_divide(F.col("n_missing").cast("double"), n.cast("double")).alias("missing_share"),
-                    F.try_divide(F.col("n_missing_numeric").cast("double"), n.cast("double"))
-                    .alias("missing_share_numeric"),
-                    "mean"))
+    aggs = ["count(1) AS _n"]
+    entries = []
+    for i, name in enumerate(cols):
+        c, t = bq(name), types[name]
+        aggs += [f"count_if({_missing_sql(c, t)}) AS _a{i}",
+                 f"count_if({_missing_numeric_sql(c, t)}) AS _b{i}",
+                 f"{_mean_sql(c, t)} AS _m{i}"]
+        entries.append(f"named_struct('position', {i}, 'column_name', {sq(name)}, "
+                       f"'data_type', {sq(t.simpleString())}, 'n_missing', _a{i}, "
+                       f"'n_missing_numeric', _b{i}, 'mean', _m{i})")
+    one = df.agg(*[F.expr(a) for a in aggs])
+    rows = one.selectExpr("_n AS n_rows", f"inline(array({', '.join(entries)}))")
+    return rows.selectExpr(
+        "position", "column_name", "data_type", "n_rows", "n_missing", "n_missing_numeric",
+        "try_divide(CAST(n_missing AS DOUBLE), CAST(n_rows AS DOUBLE)) AS missing_share",
+        "try_divide(CAST(n_missing_numeric AS DOUBLE), CAST(n_rows AS DOUBLE)) AS missing_share_numeric",
+        "mean")
 
 
 def missing_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -81,7 +93,7 @@ def sparse_keep(rows, threshold: float) -> list[str]:
 
 def drop_sparse_columns(df: DataFrame, threshold: float = MISSING_THRESHOLD) -> DataFrame:
     """Keep columns whose missing share (NULL or empty) is <= threshold."""
-    return df.select(*[qcol(c) for c in sparse_keep(_collect_profile(df), threshold)])
+    return df.selectExpr(*[bq(c) for c in sparse_keep(_collect_profile(df), threshold)])
 
 
 def _imputable(df: DataFrame, exclude) -> set[str]:
@@ -101,17 +113,23 @@ def impute_eligible(df: DataFrame, max_missing: float = 1 - MISSING_THRESHOLD,
                     (F.col("missing_share_numeric") < F.lit(max_missing)).alias("eligible"))
 
 
-def _impute_exprs(df: DataFrame, rows, max_missing: float, exclude) -> dict:
+def _impute_exprs(df: DataFrame, rows, max_missing: float, exclude) -> list[str]:
+    """SQL projection of ``df``: eligible columns take their mean where
+    missing (an int column the truncated mean), others pass through."""
     imputable = _imputable(df, exclude)
     types = {f.name: f.dataType for f in df.schema.fields}
-    out = {}
-    for r in rows:
-        c = r.column_name
-        if c in imputable and r.missing_share_numeric < max_missing and r.mean is not None:
-            fill = F.lit(r.mean).cast(types[c])   # an int column takes the truncated mean
-            col = qcol(c)
-            missing = col.isNull() | F.isnan(col) if isinstance(types[c], DoubleType) else col.isNull()
-            out[c] = F.when(missing, fill).otherwise(col)
+    fill = {r.column_name: r.mean for r in rows
+            if r.column_name in imputable and r.missing_share_numeric < max_missing and r.mean is not None}
+    out = []
+    for name in df.columns:
+        c = bq(name)
+        if name in fill:
+            t = types[name]
+            missing = _missing_numeric_sql(c, t)
+            out.append(f"CASE WHEN {missing} THEN CAST(CAST({fill[name]!r} AS DOUBLE) AS {t.simpleString()}) "
+                       f"ELSE {c} END AS {c}")
+        else:
+            out.append(c)
     return out
 
 
@@ -120,7 +138,7 @@ def impute_mean(df: DataFrame, max_missing: float = 1 - MISSING_THRESHOLD,
     """Replace NULL/NaN by the column mean in int and double columns whose
     missing share is below ``max_missing`` (ints take the truncated mean)."""
     rows = _collect_profile(df)
-    return df.withColumns(_impute_exprs(df, rows, max_missing, exclude))
+    return df.selectExpr(*_impute_exprs(df, rows, max_missing, exclude))
 
 
 def label_on_time(df: DataFrame, source: str = LABEL_SOURCE,
@@ -137,6 +155,6 @@ def build_training_table(joined: DataFrame, on_time_threshold: float = ON_TIME_T
     labelled = label_on_time(joined, source, on_time_threshold)
     rows = _collect_profile(labelled)
     keep = sparse_keep(rows, missing_threshold)
-    reduced = labelled.select(*[qcol(c) for c in keep])
+    reduced = labelled.selectExpr(*[bq(c) for c in keep])
     kept_rows = [r for r in rows if r.column_name in set(keep)]
-    return reduced.withColumns(_impute_exprs(reduced, kept_rows, 1 - missing_threshold, exclude))
+    return reduced.selectExpr(*_impute_exprs(reduced, kept_rows, 1 - missing_threshold, exclude))

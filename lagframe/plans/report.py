@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DateType, DoubleType, FloatType, TimestampNTZType, TimestampType,
 )
 
-from lagframe.operators.rename import qcol
+from lagframe.operators.rename import bq
 
 DECIMALS = 4
 
@@ -18,12 +17,15 @@ def present(df: DataFrame) -> DataFrame:
     doubles rounded to 4 decimals; other columns unchanged."""
     out = []
     for f in df.schema.fields:
-        c, t = qcol(f.name), f.dataType
+        c, t = bq(f.name), f.dataType
         if isinstance(t, DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
+            e = f"date_format({c}, 'yyyy-MM-dd')"
         elif isinstance(t, (TimestampType, TimestampNTZType)):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+            e = f"date_format({c}, 'yyyy-MM-dd HH:mm:ss')"
         elif isinstance(t, (DoubleType, FloatType)):
-            c = F.round(c.cast("double"), DECIMALS)
-        out.append(c.alias(f.name))
-    return df.select(*out)
+            e = f"round(CAST({c} AS DOUBLE), {DECIMALS})"
+        else:
+            out.append(c)
+            continue
+        out.append(f"{e} AS {c}")
+    return df.selectExpr(*out)
