@@ -18,6 +18,7 @@ concentrates the legs, and each index entry is bounded by the window.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lagframe.functions.scalar import arrival_instant, epoch_seconds, shift_hours
@@ -107,36 +108,105 @@ def _band_keys(instant: Column, max_lag: int) -> tuple[Column, Column]:
     return F.pmod(secs, F.lit(HOUR)), secs - F.pmod(secs, F.lit(width))
 
 
-def observation_index(obs: DataFrame, max_lag: int = MAX_LAG_HOURS,
-                      dedup_by: str | None = None, dedup: bool = False) -> DataFrame:
-    """(_airport, _phase, _window, _index map<timestamp, obs-list or obs>).
+# Observations at one (airport, instant) beyond this count are not gathered
+# into an index entry: rows that hit such a heavy instant are expanded by an
+# equi-join instead (exact, and AQE can split a hot key across tasks).
+MAX_LIST_PER_INSTANT = 64
 
-    With ``dedup`` several observations at one (airport, instant) are
-    reduced to the one with the smallest ``dedup_by`` (or the smallest row);
-    otherwise all of them are kept, in a list, and multiply rows later.
-    """
-    _check_lag(max_lag)
+
+def _spread(obs: DataFrame, max_lag: int) -> DataFrame:
+    """(_airport, _ts, _obs, _phase, _copy, _window) hash-partitioned by
+    (airport, phase, window); every observation in its window (copy 0) and
+    the next (copy 1)."""
     payload = F.struct(*[qcol(c) for c in obs.columns]).alias("_obs")
     valid = F.col(OBS_INSTANT).isNotNull() & F.col(OBS_AIRPORT).isNotNull()
     base = obs.where(valid).select(F.col(OBS_AIRPORT).alias("_airport"),
                                    F.col(OBS_INSTANT).alias("_ts"), payload)
+    phase, window = _band_keys(F.col("_ts"), max_lag)
+    width = _window_seconds(max_lag)
+    return base.select("_airport", "_ts", "_obs", phase.alias("_phase"),
+                       F.posexplode(F.array(window, window + F.lit(width))).alias("_copy", "_window")
+                       ).repartition(*_INDEX_KEYS)
+
+
+_INDEX_KEYS = ["_airport", "_phase", "_window"]
+
+
+def _counted(obs: DataFrame, max_lag: int) -> DataFrame:
+    """The spread rows with ``_n``, the number of observations at their
+    (airport, instant); a window on the existing partitioning, no shuffle."""
+    return _spread(obs, max_lag).withColumn(
+        "_n", F.count(F.lit(1)).over(Window.partitionBy(*_INDEX_KEYS, "_ts")))
+
+
+def observation_index(obs: DataFrame, max_lag: int = MAX_LAG_HOURS,
+                      dedup_by: str | None = None, dedup: bool = False,
+                      max_list: int | None = MAX_LIST_PER_INSTANT) -> DataFrame:
+    """(_airport, _phase, _window, _index map<timestamp, value>).
+
+    With ``dedup`` the value is the single observation with the smallest
+    ``dedup_by`` (or the smallest row). Otherwise it is struct(_n, _list):
+    the count of observations at that instant and, when the count is at
+    most ``max_list``, all of them (heavy instants are left to
+    ``heavy_observations``); ``max_list=None`` gathers every list, for
+    inputs already checked to hold no heavy instant. One shuffle serves the
+    aggregations and the join with the legs: all run on the (airport,
+    phase, window) partitioning.
+    """
+    _check_lag(max_lag)
     if dedup:
         pick = F.min_by("_obs", F.col("_obs")[dedup_by]) if dedup_by else F.min("_obs")
+        per_instant = _spread(obs, max_lag).groupBy(*_INDEX_KEYS, "_ts").agg(pick.alias("_v"))
+    elif max_list is None:
+        per_instant = (_spread(obs, max_lag).groupBy(*_INDEX_KEYS, "_ts")
+                       .agg(F.count(F.lit(1)).alias("_n"), F.collect_list("_obs").alias("_list"))
+                       .select(*_INDEX_KEYS, "_ts", F.struct("_n", "_list").alias("_v")))
     else:
-        pick = F.collect_list("_obs")
-    phase, window = _band_keys(F.col("_ts"), max_lag)
-    width = _window_seconds(max_lag)
-    keys = ["_airport", "_phase", "_window"]
-    # one shuffle: the two aggregations below and the join with the legs all
-    # run on this hash partitioning (no exchange by (airport, instant) first)
-    spread = base.select(
-        "_airport", "_ts", "_obs", phase.alias("_phase"),
-        F.explode(F.array(window, window + F.lit(width))).alias("_window")).repartition(*keys)
-    per_instant = spread.groupBy(*keys, "_ts").agg(pick.alias("_v"))
-    return (per_instant.groupBy(*keys)
+        per_instant = (_counted(obs, max_lag).groupBy(*_INDEX_KEYS, "_ts").agg(
+            F.max("_n").alias("_n"),
+            F.collect_list(F.when(F.col("_n") <= F.lit(max_list), F.col("_obs"))).alias("_list"))
+            .select(*_INDEX_KEYS, "_ts", F.struct("_n", "_list").alias("_v")))
+    return (per_instant.groupBy(*_INDEX_KEYS)
             .agg(F.map_from_entries(F.collect_list(F.struct("_ts", "_v"))).alias("_index")))
 
 
+def has_heavy_instants(obs: DataFrame, max_list: int = MAX_LIST_PER_INSTANT) -> bool:
+    """One narrow aggregation over the observation keys: does any (airport,
+    instant) hold more than ``max_list`` observations?"""
+    keys = obs.where(F.col(OBS_INSTANT).isNotNull() & F.col(OBS_AIRPORT).isNotNull()).select(
+        OBS_AIRPORT, OBS_INSTANT)
+    return not keys.groupBy(OBS_AIRPORT, OBS_INSTANT).count().where(
+        F.col("count") > F.lit(max_list)).isEmpty()
+
+
+def heavy_observations(obs: DataFrame, max_lag: int = MAX_LAG_HOURS,
+                       max_list: int = MAX_LIST_PER_INSTANT) -> DataFrame:
+    """(_airport, _ts, _obs) of instants holding more than ``max_list``
+    observations (normally none)."""
+    return (_counted(obs, max_lag).where((F.col("_n") > F.lit(max_list)) & (F.col("_copy") == 0))
+            .select("_airport", "_ts", "_obs"))
+
+
+def _expand_heavy(rows: DataFrame, heavy: DataFrame, tag: str, airport: str, instant: str) -> DataFrame:
+    """Rows flagged ``_<tag>_pending`` hit a heavy instant: their placeholder
+    observation is replaced by every observation at that instant (a left
+    equi-join that only pending rows can match; other rows pass unchanged)."""
+    h = heavy.select(F.col("_airport").alias("_h_airport"), F.col("_ts").alias("_h_ts"),
+                     F.col("_obs").alias("_h_obs"))
+    cond = ((F.col(airport) == F.col("_h_airport"))
+            & (shift_hours(instant, F.col("lag")) == F.col("_h_ts"))
+            & F.col(f"_{tag}_pending"))
+    out = rows.join(h, cond, "left")
+    return out.select(*[F.when(F.col(f"_{tag}_pending"), F.col("_h_obs")).otherwise(F.col(tag)).alias(tag)
+                        if c == tag else qcol(c) for c in rows.columns])
+
+
+def _pending_sql(sides, max_lag: int) -> str:
+    """SQL: does any lag lookup of the leg land on a heavy instant?"""
+    return " OR ".join(f"coalesce({_lookup(tag, instant, h)}._n > {MAX_LIST_PER_INSTANT}, false)"
+                       for tag, instant in sides for h in range(max_lag + 1))
+
+
 def _attach(legs: DataFrame, index: DataFrame, airport: str, instant: str, tag: str,
             max_lag: int) -> DataFrame:
     """Left equi-join of legs with the index on (airport, phase, window);
@@ -161,23 +231,51 @@ def _lookup(tag: str, instant: str, h: int) -> str:
 # Long layout
 # --------------------------------------------------------------------------
 
-def lag_join_long(legs: DataFrame, obs: DataFrame, max_lag: int = MAX_LAG_HOURS) -> DataFrame:
+def lag_join_long(legs: DataFrame, obs: DataFrame, max_lag: int = MAX_LAG_HOURS,
+                  heavy: bool | None = None) -> DataFrame:
     """Long layout: one row per leg, lag and matching observation pair.
 
     Row multiplicity equals two chained left joins of the exploded legs:
     per leg and lag, max(1, origin matches) x max(1, destination matches).
     The rows are generated after the joins, within the same stage.
+
+    ``heavy`` selects the plan for instants holding more than
+    ``MAX_LIST_PER_INSTANT`` observations; None checks the observations
+    first (one narrow aggregation). Without heavy instants every index
+    entry is a bounded list and the rows come from one pass; with them,
+    the legs touching a heavy instant are split off and expanded by
+    equi-joins, so no observation list grows without bound.
     """
     _check_lag(max_lag)
-    index = observation_index(obs, max_lag)
+    if heavy is None:
+        heavy = has_heavy_instants(obs)
+    index = observation_index(obs, max_lag, max_list=MAX_LIST_PER_INSTANT if heavy else None)
     joined = _attach(_attach(legs, index, LEG_ORIGIN, LEG_DEPARTURE, "o", max_lag),
                      index, LEG_DEST, LEG_ARRIVAL, "d", max_lag)
     keep = [bq(c) for c in legs.columns]
-    per_lag = ", ".join(f"named_struct('lag', {h}, 'os', {_lookup('o', LEG_DEPARTURE, h)}, "
-                        f"'ds', {_lookup('d', LEG_ARRIVAL, h)})" for h in range(max_lag + 1))
-    rows = joined.selectExpr(*keep, f"inline(array({per_lag}))")
-    rows = rows.selectExpr(*keep, "lag", "explode_outer(os) AS o", "ds")
-    rows = rows.selectExpr(*keep, "lag", "o", "explode_outer(ds) AS d")
+    per_lag = ", ".join(f"named_struct('lag', {h}, 'oh', {_lookup('o', LEG_DEPARTURE, h)}, "
+                        f"'dh', {_lookup('d', LEG_ARRIVAL, h)})" for h in range(max_lag + 1))
+
+    def generate(df: DataFrame, flags: list[str]) -> DataFrame:
+        names = [f.rsplit(" AS ", 1)[1] for f in flags]
+        rows = df.selectExpr(*keep, f"inline(array({per_lag}))")
+        rows = rows.selectExpr(*keep, "lag", *flags, "explode_outer(oh._list) AS o", "dh")
+        return rows.selectExpr(*keep, "lag", *names, "o", "explode_outer(dh._list) AS d")
+
+    if not heavy:
+        rows = generate(joined, [])
+    else:
+        # legs touching a heavy instant take the expanding path
+        flagged = joined.selectExpr(
+            "*", f"({_pending_sql([('o', LEG_DEPARTURE), ('d', LEG_ARRIVAL)], max_lag)}) AS _heavy")
+        light = generate(flagged.where("NOT _heavy"), [])
+        flags = [f"coalesce(oh._n > {MAX_LIST_PER_INSTANT}, false) AS _o_pending",
+                 f"coalesce(dh._n > {MAX_LIST_PER_INSTANT}, false) AS _d_pending"]
+        heavy_rows = generate(flagged.where("_heavy"), flags)
+        hobs = heavy_observations(obs, max_lag)
+        heavy_rows = _expand_heavy(heavy_rows, hobs, "o", LEG_ORIGIN, LEG_DEPARTURE)
+        heavy_rows = _expand_heavy(heavy_rows, hobs, "d", LEG_DEST, LEG_ARRIVAL)
+        rows = light.unionByName(heavy_rows.drop("_o_pending", "_d_pending"))
     dep, arr = bq(LEG_DEPARTURE), bq(LEG_ARRIVAL)
     return rows.selectExpr(
         *keep,
@@ -191,21 +289,34 @@ def lag_join_long(legs: DataFrame, obs: DataFrame, max_lag: int = MAX_LAG_HOURS)
 
 
 def lag_join_side(legs: DataFrame, obs: DataFrame, side: str = "origin",
-                  max_lag: int = MAX_LAG_HOURS) -> DataFrame:
+                  max_lag: int = MAX_LAG_HOURS, heavy: bool | None = None) -> DataFrame:
     """One endpoint only: legs x lags left-joined with that endpoint's
-    observations (suffix _ORIG or _DEST)."""
+    observations (suffix _ORIG or _DEST); ``heavy`` as in ``lag_join_long``."""
     _check_lag(max_lag)
     if side not in ("origin", "dest"):
         raise ValueError(f"side must be 'origin' or 'dest', got {side!r}")
     airport, instant, suffix, lag_name = (
         (LEG_ORIGIN, LEG_DEPARTURE, ORIGIN_SUFFIX, "FT_ORIGIN_DATE_TIME_LAG") if side == "origin"
         else (LEG_DEST, LEG_ARRIVAL, DEST_SUFFIX, "FT_DEST_DATE_TIME_LAG"))
-    joined = _attach(legs, observation_index(obs, max_lag), airport, instant, "o", max_lag)
+    if heavy is None:
+        heavy = has_heavy_instants(obs)
+    index = observation_index(obs, max_lag, max_list=MAX_LIST_PER_INSTANT if heavy else None)
+    joined = _attach(legs, index, airport, instant, "o", max_lag)
     keep = [bq(c) for c in legs.columns]
-    per_lag = ", ".join(f"named_struct('lag', {h}, 'os', {_lookup('o', instant, h)})"
+    per_lag = ", ".join(f"named_struct('lag', {h}, 'oh', {_lookup('o', instant, h)})"
                         for h in range(max_lag + 1))
-    rows = joined.selectExpr(*keep, f"inline(array({per_lag}))")
-    rows = rows.selectExpr(*keep, "lag", "explode_outer(os) AS o")
+    if not heavy:
+        rows = (joined.selectExpr(*keep, f"inline(array({per_lag}))")
+                .selectExpr(*keep, "lag", "explode_outer(oh._list) AS o"))
+    else:
+        flagged = joined.selectExpr("*", f"({_pending_sql([('o', instant)], max_lag)}) AS _heavy")
+        light = (flagged.where("NOT _heavy").selectExpr(*keep, f"inline(array({per_lag}))")
+                 .selectExpr(*keep, "lag", "explode_outer(oh._list) AS o"))
+        heavy_rows = (flagged.where("_heavy").selectExpr(*keep, f"inline(array({per_lag}))")
+                      .selectExpr(*keep, "lag", f"coalesce(oh._n > {MAX_LIST_PER_INSTANT}, false) AS _o_pending",
+                                  "explode_outer(oh._list) AS o"))
+        heavy_rows = _expand_heavy(heavy_rows, heavy_observations(obs, max_lag), "o", airport, instant)
+        rows = light.unionByName(heavy_rows.drop("_o_pending"))
     return rows.selectExpr(*keep, f"CAST(lag AS INT) AS {LAG}",
                            f"{bq(instant)} - make_dt_interval(0, lag, 0, 0) AS {lag_name}",
                            *[f"o.{bq(c)} AS {bq(c + suffix)}" for c in obs.columns])

@@ -141,3 +141,33 @@ def test_no_nested_loop_or_cartesian(spark):
     for df in (lagjoin.lag_join_long(legs, obs), lagjoin.lag_join_wide(legs, obs)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_heavy_instant_is_expanded_exactly(spark):
+    """More observations at one (airport, instant) than an index entry holds:
+    the rows hitting it are expanded by a join, with the same result."""
+    n = lagjoin.MAX_LIST_PER_INSTANT + 6
+    leg_rows = [(i, "2024-01-02", "A", "B", str(100 + i), "0", "0", "0", "60") for i in range(4)]
+    obs_rows = [(j, "100", "2024-01-01", "2201", str(j)) for j in range(n)]          # heavy at A
+    # leg 2 departs A 01:02 and arrives B (3 h west, 60 min) at 23:02 the day before
+    obs_rows += [(1000 + j, "200", "2024-01-01", "2102", str(j)) for j in range(n)]  # heavy at B
+    obs_rows += [(2000, "100", "2024-01-02", "0002", "5"), (2001, "200", "2024-01-01", "2302", "6")]
+    legs, obs = _tables(spark, leg_rows, obs_rows)
+    assert lagjoin.heavy_observations(obs).count() == 2 * n
+    a = lagjoin.lag_join_long(legs, obs)
+    b = lagjoin.lag_join_long_exploded(legs, obs).select(*a.columns)
+    assert _canon(a) == _canon(b)
+    assert a.count() == 4 * 12 + 2 * (n - 1)
+    side = lagjoin.lag_join_side(legs, obs, "origin")
+    assert side.count() == b.select("FT_event_id", "hours_lag", "OT_oid_ORIG").distinct().count()
+
+
+def test_expanding_path_on_ordinary_data(spark):
+    legs, obs = _random_case(spark, 11)
+    assert not lagjoin.has_heavy_instants(obs)
+    a = lagjoin.lag_join_long(legs, obs, heavy=True)
+    b = lagjoin.lag_join_long(legs, obs, heavy=False)
+    assert _canon(a) == _canon(b.select(*a.columns))
+    c = lagjoin.lag_join_side(legs, obs, "dest", heavy=True)
+    d = lagjoin.lag_join_side(legs, obs, "dest", heavy=False)
+    assert _canon(c) == _canon(d.select(*c.columns))
