@@ -4,7 +4,6 @@ import datetime as dt
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from lagframe.functions import scalar
 from lagframe.operators import clean, lagjoin

@@ -1,7 +1,6 @@
 """Plan shape, PCA scaling, label order, the whole pipeline."""
 
 from pyspark.ml.feature import PCA, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.sql import functions as F
 
 from lagframe.operators import clean
 from lagframe.plans.pipeline import PipelineConfig, run
