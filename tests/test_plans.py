@@ -3,7 +3,7 @@
 from pyspark.ml.feature import PCA, StandardScaler, StringIndexer, VectorAssembler
 
 from lagframe.operators import clean
-from lagframe.plans.pipeline import PipelineConfig, run
+from lagframe.plans.batch_job import PipelineConfig, run
 from lagframe.plans.queries import Tables
 from tests import helpers
 
