@@ -209,8 +209,11 @@ def _pending_sql(sides, max_lag: int) -> str:
 
 def _attach(legs: DataFrame, index: DataFrame, airport: str, instant: str, tag: str,
             max_lag: int) -> DataFrame:
-    """Left equi-join of legs with the index on (airport, phase, window);
-    adds ``_<tag>_index`` (NULL when the leg has no candidate at all)."""
+    """Left equi-join of legs with the index on (airport, phase, window),
+    keeping only this leg's own lookups: ``_<tag>_hits`` is an array whose
+    element h holds the value at exactly ``instant - h hours`` (NULL when
+    none). The index map itself is dropped right after the join, so a
+    later shuffle of the legs carries at most max_lag + 1 entries."""
     phase, window = _band_keys(F.col(instant), max_lag)
     keyed = legs.select("*", phase.alias(f"_{tag}_lphase"), window.alias(f"_{tag}_lwindow"))
     right = index.select(F.col("_airport").alias(f"_{tag}_airport"), F.col("_phase").alias(f"_{tag}_phase"),
@@ -218,13 +221,14 @@ def _attach(legs: DataFrame, index: DataFrame, airport: str, instant: str, tag:
     cond = ((F.col(airport) == F.col(f"_{tag}_airport"))
             & (F.col(f"_{tag}_lphase") == F.col(f"_{tag}_phase"))
             & (F.col(f"_{tag}_lwindow") == F.col(f"_{tag}_window")))
-    return keyed.join(right, cond, "left").drop(
-        f"_{tag}_airport", f"_{tag}_phase", f"_{tag}_window", f"_{tag}_lphase", f"_{tag}_lwindow")
+    lookups = ", ".join(f"`_{tag}_index`[{bq(instant)} - INTERVAL '{h}' HOUR]" for h in range(max_lag + 1))
+    return keyed.join(right, cond, "left").selectExpr(
+        *[bq(c) for c in legs.columns], f"array({lookups}) AS _{tag}_hits")
 
 
 def _lookup(tag: str, instant: str, h: int) -> str:
-    """SQL: observations at exactly ``instant - h hours`` (map lookup, NULL if none)."""
-    return f"`_{tag}_index`[{bq(instant)} - INTERVAL '{h}' HOUR]"
+    """SQL: the value at exactly ``instant - h hours`` (NULL if none)."""
+    return f"`_{tag}_hits`[{h}]"
 
 
 # --------------------------------------------------------------------------
