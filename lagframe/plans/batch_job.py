@@ -21,6 +21,8 @@ from lagframe.plans.guards import materialize
 from lagframe.schemas import (
     MAX_DEPTH, MAX_LAG_HOURS, MISSING_THRESHOLD, NUM_TREES, ON_TIME_THRESHOLD, PCA_K, SEED,
 )
+from lagframe.session import scratch_path
+from lagframe.sources.csv import read_feed, stage_to_parquet
 from lagframe.sources.sampling import sample_by_key
 
 
@@ -70,3 +72,20 @@ def run(legs_raw: DataFrame, obs_raw: DataFrame, stations: DataFrame,
     trained = train_classifier(table, LABEL, cfg.features, cfg.num_trees, cfg.max_depth, cfg.k,
                                cfg.scale, cfg.seed, cfg.split_key)
     return PipelineResult(joined, table, trained, trained.metrics())
+
+
+def run_from_csv(spark, legs_path: str, obs_path: str, stations_path: str,
+                 cfg: PipelineConfig | None = None, legs_schema=None, obs_schema=None,
+                 stage: bool = True) -> PipelineResult:
+    """The job from the three CSV feeds (directories or files, with header).
+
+    With ``stage`` the two large feeds are first written once as Parquet
+    under the shared checkpoint folder, so every later pass scans typed
+    columns instead of re-parsing text."""
+    legs = read_feed(spark, legs_path, legs_schema)
+    obs = read_feed(spark, obs_path, obs_schema)
+    stations = read_feed(spark, stations_path)
+    if stage:
+        legs = stage_to_parquet(legs, scratch_path(spark, "legs-feed"))
+        obs = stage_to_parquet(obs, scratch_path(spark, "obs-feed"))
+    return run(legs, obs, stations, cfg)

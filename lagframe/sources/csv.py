@@ -31,6 +31,17 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
+def stage_to_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Write a feed once as Parquet (optionally partitioned, e.g. by date)
+    and return the staged table: later scans are columnar, pruned and
+    filter-pushed instead of re-parsing every CSV line."""
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def write_metrics(metrics: DataFrame, path: str) -> None:
     """Write a (metric, value) table as one headed CSV file under ``path``."""
     write_csv(metrics.select("metric", "value"), path, single_file=True)

@@ -47,3 +47,19 @@ def test_pipeline_end_to_end(spark):
     assert len(m) == 8 and 0 <= m["accuracy"] <= 1
     assert res.joined.count() == 9420
     assert "FT_OnTime" in res.table.columns and not any(c.startswith("OT_") for c in res.table.columns)
+
+
+def test_job_from_csv_feeds(spark, tmp_dir):
+    import os
+
+    from lagframe.plans.batch_job import run_from_csv
+    from lagframe.sources.csv import write_csv
+    t = Tables(spark, SF)
+    paths = {n: os.path.join(tmp_dir, n) for n in ("legs", "obs", "stations")}
+    write_csv(t.legs_raw, paths["legs"])
+    write_csv(t.obs_raw, paths["obs"])
+    write_csv(t.stations, paths["stations"], single_file=True)
+    res = run_from_csv(spark, paths["legs"], paths["obs"], paths["stations"],
+                       PipelineConfig(num_trees=2, max_depth=2))
+    assert res.joined.count() == 9420
+    assert res.metrics.count() == 8
