@@ -330,8 +330,8 @@ def lag_join_long_exploded(legs: DataFrame, obs: DataFrame, max_lag: int = MAX_L
     """The same long layout by the textbook plan (explode legs, two left
     joins). Kept as an executable definition for tests and comparison."""
     lagged = leg_lags(legs, max_lag)
-    o = obs.select([qcol(c).alias(c + ORIGIN_SUFFIX) for c in obs.columns])
-    d = obs.select([qcol(c).alias(c + DEST_SUFFIX) for c in obs.columns])
+    o = obs.toDF(*[c + ORIGIN_SUFFIX for c in obs.columns])
+    d = obs.toDF(*[c + DEST_SUFFIX for c in obs.columns])
     out = lagged.join(o, (F.col("FT_ORIGIN_DATE_TIME_LAG") == F.col(OBS_INSTANT + ORIGIN_SUFFIX))
                       & (F.col(LEG_ORIGIN) == F.col(OBS_AIRPORT + ORIGIN_SUFFIX)), "left")
     return out.join(d, (F.col("FT_DEST_DATE_TIME_LAG") == F.col(OBS_INSTANT + DEST_SUFFIX))
@@ -395,10 +395,10 @@ def lag_join_wide_unkeyed(legs: DataFrame, obs: DataFrame, max_lag: int = UNKEYE
     o_cols, d_cols = wide_columns(obs, columns)
     df = legs
     for h in range(max_lag + 1):
-        o = obs.select(F.col(OBS_INSTANT).alias(f"_o_at_{h}"),
-                       *[qcol(c).alias(f"{c}_Part_{h}") for c in o_cols])
-        d = obs.select(F.col(OBS_INSTANT).alias(f"_d_at_{h}"),
-                       *[qcol(c).alias(f"{c}_Dest_Part_{h}") for c in d_cols])
+        o = obs.selectExpr(f"{bq(OBS_INSTANT)} AS _o_at_{h}",
+                           *[f"{bq(c)} AS {bq(f'{c}_Part_{h}')}" for c in o_cols])
+        d = obs.selectExpr(f"{bq(OBS_INSTANT)} AS _d_at_{h}",
+                           *[f"{bq(c)} AS {bq(f'{c}_Dest_Part_{h}')}" for c in d_cols])
         df = (df.join(o, shift_hours(LEG_DEPARTURE, h) == F.col(f"_o_at_{h}"), "left")
                 .join(d, shift_hours(LEG_ARRIVAL, h) == F.col(f"_d_at_{h}"), "left")
                 .drop(f"_o_at_{h}", f"_d_at_{h}"))
