@@ -9,10 +9,14 @@ shuffling that 12x table through two joins, the join is a bucketed band
 join: observations are indexed by (airport, second-of-hour phase,
 (max_lag + 1)-hour window), each copied into two windows, and legs take
 two equi-joins on those keys at their own size (AQE picks broadcast or
-sort-merge). The lag rows are generated last, by map lookups and
-generators inside the same stage, without another shuffle. The keys
-spread a hub airport over phases and windows, so no single key
-concentrates the legs, and each index entry is bounded by the window.
+sort-merge). Right after each join a leg keeps only its own max_lag + 1
+lookups, and the lag rows are generated last, by native generators inside
+the same stage, without another shuffle. The keys spread a hub airport
+over phases and windows, so no single key concentrates the legs, and each
+index entry is bounded by the window. Observations repeated at one
+(airport, instant) are listed up to MAX_LIST_PER_INSTANT; beyond that the
+legs touching the instant are expanded by equi-joins instead, so no list
+grows with the data.
 """
 
 from __future__ import annotations
