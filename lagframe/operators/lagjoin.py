@@ -99,6 +99,21 @@ def leg_lags(legs: DataFrame, max_lag: int = MAX_LAG_HOURS) -> DataFrame:
 # map instant -> observations (at most 2 x (max_lag + 1) instants).
 
 HOUR = 3600
+SNAPS = (None, "hour")
+
+
+def _check_snap(snap: str | None) -> None:
+    if snap not in SNAPS:
+        raise ValueError(f"snap must be None or 'hour', got {snap!r}")
+
+
+def _instant(name: str, snap: str | None) -> Column:
+    """The instant a join matches on: exact, or truncated to the hour."""
+    return F.date_trunc("hour", F.col(name)) if snap else F.col(name)
+
+
+def _instant_sql(name: str, snap: str | None) -> str:
+    return f"date_trunc('hour', {bq(name)})" if snap else bq(name)
 
 
 def _window_seconds(max_lag: int) -> int:
@@ -118,14 +133,14 @@ def _band_keys(instant: Column, max_lag: int) -> tuple[Column, Column]:
 MAX_LIST_PER_INSTANT = 64
 
 
-def _spread(obs: DataFrame, max_lag: int) -> DataFrame:
+def _spread(obs: DataFrame, max_lag: int, snap: str | None = None) -> DataFrame:
     """(_airport, _ts, _obs, _phase, _copy, _window) hash-partitioned by
     (airport, phase, window); every observation in its window (copy 0) and
     the next (copy 1)."""
     payload = F.struct(*[qcol(c) for c in obs.columns]).alias("_obs")
     valid = F.col(OBS_INSTANT).isNotNull() & F.col(OBS_AIRPORT).isNotNull()
     base = obs.where(valid).select(F.col(OBS_AIRPORT).alias("_airport"),
-                                   F.col(OBS_INSTANT).alias("_ts"), payload)
+                                   _instant(OBS_INSTANT, snap).alias("_ts"), payload)
     phase, window = _band_keys(F.col("_ts"), max_lag)
     width = _window_seconds(max_lag)
     return base.select("_airport", "_ts", "_obs", phase.alias("_phase"),
@@ -136,16 +151,17 @@ def _spread(obs: DataFrame, max_lag: int) -> DataFrame:
 _INDEX_KEYS = ["_airport", "_phase", "_window"]
 
 
-def _counted(obs: DataFrame, max_lag: int) -> DataFrame:
+def _counted(obs: DataFrame, max_lag: int, snap: str | None = None) -> DataFrame:
     """The spread rows with ``_n``, the number of observations at their
     (airport, instant); a window on the existing partitioning, no shuffle."""
-    return _spread(obs, max_lag).withColumn(
+    return _spread(obs, max_lag, snap).withColumn(
         "_n", F.count(F.lit(1)).over(Window.partitionBy(*_INDEX_KEYS, "_ts")))
 
 
 def observation_index(obs: DataFrame, max_lag: int = MAX_LAG_HOURS,
                       dedup_by: str | None = None, dedup: bool = False,
-                      max_list: int | None = MAX_LIST_PER_INSTANT) -> DataFrame:
+                      max_list: int | None = MAX_LIST_PER_INSTANT,
+                      snap: str | None = None) -> DataFrame:
     """(_airport, _phase, _window, _index map<timestamp, value>).
 
     With ``dedup`` the value is the single observation with the smallest
@@ -160,13 +176,13 @@ def observation_index(obs: DataFrame, max_lag: int = MAX_LAG_HOURS,
     _check_lag(max_lag)
     if dedup:
         pick = F.min_by("_obs", F.col("_obs")[dedup_by]) if dedup_by else F.min("_obs")
-        per_instant = _spread(obs, max_lag).groupBy(*_INDEX_KEYS, "_ts").agg(pick.alias("_v"))
+        per_instant = _spread(obs, max_lag, snap).groupBy(*_INDEX_KEYS, "_ts").agg(pick.alias("_v"))
     elif max_list is None:
-        per_instant = (_spread(obs, max_lag).groupBy(*_INDEX_KEYS, "_ts")
+        per_instant = (_spread(obs, max_lag, snap).groupBy(*_INDEX_KEYS, "_ts")
                        .agg(F.count(F.lit(1)).alias("_n"), F.collect_list("_obs").alias("_list"))
                        .select(*_INDEX_KEYS, "_ts", F.struct("_n", "_list").alias("_v")))
     else:
-        per_instant = (_counted(obs, max_lag).groupBy(*_INDEX_KEYS, "_ts").agg(
+        per_instant = (_counted(obs, max_lag, snap).groupBy(*_INDEX_KEYS, "_ts").agg(
             F.max("_n").alias("_n"),
             F.collect_list(F.when(F.col("_n") <= F.lit(max_list), F.col("_obs"))).alias("_list"))
             .select(*_INDEX_KEYS, "_ts", F.struct("_n", "_list").alias("_v")))
@@ -174,31 +190,33 @@ def observation_index(obs: DataFrame, max_lag: int = MAX_LAG_HOURS,
             .agg(F.map_from_entries(F.collect_list(F.struct("_ts", "_v"))).alias("_index")))
 
 
-def has_heavy_instants(obs: DataFrame, max_list: int = MAX_LIST_PER_INSTANT) -> bool:
+def has_heavy_instants(obs: DataFrame, max_list: int = MAX_LIST_PER_INSTANT,
+                       snap: str | None = None) -> bool:
     """One narrow aggregation over the observation keys: does any (airport,
     instant) hold more than ``max_list`` observations?"""
     keys = obs.where(F.col(OBS_INSTANT).isNotNull() & F.col(OBS_AIRPORT).isNotNull()).select(
-        OBS_AIRPORT, OBS_INSTANT)
+        OBS_AIRPORT, _instant(OBS_INSTANT, snap).alias(OBS_INSTANT))
     return not keys.groupBy(OBS_AIRPORT, OBS_INSTANT).count().where(
         F.col("count") > F.lit(max_list)).isEmpty()
 
 
 def heavy_observations(obs: DataFrame, max_lag: int = MAX_LAG_HOURS,
-                       max_list: int = MAX_LIST_PER_INSTANT) -> DataFrame:
+                       max_list: int = MAX_LIST_PER_INSTANT, snap: str | None = None) -> DataFrame:
     """(_airport, _ts, _obs) of instants holding more than ``max_list``
     observations (normally none)."""
-    return (_counted(obs, max_lag).where((F.col("_n") > F.lit(max_list)) & (F.col("_copy") == 0))
+    return (_counted(obs, max_lag, snap).where((F.col("_n") > F.lit(max_list)) & (F.col("_copy") == 0))
             .select("_airport", "_ts", "_obs"))
 
 
-def _expand_heavy(rows: DataFrame, heavy: DataFrame, tag: str, airport: str, instant: str) -> DataFrame:
+def _expand_heavy(rows: DataFrame, heavy: DataFrame, tag: str, airport: str, instant: str,
+                  snap: str | None = None) -> DataFrame:
     """Rows flagged ``_<tag>_pending`` hit a heavy instant: their placeholder
     observation is replaced by every observation at that instant (a left
     equi-join that only pending rows can match; other rows pass unchanged)."""
     h = heavy.select(F.col("_airport").alias("_h_airport"), F.col("_ts").alias("_h_ts"),
                      F.col("_obs").alias("_h_obs"))
     cond = ((F.col(airport) == F.col("_h_airport"))
-            & (shift_hours(instant, F.col("lag")) == F.col("_h_ts"))
+            & (_instant(instant, snap) - F.make_dt_interval(hours=F.col("lag")) == F.col("_h_ts"))
             & F.col(f"_{tag}_pending"))
     out = rows.join(h, cond, "left")
     return out.select(*[F.when(F.col(f"_{tag}_pending"), F.col("_h_obs")).otherwise(F.col(tag)).alias(tag)
@@ -212,20 +230,21 @@ def _pending_sql(sides, max_lag: int) -> str:
 
 
 def _attach(legs: DataFrame, index: DataFrame, airport: str, instant: str, tag: str,
-            max_lag: int) -> DataFrame:
+            max_lag: int, snap: str | None = None) -> DataFrame:
     """Left equi-join of legs with the index on (airport, phase, window),
     keeping only this leg's own lookups: ``_<tag>_hits`` is an array whose
     element h holds the value at exactly ``instant - h hours`` (NULL when
     none). The index map itself is dropped right after the join, so a
     later shuffle of the legs carries at most max_lag + 1 entries."""
-    phase, window = _band_keys(F.col(instant), max_lag)
+    phase, window = _band_keys(_instant(instant, snap), max_lag)
     keyed = legs.select("*", phase.alias(f"_{tag}_lphase"), window.alias(f"_{tag}_lwindow"))
     right = index.select(F.col("_airport").alias(f"_{tag}_airport"), F.col("_phase").alias(f"_{tag}_phase"),
                          F.col("_window").alias(f"_{tag}_window"), F.col("_index").alias(f"_{tag}_index"))
     cond = ((F.col(airport) == F.col(f"_{tag}_airport"))
             & (F.col(f"_{tag}_lphase") == F.col(f"_{tag}_phase"))
             & (F.col(f"_{tag}_lwindow") == F.col(f"_{tag}_window")))
-    lookups = ", ".join(f"`_{tag}_index`[{bq(instant)} - INTERVAL '{h}' HOUR]" for h in range(max_lag + 1))
+    at = _instant_sql(instant, snap)
+    lookups = ", ".join(f"`_{tag}_index`[{at} - INTERVAL '{h}' HOUR]" for h in range(max_lag + 1))
     return keyed.join(right, cond, "left").selectExpr(
         *[bq(c) for c in legs.columns], f"array({lookups}) AS _{tag}_hits")
 
@@ -240,14 +259,16 @@ def _lookup(tag: str, instant: str, h: int) -> str:
 # --------------------------------------------------------------------------
 
 def lag_join_long(legs: DataFrame, obs: DataFrame, max_lag: int = MAX_LAG_HOURS,
-                  heavy: bool | None = None) -> DataFrame:
+                  heavy: bool | None = None, snap: str | None = None) -> DataFrame:
     """Long layout: one row per leg, lag and matching observation pair.
 
     Row multiplicity equals two chained left joins of the exploded legs:
     per leg and lag, max(1, origin matches) x max(1, destination matches).
     The rows are generated after the joins, within the same stage.
 
-    ``heavy`` selects the plan for instants holding more than
+    ``snap="hour"`` matches instants truncated to the hour on both sides
+    (off by default: exact instants). ``heavy`` selects the plan for
+    instants holding more than
     ``MAX_LIST_PER_INSTANT`` observations; None checks the observations
     first (one narrow aggregation). Without heavy instants every index
     entry is a bounded list and the rows come from one pass; with them,
@@ -255,11 +276,12 @@ def lag_join_long(legs: DataFrame, obs: DataFrame, max_lag: int = MAX_LAG_HOURS,
     equi-joins, so no observation list grows without bound.
     """
     _check_lag(max_lag)
+    _check_snap(snap)
     if heavy is None:
-        heavy = has_heavy_instants(obs)
-    index = observation_index(obs, max_lag, max_list=MAX_LIST_PER_INSTANT if heavy else None)
-    joined = _attach(_attach(legs, index, LEG_ORIGIN, LEG_DEPARTURE, "o", max_lag),
-                     index, LEG_DEST, LEG_ARRIVAL, "d", max_lag)
+        heavy = has_heavy_instants(obs, snap=snap)
+    index = observation_index(obs, max_lag, max_list=MAX_LIST_PER_INSTANT if heavy else None, snap=snap)
+    joined = _attach(_attach(legs, index, LEG_ORIGIN, LEG_DEPARTURE, "o", max_lag, snap),
+                     index, LEG_DEST, LEG_ARRIVAL, "d", max_lag, snap)
     keep = [bq(c) for c in legs.columns]
     per_lag = ", ".join(f"named_struct('lag', {h}, 'oh', {_lookup('o', LEG_DEPARTURE, h)}, "
                         f"'dh', {_lookup('d', LEG_ARRIVAL, h)})" for h in range(max_lag + 1))
@@ -280,9 +302,9 @@ def lag_join_long(legs: DataFrame, obs: DataFrame, max_lag: int = MAX_LAG_HOURS,
         flags = [f"coalesce(oh._n > {MAX_LIST_PER_INSTANT}, false) AS _o_pending",
                  f"coalesce(dh._n > {MAX_LIST_PER_INSTANT}, false) AS _d_pending"]
         heavy_rows = generate(flagged.where("_heavy"), flags)
-        hobs = heavy_observations(obs, max_lag)
-        heavy_rows = _expand_heavy(heavy_rows, hobs, "o", LEG_ORIGIN, LEG_DEPARTURE)
-        heavy_rows = _expand_heavy(heavy_rows, hobs, "d", LEG_DEST, LEG_ARRIVAL)
+        hobs = heavy_observations(obs, max_lag, snap=snap)
+        heavy_rows = _expand_heavy(heavy_rows, hobs, "o", LEG_ORIGIN, LEG_DEPARTURE, snap)
+        heavy_rows = _expand_heavy(heavy_rows, hobs, "d", LEG_DEST, LEG_ARRIVAL, snap)
         rows = light.unionByName(heavy_rows.drop("_o_pending", "_d_pending"))
     dep, arr = bq(LEG_DEPARTURE), bq(LEG_ARRIVAL)
     return rows.selectExpr(
@@ -297,7 +319,8 @@ def lag_join_long(legs: DataFrame, obs: DataFrame, max_lag: int = MAX_LAG_HOURS,
 
 
 def lag_join_side(legs: DataFrame, obs: DataFrame, side: str = "origin",
-                  max_lag: int = MAX_LAG_HOURS, heavy: bool | None = None) -> DataFrame:
+                  max_lag: int = MAX_LAG_HOURS, heavy: bool | None = None,
+                  snap: str | None = None) -> DataFrame:
     """One endpoint only: legs x lags left-joined with that endpoint's
     observations (suffix _ORIG or _DEST); ``heavy`` as in ``lag_join_long``."""
     _check_lag(max_lag)
@@ -306,10 +329,11 @@ def lag_join_side(legs: DataFrame, obs: DataFrame, side: str = "origin",
     airport, instant, suffix, lag_name = (
         (LEG_ORIGIN, LEG_DEPARTURE, ORIGIN_SUFFIX, "FT_ORIGIN_DATE_TIME_LAG") if side == "origin"
         else (LEG_DEST, LEG_ARRIVAL, DEST_SUFFIX, "FT_DEST_DATE_TIME_LAG"))
+    _check_snap(snap)
     if heavy is None:
-        heavy = has_heavy_instants(obs)
-    index = observation_index(obs, max_lag, max_list=MAX_LIST_PER_INSTANT if heavy else None)
-    joined = _attach(legs, index, airport, instant, "o", max_lag)
+        heavy = has_heavy_instants(obs, snap=snap)
+    index = observation_index(obs, max_lag, max_list=MAX_LIST_PER_INSTANT if heavy else None, snap=snap)
+    joined = _attach(legs, index, airport, instant, "o", max_lag, snap)
     keep = [bq(c) for c in legs.columns]
     per_lag = ", ".join(f"named_struct('lag', {h}, 'oh', {_lookup('o', instant, h)})"
                         for h in range(max_lag + 1))
@@ -323,7 +347,8 @@ def lag_join_side(legs: DataFrame, obs: DataFrame, side: str = "origin",
         heavy_rows = (flagged.where("_heavy").selectExpr(*keep, f"inline(array({per_lag}))")
                       .selectExpr(*keep, "lag", f"coalesce(oh._n > {MAX_LIST_PER_INSTANT}, false) AS _o_pending",
                                   "explode_outer(oh._list) AS o"))
-        heavy_rows = _expand_heavy(heavy_rows, heavy_observations(obs, max_lag), "o", airport, instant)
+        heavy_rows = _expand_heavy(heavy_rows, heavy_observations(obs, max_lag, snap=snap), "o",
+                                   airport, instant, snap)
         rows = light.unionByName(heavy_rows.drop("_o_pending"))
     return rows.selectExpr(*keep, f"CAST(lag AS INT) AS {LAG}",
                            f"{bq(instant)} - make_dt_interval(0, lag, 0, 0) AS {lag_name}",
@@ -357,7 +382,8 @@ def wide_columns(obs: DataFrame, columns: list[str] | None = None) -> tuple[list
 
 
 def lag_join_wide(legs: DataFrame, obs: DataFrame, max_lag: int = MAX_LAG_HOURS,
-                  columns: list[str] | None = None, dedup_by: str | None = None) -> DataFrame:
+                  columns: list[str] | None = None, dedup_by: str | None = None,
+                  snap: str | None = None) -> DataFrame:
     """Wide layout, keyed by airport: one row per leg, observation columns
     ``<c>_Part_<h>`` (origin) and ``<c>_Dest_Part_<h>`` (destination).
 
@@ -366,9 +392,10 @@ def lag_join_wide(legs: DataFrame, obs: DataFrame, max_lag: int = MAX_LAG_HOURS,
     de-duplicated observations, with exactly as many rows as legs.
     """
     o_cols, d_cols = wide_columns(obs, columns)
-    index = observation_index(obs, max_lag, dedup_by, dedup=True)
-    joined = _attach(_attach(legs, index, LEG_ORIGIN, LEG_DEPARTURE, "o", max_lag),
-                     index, LEG_DEST, LEG_ARRIVAL, "d", max_lag)
+    _check_snap(snap)
+    index = observation_index(obs, max_lag, dedup_by, dedup=True, snap=snap)
+    joined = _attach(_attach(legs, index, LEG_ORIGIN, LEG_DEPARTURE, "o", max_lag, snap),
+                     index, LEG_DEST, LEG_ARRIVAL, "d", max_lag, snap)
     keep = [bq(c) for c in legs.columns]
     lags = range(max_lag + 1)
     # one map lookup per lag and side; the field projections read its result
@@ -413,7 +440,7 @@ def lag_join(legs: DataFrame, obs: DataFrame, layout: str = "long",
              max_lag: int = MAX_LAG_HOURS, **kwargs) -> DataFrame:
     """Choose the layout by name: ``long`` or ``wide``."""
     if layout == "long":
-        return lag_join_long(legs, obs, max_lag)
+        return lag_join_long(legs, obs, max_lag, snap=kwargs.get("snap"))
     if layout == "wide":
         return lag_join_wide(legs, obs, max_lag, **kwargs)
     raise ValueError(f"invalid layout {layout!r}: accepted values are 'long' or 'wide'")

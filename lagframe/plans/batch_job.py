@@ -41,6 +41,7 @@ class PipelineConfig:
     split_key: str | None = None           # e.g. a leg id: a leg's lag rows stay together
     features: list[str] | None = None
     materialize_with: str = "checkpoint"
+    snap: str | None = None                # "hour": match instants truncated to the hour
     wide_kwargs: dict = field(default_factory=dict)
 
 
@@ -66,7 +67,7 @@ def run(legs_raw: DataFrame, obs_raw: DataFrame, stations: DataFrame,
         cfg: PipelineConfig | None = None) -> PipelineResult:
     cfg = cfg or PipelineConfig()
     legs, obs = prepare(legs_raw, obs_raw, stations, cfg)
-    joined = lag_join(legs, obs, cfg.layout, cfg.max_lag, **cfg.wide_kwargs)
+    joined = lag_join(legs, obs, cfg.layout, cfg.max_lag, snap=cfg.snap, **cfg.wide_kwargs)
     joined = materialize(joined, cfg.materialize_with)
     table = build_training_table(joined, cfg.on_time_threshold, cfg.missing_threshold)
     trained = train_classifier(table, LABEL, cfg.features, cfg.num_trees, cfg.max_depth, cfg.k,

@@ -171,3 +171,17 @@ def test_expanding_path_on_ordinary_data(spark):
     c = lagjoin.lag_join_side(legs, obs, "dest", heavy=True)
     d = lagjoin.lag_join_side(legs, obs, "dest", heavy=False)
     assert _canon(c) == _canon(d.select(*c.columns))
+
+
+def test_snap_to_hour(spark):
+    # departure 01:05; observations at 22:51 and 00:51 the day before / same day
+    legs, obs = _tables(spark, [(1, "2024-01-02", "A", "B", "105", "0", "0", "0", "60")], [
+        (10, "100", "2024-01-01", "2251", "1"), (11, "100", "2024-01-02", "0051", "2")])
+    exact = lagjoin.lag_join_long(legs, obs)
+    assert exact.where("OT_oid_ORIG IS NOT NULL").count() == 0
+    snapped = {r.hours_lag: r.OT_oid_ORIG for r in lagjoin.lag_join_long(legs, obs, snap="hour").collect()}
+    assert snapped[3] == 10 and snapped[1] == 11 and sum(v is not None for v in snapped.values()) == 2
+    wide = lagjoin.lag_join_wide(legs, obs, columns=["OT_oid"], snap="hour").first()
+    assert wide.OT_oid_Part_3 == 10 and wide.OT_oid_Part_1 == 11 and wide.OT_oid_Part_0 is None
+    with pytest.raises(ValueError):
+        lagjoin.lag_join_long(legs, obs, snap="minute")
