@@ -157,16 +157,17 @@ BASE_MAPPED = BASE_LEGS + (LEGS_MAPPED,)
 BASE_OBS = (obs_raw(), obs_prepared(), obs_mapped())
 
 
-def long_cte(obs: str = "obs_mapped", name: str = "long") -> str:
+def long_cte(obs: str = "obs_mapped", name: str = "long", snap: bool = False) -> str:
     o = ", ".join(f"o.{q(c)} AS {q(c + '_ORIG')}" for c, _ in C_OBS_MAPPED)
     d = ", ".join(f"d.{q(c)} AS {q(c + '_DEST')}" for c, _ in C_OBS_MAPPED)
+    t = (lambda e: f"date_trunc('hour', {e})") if snap else (lambda e: e)
     return f"""{name} AS (
   SELECT l.*, {o}, {d}
   FROM legs_lagged l
   LEFT JOIN {obs} o ON l.FT_ORIGIN_AIRPORT_ID = o.OT_ORIGIN_AIRPORT_ID
-                   AND l.FT_ORIGIN_DATE_TIME_LAG = o.OT_WEATHER_TIMESTAMP
+                   AND {t('l.FT_ORIGIN_DATE_TIME_LAG')} = {t('o.OT_WEATHER_TIMESTAMP')}
   LEFT JOIN {obs} d ON l.FT_DEST_AIRPORT_ID = d.OT_ORIGIN_AIRPORT_ID
-                   AND l.FT_DEST_DATE_TIME_LAG = d.OT_WEATHER_TIMESTAMP)"""
+                   AND {t('l.FT_DEST_DATE_TIME_LAG')} = {t('d.OT_WEATHER_TIMESTAMP')})"""
 
 
 BASE_LONG = BASE_MAPPED + BASE_OBS + (LEGS_LAGGED, long_cte())
@@ -299,6 +300,10 @@ def oracles() -> dict[str, str]:
         "SELECT hours_lag, count(*) AS n_rows, count(OT_WEATHER_TIMESTAMP_ORIG) AS origin_matches, "
         "count(OT_WEATHER_TIMESTAMP_DEST) AS dest_matches, round(avg(OT_Visibility_ORIG), 4) AS origin_visibility, "
         "round(avg(OT_Visibility_DEST), 4) AS dest_visibility FROM long GROUP BY hours_lag")
+    s["lag_match_profile_snapped"] = with_(*BASE_MAPPED, *BASE_OBS, LEGS_LAGGED, long_cte(snap=True)) + (
+        "SELECT hours_lag, count(*) AS n_rows, count(OT_WEATHER_TIMESTAMP_ORIG) AS origin_matches, "
+        "count(OT_WEATHER_TIMESTAMP_DEST) AS dest_matches, round(avg(OT_Visibility_ORIG), 4) AS origin_visibility, "
+        "round(avg(OT_Visibility_DEST), 4) AS dest_visibility FROM long GROUP BY hours_lag")
     s["row_count"] = with_(*BASE_LONG) + (
         "SELECT 'legs_raw' AS table_name, count(*) AS n_rows FROM legs_raw UNION ALL "
         "SELECT 'legs', count(*) FROM legs_prepared UNION ALL "

@@ -281,6 +281,13 @@ def q_lag_match_profile(spark, sf):
     return lag_match_profile(Tables(spark, sf).long)
 
 
+@query
+def q_lag_match_profile_snapped(spark, sf):
+    """The same profile with instants matched to the hour on both sides."""
+    t = Tables(spark, sf)
+    return lag_match_profile(lagjoin.lag_join_long(t.legs_mapped, t.obs_mapped, snap="hour"))
+
+
 def lag_match_profile(long: DataFrame) -> DataFrame:
     return (long.groupBy("hours_lag").agg(
         F.count(F.lit(1)).alias("n_rows"),
