@@ -63,3 +63,11 @@ def test_job_from_csv_feeds(spark, tmp_dir):
                        PipelineConfig(num_trees=2, max_depth=2))
     assert res.joined.count() == 9420
     assert res.metrics.count() == 8
+
+
+def test_observation_index_shuffles_once(spark):
+    from lagframe.operators import lagjoin
+    t = Tables(spark, SF)
+    for kwargs in ({}, {"max_list": None}, {"dedup": True, "dedup_by": "OT_oid"}):
+        plan = _plan(lagjoin.observation_index(t.obs_mapped, **kwargs))
+        assert plan.count("Exchange hashpartitioning") == 1, kwargs
