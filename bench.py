@@ -14,10 +14,14 @@ profile, sparse drop, imputation) and RandomForrest (fit, score, metrics).
 
 from __future__ import annotations
 
+import collections
+import glob
+import io
 import json
 import os
 import sys
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -36,12 +40,40 @@ def run_noop(df) -> None:
 
 
 def timed(results: dict, name: str, fn):
+    sc = _SPARK[0].sparkContext if _SPARK else None
+    if sc is not None:
+        sc.setJobGroup(name, name)
     t0 = time.perf_counter()
     out = fn()
     results[name] = round(time.perf_counter() - t0, 3)
     return out
 
 
+_SPARK: list = []
+
+
+def shuffle_mb(event_dir: str, groups: set[str]) -> dict[str, float]:
+    """Shuffle bytes written per job group, from the session's event log."""
+    try:
+        import zstandard
+    except ImportError:
+        return {}
+    stage_group, written = {}, collections.Counter()
+    for path in glob.glob(os.path.join(event_dir, "**", "events_*"), recursive=True):
+        with open(path, "rb") as fh:
+            raw = zstandard.ZstdDecompressor().stream_reader(fh) if path.endswith(".zstd") else fh
+            for line in io.TextIOWrapper(raw, encoding="utf-8"):
+                e = json.loads(line)
+                if e.get("Event") == "SparkListenerJobStart":
+                    g = (e.get("Properties") or {}).get("spark.jobGroup.id")
+                    for sid in e["Stage IDs"]:
+                        stage_group[sid] = g
+                elif e.get("Event") == "SparkListenerTaskEnd":
+                    w = (e.get("Task Metrics") or {}).get("Shuffle Write Metrics") or {}
+                    written[stage_group.get(e["Stage ID"])] += w.get("Shuffle Bytes Written", 0)
+    return {g: round(written[g] / 1e6, 2) for g in sorted(groups) if g in written}
+
+
 WARMUP_DIR = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.01")
 
 
@@ -91,11 +123,19 @@ def stages(spark, sf_dir: str, q: dict[str, float]) -> dict:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
+    # stage metrics come from Spark's event log, written to a fresh folder
+    # (the UI and its REST interface stay off)
+    event_dir = os.path.join(os.environ.get("BENCH_EVENT_DIR", "/tmp"), f"lagframe-events-{uuid.uuid4().hex}")
+    os.makedirs(event_dir, exist_ok=True)
+    spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2, extra_conf={
+        "spark.eventLog.enabled": "true", "spark.eventLog.dir": "file://" + event_dir})
+    _SPARK.append(spark)
     if os.environ.get("BENCH_WARMUP", "1") != "0" and os.path.isdir(WARMUP_DIR):
         stages(spark, WARMUP_DIR, {})
     q: dict[str, float] = {}
     metrics = stages(spark, sf_dir, q)
+    spark.stop()                       # flushes the event log
+    shuffles = shuffle_mb(event_dir, set(q))
     total = round(sum(q[k] for k in PIPELINE), 3)
     wide = {
         "Load data": q["load_feeds"],
@@ -112,6 +152,7 @@ def main() -> None:
     print(json.dumps({"metric": "long_layout_total", "value": total, "unit": "sec", "queries": q,
                       "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
                       "cpus": int(cpus), "stages": grouped, "stages_wide": wide,
+                      "shuffle_written_mb": shuffles,
                       "wide_layout_total": round(sum(wide.values()), 3),
                       "baseline_long_layout_sec": {"Load data": 11.97, "Restatements": 1.69, "JoinOperations+Filtering": 119.90,
                                                    "RandomForrest": 701.27},

@@ -28,14 +28,14 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
-                app_name: str = "lagframe") -> SparkSession:
+                app_name: str = "lagframe", extra_conf: dict | None = None) -> SparkSession:
     """Local session for tests and the bench; clusters pass their own."""
     builder = (SparkSession.builder.master(master).appName(app_name)
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", os.environ.get("LAGFRAME_DRIVER_MEMORY", "8g")))
-    for key, value in SQL_CONF.items():
+    for key, value in {**SQL_CONF, **(extra_conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
