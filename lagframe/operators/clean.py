@@ -106,3 +106,28 @@ def prepare_observations(obs: DataFrame, stations: DataFrame, prefix: str = OBS_
     df = df.withColumns({"Time": zero_pad("Time", 4), "Date": parse_date("Date", DATE_FORMAT)})
     df = df.withColumn("WEATHER_TIMESTAMP", parse_instant("Date", "Time", OBS_INSTANT_FORMAT))
     return prefix_columns(df, prefix)
+
+
+def leg_losses(legs: DataFrame, stations: DataFrame, normalize: bool = True) -> DataFrame:
+    """One row: how many raw legs each cleaning step removes.
+
+    n_legs, n_not_completed (cancelled, diverted or a NULL flag),
+    n_unknown_origin / n_unknown_dest (completed legs whose airport is not
+    in the station dimension, lost by the inner joins), n_kept. One pass:
+    left joins with the broadcast station keys, then counts."""
+    dim = station_dimension(stations, normalize)
+    typed = type_legs(legs)
+    done = (F.col("DIVERTED") != 1) & (F.col("CANCELLED") != 1)
+    flagged = typed.select("ORIGIN_AIRPORT_ID", "DEST_AIRPORT_ID", F.coalesce(done, F.lit(False)).alias("_done"))
+    keys = dim.select("AirportID")
+    o = keys.select(F.col("AirportID").alias("_o_known"))
+    d = keys.select(F.col("AirportID").alias("_d_known"))
+    j = (flagged.join(o, F.col("ORIGIN_AIRPORT_ID") == F.col("_o_known"), "left")
+         .join(d, F.col("DEST_AIRPORT_ID") == F.col("_d_known"), "left"))
+    done_c = F.col("_done")
+    return j.agg(
+        F.count(F.lit(1)).alias("n_legs"),
+        F.count_if(~done_c).alias("n_not_completed"),
+        F.count_if(done_c & F.col("_o_known").isNull()).alias("n_unknown_origin"),
+        F.count_if(done_c & F.col("_d_known").isNull()).alias("n_unknown_dest"),
+        F.count_if(done_c & F.col("_o_known").isNotNull() & F.col("_d_known").isNotNull()).alias("n_kept"))

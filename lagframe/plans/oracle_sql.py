@@ -239,6 +239,16 @@ def oracles() -> dict[str, str]:
     s["prepare_legs"] = with_(*BASE_LEGS) + present(C_LEGS, "legs_prepared")
     s["prepare_observations"] = with_(STATIONS, obs_raw(), obs_prepared()) + present(C_OBS, "obs_prepared")
     s["cast_legs"] = with_(STATIONS, LEGS_RAW, LEGS_TYPED) + present(C_LEGS_TYPED, "legs_typed")
+    s["leg_losses"] = with_(STATIONS, LEGS_RAW, LEGS_TYPED, """f AS (
+  SELECT l.*, COALESCE(l.DIVERTED <> 1 AND l.CANCELLED <> 1, false) AS done,
+         o.AirportID AS o_known, d.AirportID AS d_known
+  FROM legs_typed l
+  LEFT JOIN stations o ON l.ORIGIN_AIRPORT_ID = o.AirportID
+  LEFT JOIN stations d ON l.DEST_AIRPORT_ID = d.AirportID)""") + (
+        "SELECT count(*) AS n_legs, count(*) FILTER (WHERE NOT done) AS n_not_completed, "
+        "count(*) FILTER (WHERE done AND o_known IS NULL) AS n_unknown_origin, "
+        "count(*) FILTER (WHERE done AND d_known IS NULL) AS n_unknown_dest, "
+        "count(*) FILTER (WHERE done AND o_known IS NOT NULL AND d_known IS NOT NULL) AS n_kept FROM f")
     s["cast_measures"] = with_(obs_raw()) + (
         "SELECT WBAN, Date, Time, round(TRY_CAST(Visibility AS DOUBLE), 4) AS Visibility, oid FROM obs_raw")
     s["completed_legs"] = with_(LEGS_RAW, LEGS_TYPED) + present(

@@ -106,6 +106,12 @@ def q_prepare_observations(spark, sf):
     return present(Tables(spark, sf).obs)
 
 
+@query
+def q_leg_losses(spark, sf):
+    t = Tables(spark, sf)
+    return clean.leg_losses(t.legs_raw, t.stations)
+
+
 @query
 def q_cast_legs(spark, sf):
     return present(clean.type_legs(Tables(spark, sf).legs_raw))

@@ -97,3 +97,17 @@ def test_nan_delay_zero_filled(spark):
     df = spark.createDataFrame([(float("nan"),), (None,), (3.0,)], "ARR_DELAY_NEW double")
     vals = [r[0] for r in clean.zero_fill(df).collect()]
     assert vals == [0.0, 0.0, 3.0] and not any(math.isnan(v) for v in vals)
+
+
+def test_leg_losses_counts_each_step(spark):
+    rows = [
+        (1, "2024-01-01", "A", "B", "1005", "0", "0.00", "0.00", "90"),
+        (2, "2024-01-01", "A", "B", "1005", "0", "1.00", "0.00", "90"),   # cancelled
+        (3, "2024-01-01", "A", "B", "1005", "0", None, "0.00", "90"),     # NULL flag
+        (4, "2024-01-01", "Z", "B", "1005", "0", "0", "0", "90"),         # unknown origin
+        (5, "2024-01-01", "A", "Y", "1005", "0", "0", "0", "90"),         # unknown destination
+    ]
+    r = clean.leg_losses(helpers.legs(spark, rows), helpers.stations(spark)).first()
+    assert (r.n_legs, r.n_not_completed, r.n_unknown_origin, r.n_unknown_dest, r.n_kept) == (5, 2, 1, 1, 1)
+    kept = clean.prepare_legs(helpers.legs(spark, rows), helpers.stations(spark)).count()
+    assert kept == r.n_kept
