@@ -26,6 +26,12 @@ from lagframe.sources.csv import read_feed, stage_to_parquet
 from lagframe.sources.sampling import sample_by_key
 
 
+# Columns identifying a leg in the training table; in the long layout the
+# default split hashes them, so the lag rows of one leg stay together.
+LEG_IDENTITY = ["FT_FL_DATE", "FT_ORIGIN_AIRPORT_ID", "FT_DEST_AIRPORT_ID", "FT_CRS_DEP_TIME",
+                "FT_CRS_ELAPSED_TIME"]
+
+
 @dataclass
 class PipelineConfig:
     layout: str = "long"
@@ -38,7 +44,7 @@ class PipelineConfig:
     scale: bool = True
     seed: int = SEED
     sample_pct: int | None = None          # keep legs and observations of the same days
-    split_key: str | None = None           # e.g. a leg id: a leg's lag rows stay together
+    split_key: str | list[str] | None = None   # default for long: hash of LEG_IDENTITY
     features: list[str] | None = None
     materialize_with: str = "checkpoint"
     snap: str | None = None                # "hour": match instants truncated to the hour
@@ -70,8 +76,11 @@ def run(legs_raw: DataFrame, obs_raw: DataFrame, stations: DataFrame,
     joined = lag_join(legs, obs, cfg.layout, cfg.max_lag, snap=cfg.snap, **cfg.wide_kwargs)
     joined = materialize(joined, cfg.materialize_with)
     table = build_training_table(joined, cfg.on_time_threshold, cfg.missing_threshold)
+    split_key = cfg.split_key
+    if split_key is None and cfg.layout == "long":
+        split_key = [c for c in LEG_IDENTITY if c in table.columns] or None
     trained = train_classifier(table, LABEL, cfg.features, cfg.num_trees, cfg.max_depth, cfg.k,
-                               cfg.scale, cfg.seed, cfg.split_key)
+                               cfg.scale, cfg.seed, split_key)
     return PipelineResult(joined, table, trained, trained.metrics())
 
 

@@ -63,6 +63,10 @@ def test_job_from_csv_feeds(spark, tmp_dir):
                        PipelineConfig(num_trees=2, max_depth=2))
     assert res.joined.count() == 9420
     assert res.metrics.count() == 8
+    # default long-layout split: a leg's lag rows never straddle train and test
+    leg = ["FT_FL_DATE", "FT_ORIGIN_AIRPORT_ID", "FT_DEST_AIRPORT_ID", "FT_CRS_DEP_TIME", "FT_CRS_ELAPSED_TIME"]
+    tr, te = res.trained.train.select(*leg).distinct(), res.trained.test.select(*leg).distinct()
+    assert te.count() > 0 and tr.intersect(te).count() == 0
 
 
 def test_observation_index_shuffles_once(spark):
