@@ -341,6 +341,9 @@ def oracles() -> dict[str, str]:
     train_cols = C_LEGS_LAGGED + [("FT_OnTime", "i")]
     s["training_table"] = with_(*BASE_LONG, "lab AS (SELECT *, CASE WHEN FT_ARR_DELAY_NEW <= 15.0 THEN 1 ELSE 0 END"
                                 " AS FT_OnTime FROM long)") + present(train_cols, "lab")
+    s["training_table_wide"] = with_(*BASE_LEGS, LEGS_MAPPED) + present(
+        C_LEGS_MAPPED + [("FT_OnTime", "i")],
+        "(SELECT *, CASE WHEN FT_ARR_DELAY_NEW <= 15.0 THEN 1 ELSE 0 END AS FT_OnTime FROM legs_mapped)", "w")
     ci = []
     for c in ("FT_ORIGIN_AIRPORT_ID", "FT_CRS_DEP_TIME"):
         ci.append(f"SELECT '{c}' AS column_name, {c} AS value, count(*) AS n, "

@@ -347,6 +347,14 @@ def q_training_table(spark, sf):
     return present(_training_table(spark, sf))
 
 
+@query
+def q_training_table_wide(spark, sf):
+    """Label, sparse drop and imputation over the wide layout."""
+    t = Tables(spark, sf)
+    wide = materialize(lagjoin.lag_join_wide(t.legs_mapped, t.obs_dup_mapped, dedup_by="OT_oid"), "checkpoint")
+    return present(quality.build_training_table(wide))
+
+
 @query
 def q_category_index(spark, sf):
     legs = Tables(spark, sf).legs
