@@ -185,3 +185,12 @@ def test_snap_to_hour(spark):
     assert wide.OT_oid_Part_3 == 10 and wide.OT_oid_Part_1 == 11 and wide.OT_oid_Part_0 is None
     with pytest.raises(ValueError):
         lagjoin.lag_join_long(legs, obs, snap="minute")
+
+
+def test_wide_picks_smallest_id_at_heavy_instant(spark):
+    n = lagjoin.MAX_LIST_PER_INSTANT + 6
+    legs, obs = _tables(spark, [(1, "2024-01-02", "A", "B", "101", "0", "0", "0", "60")],
+                        [(500 - j, "100", "2024-01-01", "2201", str(j)) for j in range(n)])
+    w = lagjoin.lag_join_wide(legs, obs, columns=["OT_oid"], dedup_by="OT_oid").first()
+    assert w.OT_oid_Part_3 == 500 - (n - 1)
+    assert sum(getattr(w, f"OT_oid_Part_{h}") is not None for h in range(12)) == 1
