@@ -6,18 +6,42 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lagframe.llm import packing
+from lagframe.llm import langid, minhash, mixing, packing, quality_rules
 from lagframe.llm.common import stage
 from lagframe.llm.tokens import tokenizer_path
 from lagframe.session import configure
 
 
+def check_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and the certified cutoffs."""
+    return quality_rules.keep_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is identified, by a model of the documents given."""
+    return langid.keep_identified(docs, langid.fit_languages(docs))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group, on shingles of five words."""
+    return minhash.keep_first(docs, width=5)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The copies that the target weights ask for, in the order of the curriculum."""
+    return mixing.mix_documents(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of every document, placed in sequences of 2048 ids."""
     return packing.pack_documents(docs, tokenizer_path())
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality rules", check_quality),
+    ("language ID", identify_language),
+    ("near-dedup", drop_near_duplicates),
+    ("mixing", mix_sources),
     ("packing", pack),
 ]
 

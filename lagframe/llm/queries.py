@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lagframe.llm import packing, token_files
+from lagframe.llm import (chat, langid, minhash, mixing, packing, quality_rules, token_files, topk,
+                          url_filter, warc)
 from lagframe.llm.tokens import tokenizer_path
 from lagframe.session import configure, scratch_path
 
@@ -20,6 +21,50 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best other vectors for every vector whose id is divisible by 50."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", k=5)
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page judged by the list entries active when it was fetched."""
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.evaluate(url_filter.derived_captures(pages), url_filter.derived_entries(pages))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language, score and acceptance of every document."""
+    docs = table(spark, sf_dir, "documents")
+    rows = docs.select("doc_id", langid.held_out().alias("held_out"), "text")
+    return langid.predict_languages(rows, langid.fit_languages(docs), ["doc_id", "held_out"])
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as read back from the archives written of it."""
+    return warc.round_trip(table(spark, sf_dir, "pages")).drop("url")
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    return quality_rules.judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")) \
+        .drop("stratum", "n_lines")
+
+
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn with its repair and rendered segment."""
+    return chat.repair_conversations(table(spark, sf_dir, "conversations"))
+
+
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document, on shingles of four words."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4)
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words the mix takes of every document."""
+    return mixing.taken_words(table(spark, sf_dir, "documents"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as written to token-id files and read back."""
     files = token_files.write_token_files(table(spark, sf_dir, "documents"),
@@ -27,8 +72,10 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, files)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_packing": op1_packing,
-    "op9_token_files": op9_token_files,
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_packing, op2_topk, op3_url_filter, op4_language_id, op5_warc, op6_quality_rules, op7_chat,
+    op8_minhash, op9_token_files, op10_mixing)}
+
+ORACLES: dict[str, str] = {
+    "op3_url_filter": url_filter.SQL,
 }
-ORACLES: dict[str, str] = {}

@@ -3,7 +3,9 @@
 Byte-level BPE splits a text into words before it merges, and a space only
 ever opens a word. So a text in which every space is followed by a visible
 character can be encoded chunk by chunk, one chunk to a space, and chunks
-that repeat are encoded once. Any other text goes to the tokenizer whole.
+that repeat are encoded once. New chunks go to the tokenizer strung
+together; a token that opens with a space tells where the next one begins.
+Any other text, and any text of another kind of tokenizer, goes there whole.
 """
 
 from __future__ import annotations
@@ -14,8 +16,10 @@ import re
 import numpy as np
 
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
-# Chunks remembered by a worker (about 80 MB); then it starts afresh.
-MEMO_CHUNKS = 400_000
+# Chunks remembered by a worker (about 150 MB); then it starts afresh.
+MEMO_CHUNKS = 800_000
+# New chunks strung together for one call.
+STRING_CHUNKS = 500
 # A space before white space or at the end joins a run that the tokenizer
 # splits by looking ahead.
 _RUN = re.compile(" (?:[\\s᠎]|\\Z)")
@@ -35,15 +39,34 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.memo: dict[str, bytes] = {}
+        vocab = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        self.opens[[i for token, i in vocab.items() if token.startswith("Ġ")]] = True
+        self.chunked = (self.tokenizer.normalizer is None
+                        and "ByteLevel(add_prefix_space=False" in repr(self.tokenizer.pre_tokenizer))
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks without their opening space."""
+        out = []
+        strings = [chunks[i:i + STRING_CHUNKS] for i in range(0, len(chunks), STRING_CHUNKS)]
+        found = self.tokenizer.encode_batch_fast([" " + " ".join(x) for x in strings], add_special_tokens=False)
+        for part, ids in zip(strings, (np.array(x.ids, dtype="<u4") for x in found), strict=True):
+            at = np.flatnonzero(self.opens[ids]).tolist() + [len(ids)]
+            if len(at) != len(part) + 1:
+                raise ValueError("the tokenizer joins words across spaces")
+            data = ids.tobytes()
+            out += [data[4 * a:4 * b] for a, b in zip(at, at[1:])]
+        return out
+
     def encode(self, texts: list[str | None], end_id: int | None = None) -> list[np.ndarray]:
         """Ids of each text, null as empty, with ``end_id`` appended."""
         tail = b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()
         out: list[bytes] = [b""] * len(texts)
+        firsts: dict[int, str] = {}
         chunks: dict[int, list[str]] = {}
         whole: list[int] = []
         new: set[str] = set()
@@ -52,25 +75,21 @@ class Encoder:
         for i, text in enumerate(texts):
             if not text:
                 continue
-            if _RUN.search(text):
+            if not self.chunked or _RUN.search(text):
                 whole.append(i)
                 continue
-            # "\0" marks the first chunk, which has no space before it
             first, *rest = text.split(" ")
-            if first:
-                rest.append("\0" + first)
-            chunks[i] = rest
+            firsts[i], chunks[i] = first, rest
             new.update(set(rest).difference(self.memo))
+        new.discard("")
         if new:
             added = list(new)
-            self.memo.update(zip(added, self._whole(
-                [c[1:] if c[:1] == "\0" else " " + c for c in added]), strict=True))
+            self.memo.update(zip(added, self._chunks(added), strict=True))
         look = self.memo.__getitem__
+        opening = [i for i, first in firsts.items() if first]
+        head = dict(zip(opening, self._whole([firsts[i] for i in opening]), strict=True))
         for i, rest in chunks.items():
-            if rest and rest[-1][:1] == "\0" and not texts[i].startswith(" "):
-                out[i] = look(rest[-1]) + b"".join(map(look, rest[:-1]))
-            else:
-                out[i] = b"".join(map(look, rest))
+            out[i] = head.get(i, b"") + b"".join(map(look, rest))
         for i, ids in zip(whole, self._whole([texts[i] for i in whole]), strict=True):
             out[i] = ids
         return [np.frombuffer(x + tail, dtype="<u4") for x in out]
