@@ -7,12 +7,12 @@ computed, and every pair of one group from each forms a table key: with m
 groups of r minhashes on either side, m * m tables of 2r minhashes come
 from 2mr hash functions instead of 2rmm.
 
-A bucket is never expanded into pairs. Each has one leader, drawn anew for
-every table, and members are compared with their leader on full sets. What
-isn't linked to its leader is then compared with those members that the
-triangle inequality of the Jaccard distance leaves possible and that aren't
-in its component yet. So all colliding pairs are decided, most of them
-without being listed. Components come from label exchange over the links.
+A bucket is never expanded into pairs. Each has one leader, and members are
+compared with their leader on full sets. Only a document that isn't linked
+to a leader of its is then compared with the other documents it shares a
+table with, as far as their components differ and their sizes allow a link.
+So all colliding pairs are decided, most of them without being listed.
+Components come from label exchange over the links.
 
 At 12 x 3 minhashes a side, a pair with similarity 0.8 shares a table with
 probability 0.9996, one with 0.9 with 1 - 1e-6.
@@ -32,6 +32,7 @@ from lagframe.llm.common import map_columns, pick, positional, stage
 GROUPS = 12          # minhash groups on either side
 GROUP_HASHES = 3     # minhashes of a group
 BLOCK = 4096         # shingles hashed at once
+SKETCH_BITS = 1024   # of the parity sketch, a multiple of 64
 SIGNATURE_SCHEMA = ("doc_id long, n_shingles long, sum_print long, xor_print long, "
                     "left array<long>, right array<long>")
 
@@ -91,34 +92,102 @@ def sign(docs: DataFrame, width: int) -> DataFrame:
     return stage(map_columns(pick(docs, "doc_id", "text"), work, SIGNATURE_SCHEMA), "signatures")
 
 
+def parity_sketch(shingles: np.ndarray) -> list[int]:
+    """Parity of the set in each of SKETCH_BITS cells, as longs.
+
+    Two sketches differ in at most as many bits as the sets differ in
+    shingles: a bound that never rules out a link.
+    """
+    cells = np.bincount((shingles & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(cells.astype(np.uint8)).view(np.int64).tolist()
+
+
 def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """doc, shingles for each (doc, sum_print) in ``wanted``; written."""
+    """doc, shingles, sketch for each (doc, sum_print) in ``wanted``; written."""
 
     def work(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
         for batch in batches:
-            found = [(d, s.view(np.int64).tolist()) for d, t, p in zip(batch["doc"], batch["text"], batch["sum_print"])
+            found = [(d, s) for d, t, p in zip(batch["doc"], batch["text"], batch["sum_print"], strict=True)
                      if int(mix(s := shingle_set(t, width)).sum(dtype=np.uint64).view(np.int64)) == p]
-            yield {"doc": [x[0] for x in found], "shingles": [x[1] for x in found]}
+            yield {"doc": [d for d, _ in found], "shingles": [s.view(np.int64).tolist() for _, s in found],
+                   "sketch": [parity_sketch(s) for _, s in found]}
 
-    rows = pick(docs, "doc_id", "text").withColumnRenamed("doc_id", "doc").join(wanted, "doc")
-    sets = stage(map_columns(rows.select("doc", "text", "sum_print"), work, "doc long, shingles array<long>"), "sets")
-    return sets
+    rows = (pick(docs, "doc_id", "text").withColumnRenamed("doc_id", "doc").join(wanted, "doc")
+            .withColumn("hash", F.xxhash64("text")).dropDuplicates(["doc", "hash"]))
+    return stage(map_columns(rows.select("doc", "text", "sum_print"), work,
+                             "doc long, shingles array<long>, sketch array<long>"), "sets")
 
 
-def bucket_members(classes: DataFrame) -> DataFrame:
-    """key, doc, n_shingles, leader of every bucket with two classes or more; written.
+def active_documents(classes: DataFrame) -> DataFrame:
+    """doc, n_shingles, sum_print and those groups that another class has too; written.
 
-    The leader is the member whose number, turned by the key, is least: one
-    long per key, combined before the shuffle, and another member in every
-    table. Full members are only shuffled to where a leader is.
+    Only a group that two classes share can be part of a table key that
+    they share, so all others are left out before keys are formed: most
+    documents share none on one of the sides and have no key at all.
+    """
+    groups = classes.select("doc", F.explode(F.concat(
+        F.transform("left", lambda g: F.struct(F.lit(True).alias("is_left"), g.alias("g"))),
+        F.transform("right", lambda g: F.struct(F.lit(False).alias("is_left"), g.alias("g"))))).alias("x")) \
+        .select("doc", "x.is_left", "x.g")
+    shared = stage(groups.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g"), "shared")
+    sides = [F.array_sort(F.collect_list(F.when(c, F.col("g")))) for c in (F.col("is_left"), ~F.col("is_left"))]
+    found = (groups.join(shared, "g").groupBy("doc").agg(sides[0].alias("left"), sides[1].alias("right"))
+             .where("size(left) > 0 and size(right) > 0"))
+    return stage(classes.select("doc", "n_shingles", "sum_print").join(found, "doc"), "active")
+
+
+def bucket_members(active: DataFrame) -> DataFrame:
+    """doc, leader of every member of a bucket with two classes or more; written.
+
+    A table key combines a left with a right group. The leader is the least
+    member: one long per key, combined before the shuffle. A document has
+    the same leader in many tables, so few pairs are left to compare.
+    """
+    keys = (active.select("doc", F.explode("left").alias("x"), "right")
+            .select("doc", "x", F.explode("right").alias("y"))
+            .select("doc", F.xxhash64("x", "y").alias("key")))
+    leaders = keys.groupBy("key").agg(F.min("doc").alias("leader"), F.count("*").alias("n")).where("n > 1")
+    leaders = stage(leaders.select("key", "leader"), "leaders")
+    return stage(keys.join(leaders, "key").select("doc", "leader").distinct(), "members")
+
+
+def shared_shingles(sets: DataFrame) -> DataFrame:
+    """doc, n_own: how many of its shingles no other of the documents has; written."""
+    once = (sets.select("doc", F.explode("shingles").alias("shingle")).groupBy("shingle")
+            .agg(F.min("doc").alias("doc"), F.max("doc").alias("last")).where("doc = last"))
+    return stage(once.groupBy("doc").agg(F.count("*").alias("n_own")), "own")
+
+
+def unsettled_pairs(active: DataFrame, unlinked: DataFrame, components: DataFrame, sets: DataFrame,
+                    percent: int) -> DataFrame:
+    """a, b of the colliding pairs that the leaders left open; written.
+
+    A link within a bucket joins two members of its leader's component, or
+    one of them isn't linked to the leader. So it's enough to compare the
+    latter with whatever they share a table with outside their component.
+    A link needs an intersection of at least percent / (100 + percent) of
+    both sizes together, and neither document can bring more to it than the
+    shingles that any other document has; nor may their parity sketches
+    differ in more bits than the sets of a link in shingles. Pairs meet at the first left group
+    they have in common, so each comes up once however many tables it shares.
     """
-    keys = (classes.select("doc", "n_shingles", F.explode("left").alias("x"), "right")
-            .select("doc", "n_shingles", "x", F.explode("right").alias("y"))
-            .select("doc", "n_shingles", F.xxhash64("x", "y").alias("key")))
-    turned = F.col("doc").bitwiseXOR(F.col("key"))
-    leaders = (keys.groupBy("key").agg(F.min(turned).alias("turned"), F.count("*").alias("n")).where("n > 1")
-               .select("key", F.col("turned").bitwiseXOR(F.col("key")).alias("leader")))
-    return stage(keys.join(stage(leaders, "leaders"), "key"), "members")
+    known = (active.join(components.withColumnRenamed("node", "doc"), "doc", "left")
+             .join(unlinked.withColumn("open", F.lit(True)), "doc", "left")
+             .join(shared_shingles(sets), "doc", "left").join(sets.select("doc", "sketch"), "doc")
+             .select("doc", "n_shingles", (F.col("n_shingles") - F.coalesce("n_own", F.lit(0))).alias("n_shared"),
+                     "left", "right", *[F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH_BITS // 64)],
+                     F.coalesce("component", "doc").alias("component"),
+                     F.coalesce("open", F.lit(False)).alias("open"))
+             .where(f"100 * n_shared >= {percent} * n_shingles"))
+    rows = stage(known, "known").withColumn("g", F.explode("left"))
+    differ = " + ".join(f"bit_count(u.s{i} ^ r.s{i})" for i in range(SKETCH_BITS // 64))
+    pairs = rows.where("open").alias("u").join(rows.alias("r"), F.expr(f"""u.g = r.g and u.component <> r.component
+        and (not r.open or u.doc < r.doc)
+        and 100 * least(u.n_shingles, r.n_shingles) >= {percent} * greatest(u.n_shingles, r.n_shingles)
+        and {100 + percent} * least(u.n_shared, r.n_shared) >= {percent} * (u.n_shingles + r.n_shingles)
+        and {100 + percent} * ({differ}) <= {100 - percent} * (u.n_shingles + r.n_shingles)
+        and array_min(array_intersect(u.left, r.left)) = u.g and arrays_overlap(u.right, r.right)"""))
+    return stage(pairs.select(F.expr("least(u.doc, r.doc) a"), F.expr("greatest(u.doc, r.doc) b")), "unsettled")
 
 
 def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -169,30 +238,18 @@ def near_duplicates(docs: DataFrame, width: int, percent: int = 80) -> DataFrame
     classes = stage(signed.where("n_shingles > 0").groupBy(*prints)
                     .agg(F.min("doc_id").alias("doc"), F.first("left").alias("left"), F.first("right").alias("right"))
                     .where("doc is not null"), "classes")
-    members = bucket_members(classes)
-    wanted = stage(members.select("doc").distinct().join(classes.select("doc", "sum_print"), "doc"), "wanted")
+    active = active_documents(classes)
+    members = bucket_members(active)
+    wanted = stage(members.select("doc").distinct().join(active.select("doc", "sum_print"), "doc"), "wanted")
     sets = full_sets(docs, wanted, width)
-    ends = [F.least("doc", "leader").alias("a"), F.greatest("doc", "leader").alias("b")]
-    compared = compare(members.where("doc <> leader").select(*ends).distinct(), sets)
     linked = F.expr(f"100 * common >= {percent} * total")
-    components = connected(compared.where(linked))
-
-    # what a leader didn't settle
-    seen = members.select("key", "doc", "n_shingles", "leader", *ends).join(
-        compared.withColumn("near", F.col("common") / F.col("total")).withColumn("linked", linked), ["a", "b"])
-    seen = seen.join(components.withColumnRenamed("node", "doc"), "doc", "left").select(
-        "key", "doc", "n_shingles", "near", "linked", F.coalesce("component", "doc").alias("component"))
-    seen = stage(seen, "seen")
-    u, r = seen.where(~F.col("linked")).alias("u"), seen.alias("r")
-    slack = 1 - percent / 100 + 1e-9
-    left = u.join(r, F.expr(f"""u.key = r.key and u.component <> r.component
-        and (r.linked or u.doc < r.doc) and abs(u.near - r.near) <= {slack}
-        and 100 * least(u.n_shingles, r.n_shingles) >= {percent} * greatest(u.n_shingles, r.n_shingles)"""))
-    pairs = stage(left.select(F.expr("least(u.doc, r.doc) a"), F.expr("greatest(u.doc, r.doc) b")).distinct(), "left")
-    if not pairs.isEmpty():
-        more = compare(pairs, sets).where(linked)
-        if not more.isEmpty():
-            components = connected(compared.where(linked).unionByName(more).select("a", "b").distinct())
+    compared = compare(members.where("doc <> leader").select(F.col("leader").alias("a"), F.col("doc").alias("b")), sets)
+    links = compared.where(linked).select("a", "b")
+    components = connected(links)
+    unlinked = stage(compared.where(~linked).select(F.col("b").alias("doc")).distinct(), "unlinked")
+    more = compare(unsettled_pairs(active, unlinked, components, sets, percent), sets).where(linked).select("a", "b")
+    if not more.isEmpty():
+        components = connected(links.unionByName(more))
 
     chosen = classes.select(*prints, F.col("doc").alias("node"))
     found = (signed.select("doc_id", *prints).join(chosen, prints, "left")
