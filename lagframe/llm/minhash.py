@@ -28,10 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lagframe.llm.common import map_columns, pick, positional, stage
+from lagframe.plans.guards import broadcast_dimension
 
 GROUPS = 12          # minhash groups on either side
 GROUP_HASHES = 3     # minhashes of a group
 BLOCK = 4096         # shingles hashed at once
+WANTED_ROWS = 500_000   # ids broadcast at most (16 bytes each); beyond, the texts are shuffled to them
 SKETCH_BITS = 1024   # of the parity sketch, a multiple of 64
 SIGNATURE_SCHEMA = ("doc_id long, n_shingles long, sum_print long, xor_print long, "
                     "left array<long>, right array<long>")
@@ -112,7 +114,8 @@ def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             yield {"doc": [d for d, _ in found], "shingles": [s.view(np.int64).tolist() for _, s in found],
                    "sketch": [parity_sketch(s) for _, s in found]}
 
-    rows = (pick(docs, "doc_id", "text").withColumnRenamed("doc_id", "doc").join(wanted, "doc")
+    rows = (pick(docs, "doc_id", "text").withColumnRenamed("doc_id", "doc")
+            .join(broadcast_dimension(wanted, WANTED_ROWS), "doc")
             .withColumn("hash", F.xxhash64("text")).dropDuplicates(["doc", "hash"]))
     return stage(map_columns(rows.select("doc", "text", "sum_print"), work,
                              "doc long, shingles array<long>, sketch array<long>"), "sets")
@@ -269,6 +272,7 @@ def keep_first(docs: DataFrame, width: int, percent: int = 80) -> DataFrame:
     found = stage(near_duplicates(docs, width, percent).select("doc_id", "kept"), "kept")
     at, key = positional(docs), f"c{docs.columns.index('doc_id')}"
     gone = found.where("not kept and doc_id is not null").select(F.col("doc_id").alias("gone")).distinct()
+    gone = broadcast_dimension(stage(gone, "gone"), WANTED_ROWS)
     out = at.join(gone, at[key] == gone["gone"], "left_anti")
     again = stage(found.where("doc_id is not null").groupBy(F.col("doc_id").alias("again")).count()
                   .where("count > 1").select("again"), "again")
