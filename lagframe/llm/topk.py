@@ -64,7 +64,7 @@ class Postings:
             asked = np.flatnonzero(queries[:, t])
             if len(asked) and len(at):
                 out[np.ix_(asked, at)] += np.multiply.outer(queries[asked, t].astype(kind), weights.astype(kind))
-        return out
+        return out if kind is np.int64 else np.clip(out, *LONG)
 
     def best(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, int, int]]:
         """(query_id, vec_id, score) of each query's k best rows, its own rows aside."""
@@ -78,7 +78,7 @@ class Postings:
                 others, row = others[kept], row[kept]
             # rows stand in id order, so a stable sort gives ties to the smaller id
             for i in np.argsort(-row, kind="stable")[:k].tolist():
-                yield query_id, int(self.ids[others[i]]), min(max(int(row[i]), LONG[0]), LONG[1])
+                yield query_id, int(self.ids[others[i]]), int(row[i])
 
 
 def query_blocks(path: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
