@@ -19,7 +19,7 @@ from pyspark.sql.types import StructType
 from lagframe.session import scratch_path
 
 # Documents per Arrow batch: texts may be long, so batches are kept short.
-TEXT_BATCH_ROWS = 1000
+TEXT_BATCH_ROWS = 500
 
 # Word characters are everything but space and the five ASCII controls 9-13;
 # bytes.split() and bytes.translate() without arguments use the same set.

@@ -19,7 +19,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -212,8 +212,8 @@ def keep_identified(docs: DataFrame, model: LanguageModel) -> DataFrame:
     at = positional(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("boolean")
-    def accepted(texts: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.predict(x)[2] for x in texts], dtype=bool)
+    @F.arrow_udf("boolean")
+    def accepted(texts: pa.Array) -> pa.Array:
+        return pa.array([shared.value.predict(x)[2] for x in texts.to_pylist()], pa.bool_())
 
     return at.where(accepted(f"c{docs.columns.index('text')}")).toDF(*docs.columns)

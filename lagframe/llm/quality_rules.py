@@ -19,7 +19,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -230,9 +230,11 @@ def keep_documents(docs: DataFrame, labels: DataFrame, stratum: str = "lang") ->
     at = positional(docs)
     text, group = (f"c{docs.columns.index(n)}" for n in ("text", stratum))
 
-    @F.pandas_udf(COUNTS_SCHEMA)
-    def counted(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([text_counts(x) for x in texts], columns=COUNT_NAMES)
+    @F.arrow_udf(COUNTS_SCHEMA)
+    def counted(texts: pa.Array) -> pa.Array:
+        rows = [text_counts(x) for x in texts.to_pylist()]
+        return pa.StructArray.from_arrays([pa.array([r[i] for r in rows], pa.int64())
+                                           for i in range(len(COUNT_NAMES))], COUNT_NAMES)
 
     rows = at.withColumn("counts", counted(text)).withColumn("stratum", stratum_of(group))
     return (rows.select(*at.columns, "counts.*", "stratum").where(verdict(cutoffs))

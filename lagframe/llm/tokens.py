@@ -16,8 +16,8 @@ import re
 import numpy as np
 
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
-# Chunks remembered by a worker (about 150 MB); then it starts afresh.
-MEMO_CHUNKS = 800_000
+# Chunks remembered by a worker (about 60 MB); then it starts afresh.
+MEMO_CHUNKS = 250_000
 # New chunks strung together for one call.
 STRING_CHUNKS = 500
 # A space before white space or at the end joins a run that the tokenizer
