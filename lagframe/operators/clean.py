@@ -21,8 +21,10 @@ WBAN_WIDTH = 5
 
 def normalize_wban(c) -> F.Column:
     """WBAN text trimmed and zero-padded to 5 digits on both join sides,
-    so a dimension that lost leading zeros still matches the feed."""
-    return zero_pad(F.trim(F.col(c) if isinstance(c, str) else c), WBAN_WIDTH)
+    so a dimension that lost leading zeros still matches the feed. Longer
+    ids stay as they are."""
+    text = F.trim(F.col(c) if isinstance(c, str) else c)
+    return F.when(F.length(text) < WBAN_WIDTH, zero_pad(text, WBAN_WIDTH)).otherwise(text)
 
 
 def station_dimension(stations: DataFrame, normalize: bool = True) -> DataFrame:
@@ -119,7 +121,7 @@ def leg_losses(legs: DataFrame, stations: DataFrame, normalize: bool = True) ->
     typed = type_legs(legs)
     done = (F.col("DIVERTED") != 1) & (F.col("CANCELLED") != 1)
     flagged = typed.select("ORIGIN_AIRPORT_ID", "DEST_AIRPORT_ID", F.coalesce(done, F.lit(False)).alias("_done"))
-    keys = dim.select("AirportID")
+    keys = dim.select("AirportID").distinct()  # an airport listed twice is known once
     o = keys.select(F.col("AirportID").alias("_o_known"))
     d = keys.select(F.col("AirportID").alias("_d_known"))
     j = (flagged.join(o, F.col("ORIGIN_AIRPORT_ID") == F.col("_o_known"), "left")

@@ -408,39 +408,14 @@ def lag_join_wide(legs: DataFrame, obs: DataFrame, max_lag: int = MAX_LAG_HOURS,
     return looked.selectExpr(*out)
 
 
-# Largest lag the unkeyed wide mode accepts unless told otherwise: every
-# lag multiplies the rows by the number of stations reporting at an instant.
-UNKEYED_MAX_LAG = 1
-
-
-def lag_join_wide_unkeyed(legs: DataFrame, obs: DataFrame, max_lag: int = UNKEYED_MAX_LAG,
-                          columns: list[str] | None = None, allow_fanout: bool = False) -> DataFrame:
-    """Wide layout matching on the instant only (any station), as chained
-    left joins. Rows multiply with every lag, so lags above
-    ``UNKEYED_MAX_LAG`` are refused unless ``allow_fanout`` is set."""
-    _check_lag(max_lag)
-    if max_lag > UNKEYED_MAX_LAG and not allow_fanout:
-        raise ValueError(
-            f"unkeyed wide join fans out per lag; max_lag={max_lag} exceeds "
-            f"{UNKEYED_MAX_LAG} (pass allow_fanout=True to run it anyway)")
-    o_cols, d_cols = wide_columns(obs, columns)
-    df = legs
-    for h in range(max_lag + 1):
-        o = obs.selectExpr(f"{bq(OBS_INSTANT)} AS _o_at_{h}",
-                           *[f"{bq(c)} AS {bq(f'{c}_Part_{h}')}" for c in o_cols])
-        d = obs.selectExpr(f"{bq(OBS_INSTANT)} AS _d_at_{h}",
-                           *[f"{bq(c)} AS {bq(f'{c}_Dest_Part_{h}')}" for c in d_cols])
-        df = (df.join(o, shift_hours(LEG_DEPARTURE, h) == F.col(f"_o_at_{h}"), "left")
-                .join(d, shift_hours(LEG_ARRIVAL, h) == F.col(f"_d_at_{h}"), "left")
-                .drop(f"_o_at_{h}", f"_d_at_{h}"))
-    return df
-
-
-def lag_join(legs: DataFrame, obs: DataFrame, layout: str = "long",
-             max_lag: int = MAX_LAG_HOURS, **kwargs) -> DataFrame:
-    """Choose the layout by name: ``long`` or ``wide``."""
+def lag_join(legs: DataFrame, obs: DataFrame, layout: str = "long", max_lag: int = MAX_LAG_HOURS,
+             snap: str | None = None, **wide) -> DataFrame:
+    """Choose the layout by name: ``long`` or ``wide``. What else is given
+    goes to the wide layout; the long one takes nothing more."""
     if layout == "long":
-        return lag_join_long(legs, obs, max_lag, snap=kwargs.get("snap"))
+        if wide:
+            raise TypeError(f"the long layout doesn't take {', '.join(sorted(wide))}")
+        return lag_join_long(legs, obs, max_lag, snap=snap)
     if layout == "wide":
-        return lag_join_wide(legs, obs, max_lag, **kwargs)
+        return lag_join_wide(legs, obs, max_lag, snap=snap, **wide)
     raise ValueError(f"invalid layout {layout!r}: accepted values are 'long' or 'wide'")

@@ -126,7 +126,7 @@ def _impute_exprs(df: DataFrame, rows, max_missing: float, exclude) -> list[str]
         if name in fill:
             t = types[name]
             missing = _missing_numeric_sql(c, t)
-            out.append(f"CASE WHEN {missing} THEN CAST(CAST({fill[name]!r} AS DOUBLE) AS {t.simpleString()}) "
+            out.append(f"CASE WHEN {missing} THEN CAST(CAST('{fill[name]!r}' AS DOUBLE) AS {t.simpleString()}) "
                        f"ELSE {c} END AS {c}")
         else:
             out.append(c)

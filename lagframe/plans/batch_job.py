@@ -64,8 +64,8 @@ def prepare(legs_raw: DataFrame, obs_raw: DataFrame, stations: DataFrame,
     legs = map_legs(prepare_legs(legs_raw, stations))
     obs = map_observations(prepare_observations(obs_raw, stations))
     if cfg.sample_pct is not None:
+        # legs only: their lookups reach back over midnight
         legs = sample_by_key(legs, "FT_FL_DATE", cfg.sample_pct)
-        obs = sample_by_key(obs, "OT_Date", cfg.sample_pct)
     return legs, obs
 
 

@@ -83,7 +83,7 @@ def obs_prepared(src: str = "obs_raw", name: str = "obs_prepared") -> str:
   SELECT s.WBAN AS OT_WBAN, CAST(TRY_STRPTIME(o.Date, '%Y-%m-%d') AS DATE) AS OT_Date,
          lpad(o.Time, 4, '0') AS OT_Time, TRY_CAST(o.Visibility AS DOUBLE) AS OT_Visibility,
          o.oid AS OT_oid, s.AirportID AS OT_ORIGIN_AIRPORT_ID, s.TimeZone AS OT_TimeZone
-  FROM {src} o JOIN stations s ON lpad(trim(o.WBAN), 5, '0') = s.WBAN),
+  FROM {src} o JOIN stations s ON CASE WHEN length(trim(o.WBAN)) < 5 THEN lpad(trim(o.WBAN), 5, '0') ELSE trim(o.WBAN) END = s.WBAN),
 {name} AS (
   SELECT *, TRY_STRPTIME(CAST(OT_Date AS VARCHAR) || ' ' || OT_Time, '%Y-%m-%d %H%M') AS OT_WEATHER_TIMESTAMP
   FROM {name}0)"""
@@ -305,7 +305,6 @@ def oracles() -> dict[str, str]:
     s["lag_join_long_dup"] = with_(*BASE_MAPPED, obs_raw(True), obs_prepared(), obs_mapped(),
                                    LEGS_LAGGED, long_cte()) + present(C_LONG, "long")
     s["lag_join_wide"] = wide_sql(True, MAX_LAG, (obs_raw(True), obs_prepared(), obs_mapped()), dedup=True)
-    s["lag_join_wide_unkeyed"] = wide_sql(False, 1, BASE_OBS, dedup=False)
     s["lag_match_profile"] = with_(*BASE_LONG) + (
         "SELECT hours_lag, count(*) AS n_rows, count(OT_WEATHER_TIMESTAMP_ORIG) AS origin_matches, "
         "count(OT_WEATHER_TIMESTAMP_DEST) AS dest_matches, round(avg(OT_Visibility_ORIG), 4) AS origin_visibility, "

@@ -23,7 +23,6 @@ from lagframe.sources import fixtures, sampling
 from lagframe.sources.csv import read_feed, write_csv
 
 # Parameters of the registered queries.
-WIDE_UNKEYED_MAX_LAG = 1
 SPARSE_THRESHOLD_DOCS = 0.5
 SAMPLE_FRACTION = 0.1
 SAMPLE_PCT = 30
@@ -275,12 +274,6 @@ def q_lag_join_wide(spark, sf):
     return present(lagjoin.lag_join_wide(t.legs_mapped, t.obs_dup_mapped, dedup_by="OT_oid"))
 
 
-@query
-def q_lag_join_wide_unkeyed(spark, sf):
-    t = Tables(spark, sf)
-    return present(lagjoin.lag_join_wide_unkeyed(t.legs_mapped, t.obs_mapped, WIDE_UNKEYED_MAX_LAG))
-
-
 @query
 def q_lag_match_profile(spark, sf):
     """Flagship: per lag, rows, matches at each end and mean visibility."""
@@ -359,7 +352,7 @@ def q_training_table_wide(spark, sf):
 def q_category_index(spark, sf):
     legs = Tables(spark, sf).legs
     cols = ["FT_ORIGIN_AIRPORT_ID", "FT_CRS_DEP_TIME"]
-    indexed = learn.category_indexer(cols).fit(legs).transform(legs)
+    indexed = learn.category_indexer(cols, invalid="skip").fit(legs).transform(legs)
     parts = [indexed.groupBy(F.col(c).alias("value"), F.col(c + "_indexed").cast("long").alias("idx"))
              .agg(F.count(F.lit(1)).alias("n")).select(F.lit(c).alias("column_name"), "value", "n", "idx")
              for c in cols]

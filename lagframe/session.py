@@ -45,9 +45,9 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when the cluster names none (local tests)
-    is a folder of our own set, so lineage cuts and staged tables always
-    land where every executor can read them.
+    Read from the session. A folder of our own is set only for a local
+    master, where all tasks share this machine; on a cluster that names
+    none this raises, as executors couldn't see a folder of the driver's.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,6 +55,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="lagframe-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -3,22 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_feed(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """Read a headed CSV feed (a file or a directory) as text columns.
 
-    With ``schema`` the columns are taken by position and no job is spent
-    on the header; without it names come from the header, every column a
-    string (no inference pass over the data).
+    Names come from the header, every column a string (no inference pass
+    over the data). With ``schema`` its columns are selected by name and
+    typed, in its order, wherever the file has them; a missing one raises,
+    others (such as the unnamed last one, ``_c12``) are left out.
     """
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    if schema is not None:
-        reader = reader.schema(schema)
-    else:
-        reader = reader.option("inferSchema", False)
-    return reader.csv(path)
+    if schema is None:
+        return reader.option("inferSchema", False).csv(path)
+    names = reader.csv(path).columns
+    missing = [f.name for f in schema if f.name not in names]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    types = {f.name: f.dataType for f in schema}
+    there = StructType([StructField(n, types.get(n, StringType())) for n in names])
+    return reader.schema(there).csv(path).select(*[f"`{f.name}`" for f in schema])
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:

@@ -114,12 +114,14 @@ def test_wide_schema_rule(spark):
     assert "OT_WBAN_Part_0" not in wide.columns and "OT_WBAN_Dest_Part_0" in wide.columns
 
 
-def test_unkeyed_wide_fans_out_and_is_guarded(spark):
+def test_layout_by_name_refuses_unknown_arguments(spark):
     legs, obs = _random_case(spark, 7, dup=False)
-    out = lagjoin.lag_join_wide_unkeyed(legs, obs, 1)
-    assert out.count() >= legs.count()
+    with pytest.raises(TypeError):
+        lagjoin.lag_join(legs, obs, "long", columns=["OT_Visibility"])
+    with pytest.raises(TypeError):
+        lagjoin.lag_join(legs, obs, "wide", bogus=1)
     with pytest.raises(ValueError):
-        lagjoin.lag_join_wide_unkeyed(legs, obs, 5)
+        lagjoin.lag_join(legs, obs, "tall")
 
 
 def test_layout_choice(spark):
