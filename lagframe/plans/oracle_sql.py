@@ -382,4 +382,11 @@ def oracles() -> dict[str, str]:
     s["split_by_key"] = with_(*BASE_MAPPED, LEGS_LAGGED) + (
         f"SELECT FT_event_id, hours_lag, CASE WHEN {bucket('FT_event_id')} < 80 THEN 'train' ELSE 'test' END "
         "AS split FROM legs_lagged")
+    s["scored_labels"] = with_(*BASE_MAPPED, LEGS_LAGGED) + (
+        f"""SELECT FT_event_id, hours_lag, FT_OnTime,
+  CASE WHEN FT_OnTime = (SELECT label FROM (
+      SELECT CASE WHEN FT_ARR_DELAY_NEW <= 15 THEN 1 ELSE 0 END AS label, count(*) AS n FROM legs_lagged
+      WHERE {bucket('FT_event_id')} < 80 GROUP BY 1 ORDER BY n DESC, label LIMIT 1)) THEN 0 ELSE 1 END AS label_index
+FROM (SELECT FT_event_id, hours_lag, CASE WHEN FT_ARR_DELAY_NEW <= 15 THEN 1 ELSE 0 END AS FT_OnTime FROM legs_lagged
+      WHERE {bucket('FT_event_id')} >= 80)""")
     return s

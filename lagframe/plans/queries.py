@@ -430,6 +430,13 @@ def q_train_classifier(spark, sf):
     return present(_trained(spark, sf).metrics())
 
 
+@query
+def q_scored_labels(spark, sf):
+    """Every row of the test split with its label, as the scoring returns it."""
+    scored = _trained(spark, sf).predictions
+    return scored.select("FT_event_id", "hours_lag", quality.LABEL, F.col("indexedLabel").cast("int").alias("label_index"))
+
+
 @query
 def q_score_rows(spark, sf):
     trained = _trained(spark, sf)
