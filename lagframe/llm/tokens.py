@@ -5,6 +5,8 @@ ever opens a word. So a text in which every space is followed by a visible
 character can be encoded chunk by chunk, one chunk to a space, and chunks
 that repeat are encoded once. New chunks go to the tokenizer strung
 together; a token that opens with a space tells where the next one begins.
+Of a chunk like "word," the word and the rest are looked up separately, as
+a run of letters always ends a word there.
 Any other text, and any text of another kind of tokenizer, goes there whole.
 """
 
@@ -16,12 +18,13 @@ import re
 import numpy as np
 
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
-# Chunks remembered by a worker (about 60 MB); then it starts afresh.
+# Chunks remembered by a worker (about 60 MB); later ones only for their batch.
 MEMO_CHUNKS = 250_000
 # New chunks strung together for one call.
 STRING_CHUNKS = 500
 # A space before white space or at the end joins a run that the tokenizer
 # splits by looking ahead.
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[\x00-@\\[-`{-\x7f])")
 _RUN = re.compile(" (?:[\\s᠎]|\\Z)")
 
 
@@ -30,6 +33,17 @@ def tokenizer_path(name: str = DEFAULT_TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+class Memo(dict):
+    """Ids of chunks: those kept, and behind them those of one batch."""
+
+    def __init__(self):
+        super().__init__()
+        self.batch: dict[str, bytes] = {}
+
+    def __missing__(self, key: str) -> bytes:
+        return self.batch[key]
+
+
 class Encoder:
     """Encodes lists of texts to little-endian unsigned 32-bit ids."""
 
@@ -38,7 +52,7 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.memo: dict[str, bytes] = {}
+        self.memo = Memo()
         vocab = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.opens[[i for token, i in vocab.items() if token.startswith("Ġ")]] = True
@@ -62,6 +76,20 @@ class Encoder:
             out += [data[4 * a:4 * b] for a, b in zip(at, at[1:])]
         return out
 
+    def _learn(self, new: set[str]) -> None:
+        """Adds the ids of new chunks to the memo, once it's full for this batch only."""
+        memo = self.memo if len(self.memo) < MEMO_CHUNKS else self.memo.batch
+        split = {}
+        for chunk in new:
+            if m := _LETTERS.match(chunk):
+                split[chunk] = (m[0], chunk[m.end():])
+        words = (new.difference(split) | {w for w, _ in split.values()}).difference(self.memo)
+        added = list(words)
+        memo.update(zip(added, self._chunks(added), strict=True))
+        ends = list({end for _, end in split.values()})
+        of_end = dict(zip(ends, self._whole(ends), strict=True))
+        memo.update({chunk: self.memo[w] + of_end[end] for chunk, (w, end) in split.items()})
+
     def encode(self, texts: list[str | None], end_id: int | None = None) -> list[np.ndarray]:
         """Ids of each text, null as empty, with ``end_id`` appended."""
         tail = b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()
@@ -70,8 +98,7 @@ class Encoder:
         chunks: dict[int, list[str]] = {}
         whole: list[int] = []
         new: set[str] = set()
-        if len(self.memo) > MEMO_CHUNKS:
-            self.memo.clear()
+        self.memo.batch = {}
         for i, text in enumerate(texts):
             if not text:
                 continue
@@ -83,8 +110,7 @@ class Encoder:
             new.update(set(rest).difference(self.memo))
         new.discard("")
         if new:
-            added = list(new)
-            self.memo.update(zip(added, self._chunks(added), strict=True))
+            self._learn(new)
         look = self.memo.__getitem__
         opening = [i for i, first in firsts.items() if first]
         head = dict(zip(opening, self._whole([firsts[i] for i in opening]), strict=True))
