@@ -83,7 +83,7 @@ class Encoder:
         for chunk in new:
             if m := _LETTERS.match(chunk):
                 split[chunk] = (m[0], chunk[m.end():])
-        words = (new.difference(split) | {w for w, _ in split.values()}).difference(self.memo)
+        words = {w for w in new.difference(split) | {w for w, _ in split.values()} if w not in self.memo}
         added = list(words)
         memo.update(zip(added, self._chunks(added), strict=True))
         ends = list({end for _, end in split.values()})
@@ -107,7 +107,7 @@ class Encoder:
                 continue
             first, *rest = text.split(" ")
             firsts[i], chunks[i] = first, rest
-            new.update(set(rest).difference(self.memo))
+            new.update(c for c in set(rest) if c not in self.memo)
         new.discard("")
         if new:
             self._learn(new)
