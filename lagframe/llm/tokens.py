@@ -3,10 +3,10 @@
 Byte-level BPE splits a text into words before it merges, and a space only
 ever opens a word. So a text in which every space is followed by a visible
 character can be encoded chunk by chunk, one chunk to a space, and chunks
-that repeat are encoded once. New chunks go to the tokenizer strung
-together; a token that opens with a space tells where the next one begins.
-Of a chunk like "word," the word and the rest are looked up separately, as
-a run of letters always ends a word there.
+that repeat within a group of texts are encoded once. New chunks go to the
+tokenizer strung together; a token that opens with a space tells where the
+next one begins. Of a chunk like "word," the word and the rest are looked up
+separately, as a run of letters always ends a word there.
 Any other text, and any text of another kind of tokenizer, goes there whole.
 """
 
@@ -16,10 +16,16 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
-# Chunks remembered by a worker (about 60 MB); later ones only for their batch.
+# Chunks and endings remembered by a worker (about 70 MB); later ones are
+# encoded anew in each group of texts.
 MEMO_CHUNKS = 250_000
+MEMO_ENDS = 50_000
+# Characters of texts cut at once; a longer text is cut alone.
+GROUP_CHARS = 4_000_000
 # New chunks strung together for one call.
 STRING_CHUNKS = 500
 # A space before white space or at the end joins a run that the tokenizer
@@ -33,17 +39,6 @@ def tokenizer_path(name: str = DEFAULT_TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-class Memo(dict):
-    """Ids of chunks: those kept, and behind them those of one batch."""
-
-    def __init__(self):
-        super().__init__()
-        self.batch: dict[str, bytes] = {}
-
-    def __missing__(self, key: str) -> bytes:
-        return self.batch[key]
-
-
 class Encoder:
     """Encodes lists of texts to little-endian unsigned 32-bit ids."""
 
@@ -52,7 +47,8 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.memo = Memo()
+        self.memo: dict[str, bytes] = {"": b""}
+        self.ends: dict[str, bytes] = {"": b""}
         vocab = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.opens[[i for token, i in vocab.items() if token.startswith("Ġ")]] = True
@@ -76,49 +72,82 @@ class Encoder:
             out += [data[4 * a:4 * b] for a, b in zip(at, at[1:])]
         return out
 
-    def _learn(self, new: set[str]) -> None:
-        """Adds the ids of new chunks to the memo, once it's full for this batch only."""
-        memo = self.memo if len(self.memo) < MEMO_CHUNKS else self.memo.batch
-        split = {}
-        for chunk in new:
-            if m := _LETTERS.match(chunk):
-                split[chunk] = (m[0], chunk[m.end():])
-        words = {w for w in new.difference(split) | {w for w, _ in split.values()} if w not in self.memo}
-        added = list(words)
-        memo.update(zip(added, self._chunks(added), strict=True))
-        ends = list({end for _, end in split.values()})
-        of_end = dict(zip(ends, self._whole(ends), strict=True))
-        memo.update({chunk: self.memo[w] + of_end[end] for chunk, (w, end) in split.items()})
+    def _new_chunks(self, chunks: list[str]) -> list[bytes]:
+        """Ids of distinct chunks not in the memo, with their opening space."""
+        cut = [m.end() if (m := _LETTERS.match(c)) else len(c) for c in chunks]
+        words = [c[:n] for c, n in zip(chunks, cut, strict=True)]
+        ends = [c[n:] for c, n in zip(chunks, cut, strict=True)]
+        new = list({w for w in words if w not in self.memo})
+        of_word = dict(zip(new, self._chunks(new), strict=True))
+        new = list({e for e in ends if e not in self.ends})
+        of_end = dict(zip(new, self._whole(new), strict=True))
+        if len(self.memo) < MEMO_CHUNKS:
+            self.memo.update(of_word)
+        if len(self.ends) < MEMO_ENDS:
+            self.ends.update(of_end)
+        out = [(of_word[w] if w in of_word else self.memo[w]) + (of_end[e] if e in of_end else self.ends[e])
+               for w, e in zip(words, ends, strict=True)]
+        if len(self.memo) < MEMO_CHUNKS:
+            self.memo.update(zip(chunks, out, strict=True))
+        return out
+
+    def _distinct(self, chunks: list[str]) -> list[bytes]:
+        """Ids of distinct chunks, those of the empty one empty."""
+        found = list(map(self.memo.get, chunks))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        if new:
+            for i, ids in zip(new, self._new_chunks([chunks[i] for i in new]), strict=True):
+                found[i] = ids
+        return found
+
+    def _by_chunk(self, texts: list[str], tail: bytes) -> list[np.ndarray]:
+        """Ids of texts that may be cut at every space, with ``tail`` behind each.
+
+        Arrow cuts the texts and numbers the distinct chunks. Their ids lie in
+        one array, and each chunk of a text takes its range of it. The first
+        chunk has no opening space, so it and the tail have ranges of their own.
+        """
+        cut = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        coded = cut.flatten().dictionary_encode()
+        bounds = np.cumsum(pc.list_value_length(cut).to_numpy())
+        pieces = self._distinct(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        n = len(pieces)
+        pieces += self._whole([t.partition(" ")[0] for t in texts]) + [tail]
+        which = coded.indices.to_numpy().astype(np.int64)
+        which[np.append(0, bounds[:-1])] = np.arange(n, n + len(texts))
+        which = np.insert(which, bounds, len(pieces) - 1)
+        sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)) // 4
+        starts = np.cumsum(sizes) - sizes
+        taken = sizes[which]
+        done = np.cumsum(taken)
+        at = np.repeat(starts[which] - done + taken, taken) + np.arange(done[-1])
+        ids = np.frombuffer(b"".join(pieces), dtype="<u4")[at]
+        return np.split(ids, done[bounds + np.arange(len(texts))][:-1])
 
     def encode(self, texts: list[str | None], end_id: int | None = None) -> list[np.ndarray]:
         """Ids of each text, null as empty, with ``end_id`` appended."""
         tail = b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()
-        out: list[bytes] = [b""] * len(texts)
-        firsts: dict[int, str] = {}
-        chunks: dict[int, list[str]] = {}
+        out: list[np.ndarray] = [np.frombuffer(tail, dtype="<u4")] * len(texts)
         whole: list[int] = []
-        new: set[str] = set()
-        self.memo.batch = {}
+        groups: list[list[int]] = [[]]
+        size = 0
         for i, text in enumerate(texts):
             if not text:
                 continue
             if not self.chunked or _RUN.search(text):
                 whole.append(i)
                 continue
-            first, *rest = text.split(" ")
-            firsts[i], chunks[i] = first, rest
-            new.update(c for c in set(rest) if c not in self.memo)
-        new.discard("")
-        if new:
-            self._learn(new)
-        look = self.memo.__getitem__
-        opening = [i for i, first in firsts.items() if first]
-        head = dict(zip(opening, self._whole([firsts[i] for i in opening]), strict=True))
-        for i, rest in chunks.items():
-            out[i] = head.get(i, b"") + b"".join(map(look, rest))
+            if size and size + len(text) > GROUP_CHARS:
+                groups.append([])
+                size = 0
+            groups[-1].append(i)
+            size += len(text)
+        for group in filter(None, groups):
+            for i, ids in zip(group, self._by_chunk([texts[i] for i in group], tail), strict=True):
+                out[i] = ids
         for i, ids in zip(whole, self._whole([texts[i] for i in whole]), strict=True):
-            out[i] = ids
-        return [np.frombuffer(x + tail, dtype="<u4") for x in out]
+            out[i] = np.frombuffer(ids + tail, dtype="<u4")
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
