@@ -25,7 +25,7 @@ DEFAULT_TOKENIZER = "byte_bpe_50k.json"
 MEMO_CHUNKS = 250_000
 MEMO_ENDS = 50_000
 # Characters of texts cut at once; a longer text is cut alone.
-GROUP_CHARS = 4_000_000
+GROUP_CHARS = 1_000_000
 # New chunks strung together for one call.
 STRING_CHUNKS = 500
 # A space before white space or at the end joins a run that the tokenizer
