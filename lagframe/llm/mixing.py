@@ -27,6 +27,9 @@ MAX_REPEATS = 3
 SCHEDULES = ((1.0, 1.0, 1.0), (0.5, 1.0, 1.5), (1.5, 1.0, 0.5))
 BUCKET_ROWS = 500   # rows of a bucket on average
 SOURCE = "source_key"
+#: What the mix is sorted by: training position, then the order within the source.
+ORDER = ("mix_due", "mix_hash", "mix_copy")
+TASK_BITS = 33      # row numbers of one task in monotonically_increasing_id
 
 
 def source_key(column: str) -> Column:
@@ -117,17 +120,60 @@ def sized_documents(docs: DataFrame) -> DataFrame:
                        F.xxhash64("doc_id", "text").alias("row_hash"))
 
 
-def taken_words(docs: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target and taken for every document.
+def taken_copies(placed: DataFrame, schedules: tuple = SCHEDULES) -> DataFrame:
+    """Rows of ``placed``, one per copy the mix takes, with its words and the ORDER columns."""
+    copies = F.array(*[F.struct(F.lit(k).alias("n"), copy_words(k).alias("words"),
+                                due_time((F.col("source_size") * k + F.col("first")).cast("double"), schedules)
+                                .alias("due")) for k in range(MAX_REPEATS)])
+    return (placed.withColumn("copy", F.explode(F.filter(copies, lambda c: c["words"] > 0)))
+            .withColumns({"words": F.col("copy.words"), "mix_due": F.col("copy.due"),
+                          "mix_hash": F.col("row_hash"), "mix_copy": F.col("copy.n")}).drop("copy"))
 
-    Null and empty texts have size 0 and nothing is taken of them; null
-    sources are one source, the last. Repeated rows are documents of their
-    own and stand next to each other. An empty table gives none.
+
+def in_order(copies: DataFrame) -> DataFrame:
+    """Rows with the ORDER columns, sorted by range into the order of training."""
+    return copies.repartitionByRange(*ORDER).sortWithinPartitions(*ORDER)
+
+
+def number_rows(rows: DataFrame, name: str) -> DataFrame:
+    """Range-sorted ``rows`` with ``at``, their number from 0; written.
+
+    A row's number within its task comes with the sorting; only the tasks'
+    row counts are added up, one number a task.
+    """
+    numbered = stage(rows.withColumn("id", F.monotonically_increasing_id()), name) \
+        .withColumn("task", F.shiftright("id", TASK_BITS))
+    before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (numbered.groupBy("task").agg(F.count("*").alias("n"))
+              .select("task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")))
+    inside = F.col("id").bitwiseAND(F.lit((1 << TASK_BITS) - 1))
+    return (numbered.join(F.broadcast(starts), "task")
+            .withColumn("at", F.col("start") + inside).drop("task", "start", "id"))
+
+
+def taken_words(docs: DataFrame, schedules: tuple = SCHEDULES) -> DataFrame:
+    """doc_id, size, source_size, target, taken, first_due and first_order of every document.
+
+    ``first_due`` is the training position in [0, 1] of the document's first
+    copy, ``first_order`` the number of that copy in the whole mix, from 0;
+    both are null where nothing is taken. Null and empty texts have size 0
+    and nothing is taken of them; null sources are one source, the last.
+    Repeated rows are documents of their own and stand next to each other.
+    An empty table gives none.
     """
     sized = sized_documents(docs)
-    placed = place_documents(sized, source_targets(sized))
-    taken = sum((copy_words(k) for k in range(1, MAX_REPEATS)), copy_words(0))
-    return placed.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+    placed = stage(place_documents(sized, source_targets(sized)), "placed")
+    columns = ["doc_id", "size", "source_size", "target"]
+    mix = number_rows(in_order(taken_copies(placed, schedules)), "mix")
+    # rows with words differ in where they start within their source
+    used = (mix.groupBy(*columns, SOURCE, "row_hash", "first")
+            .agg(F.sum("words").alias("taken"), F.min("mix_due").alias("first_due"),
+                 F.min("at").alias("first_order")))
+    rest = placed.where(copy_words(0) <= 0).withColumns({
+        "taken": F.lit(0).cast("long"), "first_due": F.lit(None).cast("double"),
+        "first_order": F.lit(None).cast("long")})
+    columns += ["taken", "first_due", "first_order"]
+    return used.select(*columns).unionByName(rest.select(*columns))
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:
@@ -141,15 +187,8 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     sized = at.withColumns({SOURCE: source_key(names["source"]), "size": word_count(F.col(names["text"])),
                             "row_hash": F.xxhash64(names["doc_id"], names["text"])})
     placed = place_documents(sized, source_targets(sized.select(SOURCE, "size")))
-    copies = F.array(*[F.struct(copy_words(k).alias("words"),
-                                due_time((F.col("source_size") * k + F.col("first")).cast("double")).alias("due"))
-                       for k in range(MAX_REPEATS)])
     words = F.split(F.regexp_replace(names["text"], "^[\\x20\\x09-\\x0D]+", ""), "[\\x20\\x09-\\x0D]+")
-    cut = F.array_join(F.slice(words, 1, F.greatest(F.lit(1), F.col("copy.words").cast("int"))), " ")
-    taken = (placed.withColumn("copy", F.explode(F.filter(copies, lambda c: c["words"] > 0)))
-             .withColumn(names["text"], F.when(F.col("copy.words") < F.col("size"), cut)
-                         .otherwise(F.col(names["text"]))))
-    return (taken.withColumns({"due": F.col("copy.due"), "order": F.col("row_hash")})
-            .select(*at.columns, "due", "order")
-            .repartitionByRange("due", "order").sortWithinPartitions("due", "order")
-            .select(*at.columns).toDF(*docs.columns))
+    cut = F.array_join(F.slice(words, 1, F.greatest(F.lit(1), F.col("words").cast("int"))), " ")
+    taken = (taken_copies(placed)
+             .withColumn(names["text"], F.when(F.col("words") < F.col("size"), cut).otherwise(F.col(names["text"]))))
+    return in_order(taken.select(*at.columns, *ORDER)).select(*at.columns).toDF(*docs.columns)

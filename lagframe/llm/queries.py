@@ -61,7 +61,7 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words the mix takes of every document."""
+    """Words the mix takes of every document, and the training position of its first copy."""
     return mixing.taken_words(table(spark, sf_dir, "documents"))
 
 

@@ -261,6 +261,47 @@ def test_mixing_reaches_its_targets(docs, empty):
     assert mixing.taken_words(empty).count() == 0 and mixing.mix_documents(empty).count() == 0
 
 
+def schedule_time(knots, share):
+    """Time at which the schedule's integral reaches ``share`` of its whole, on a fine grid."""
+    t = np.linspace(0, 1, 20001)
+    w = np.interp(t, np.linspace(0, 1, len(knots)), knots)
+    done = np.concatenate([[0], np.cumsum((w[1:] + w[:-1]) / 2)])
+    return float(np.interp(share, done / done[-1], t))
+
+
+@pytest.mark.parametrize("schedules", [mixing.SCHEDULES, ((3.0, 0.5), (1.0, 4.0, 1.0))])
+def test_mixing_positions_follow_the_schedules(docs, schedules):
+    out = mixing.taken_words(docs, schedules).collect()
+    sources = sorted({r.source for r in docs.collect()}, key=lambda s: (s is None, s or ""))
+    place = {}
+    for i, s in enumerate(sources):
+        total = sum(len((r.text or "").split()) for r in docs.collect() if r.source == s)
+        place[total] = i
+    assert len(place) == len(sources)
+    copies = []
+    for size, i in place.items():
+        rows = sorted((r for r in out if r.source_size == size and r.taken), key=lambda r: r.first_order)
+        target, left = rows[0].target, round(rows[0].target)
+        for k in range(mixing.MAX_REPEATS):
+            c = k * size
+            for r in rows:
+                if c < left:
+                    due = schedule_time(schedules[i % len(schedules)], min(1.0, c / target))
+                    copies.append((due, k))
+                    assert k or r.first_due == pytest.approx(due, abs=1e-3)
+                c += r.size
+    taken = [r for r in out if r.taken]
+    assert all((r.first_due is None) == (r.first_order is None) == (r.taken == 0) for r in out)
+    # a first copy stands where as many copies of any source are due before it
+    dues = sorted(d for d, _ in copies)
+    for r in taken:
+        assert np.searchsorted(dues, r.first_due - 1e-3) <= r.first_order <= np.searchsorted(dues, r.first_due + 1e-3)
+    if schedules is mixing.SCHEDULES:
+        mixed = [r.doc_id for r in mixing.mix_documents(docs).collect()]
+        assert list(dict.fromkeys(mixed)) == list(dict.fromkeys(
+            r.doc_id for r in sorted(taken, key=lambda r: r.first_order)))
+
+
 def test_due_time_inverts_the_schedule(spark):
     from pyspark.sql import functions as F
     frame = spark.range(3).selectExpr("id as place", "100d as target").crossJoin(spark.range(0, 101, 10).toDF("c"))
