@@ -1,21 +1,22 @@
 """Quality rules whose cutoffs are certified on labelled holdouts.
 
 Every document gets five counts over its whole text. A document fails the
-base rules outright when it is too short or repeats itself too much. The
-other rules have no fixed cutoff: for each rule and stratum (language) the
-labelled documents are counted on a fixed grid of the rule's statistic, and
-a cutoff is admitted only if the exact binomial bound shows, at a level
-corrected for the number of rules and strata, that it rejects no more than
-the allowed share of good documents. Cutoffs are tried from the mildest to
-the strictest and the trial stops at the first that can't be certified, so
-that this sequence needs no further correction. Of the certified cutoffs
-the one that best parts bad from good is used, or none.
+base rules outright when it is too short or repeats itself too much. The other
+rules have no fixed cutoff: on a fixed grid of their statistics, each
+stratum (language) gets one vector of cutoffs, and the vector is admitted
+only if the exact binomial bound shows, at a level corrected for the number
+of strata, that all rules together reject no more than the allowed share of
+good documents. The vectors tried are a sequence fixed beforehand, by the
+bad labels and a small part of the good ones that the bound doesn't use.
+Each rejects what the one before does and more. The trial stops at the first
+that can't be certified, so that neither the rules nor the sequence need
+further correction. Of the certified vectors the one that best parts bad
+from good is used, or none.
 """
 
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lagframe.llm.common import SPACES, map_columns, pick, positional, prepare, stage
+from lagframe.plans.guards import broadcast_dimension
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -42,8 +44,11 @@ GRID = 100          # cutoffs tried per rule, evenly spaced up to the top
 GRID_TOP = {"symbols": 1000, "dup_lines": 1000, "repeats": 1000, "long_words": 3000, "short": 1000}
 MAX_FALSE_REJECTION = 0.02
 MISTAKE_PROBABILITY = 0.05
+PLAN_PARTS = 6      # every sixth good label plans the sequence, the others certify it
 MAX_STRATA = 64     # the strata with most labels; all others are judged as one
 OTHER = "*"
+CUTOFF_ROWS = 500_000  # strata whose cutoffs are broadcast; beyond that the join shuffles
+NEVER = 1 << 30
 
 COUNTS_SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, "
                  "n_repeat_words long, n_lines long")
@@ -128,73 +133,135 @@ def binomial_tail(k: int, n: int, p: float) -> float:
     return min(1.0, math.exp(top) * math.fsum(math.exp(x - top) for x in logs))
 
 
-def certify(good: list[int], bad: list[int], share: float, level: float) -> int | None:
-    """The cutoff for one rule and stratum from its counts by grid cell.
+def allowed_losses(n: int, share: float, level: float) -> int:
+    """The most rejected of ``n`` good documents that refute, at ``level``, that
+    more than ``share`` of all good ones are rejected; -1 if none would."""
+    low, high = -1, n - 1
+    while low < high:
+        k = (low + high + 1) // 2
+        low, high = (k, high) if binomial_tail(k, n, share) <= level else (low, k - 1)
+    return low
 
-    A cutoff's null hypothesis is that it rejects more than ``share`` of the
-    good documents; its p-value is the exact binomial tail. Cutoffs go from
-    the mildest on, up to the first that isn't refuted at ``level``.
+
+def plan_sequence(good: np.ndarray, bad: np.ndarray) -> np.ndarray:
+    """The step at which each rule rejects each cell, from counts by rule and cell.
+
+    One step lowers one rule's cutoff as far as it gains most bad documents
+    for the good ones it costs; steps that gain none are left out (NEVER).
+    """
+    steps = np.full(good.shape, NEVER, dtype=np.int64)
+    at = [good.shape[1]] * len(good)
+    step = 0
+    while True:
+        best = None
+        for r, end in enumerate(at):
+            lost = np.cumsum(good[r, end - 1:0:-1])
+            gain = np.cumsum(bad[r, end - 1:0:-1])
+            if not len(gain) or not gain[-1]:
+                continue
+            # half a document is added to the cost, so that a free step with more gain comes first
+            rate = gain / (lost + 0.5)
+            k = int(np.argmax(rate))
+            if best is None or rate[k] > best[0]:
+                best = rate[k], r, end - 1 - k
+        if best is None:
+            return steps
+        _, r, cell = best
+        steps[r, cell:at[r]] = step
+        at[r], step = cell, step + 1
+
+
+def certify(good: np.ndarray, bad: np.ndarray, share: float, level: float) -> int | None:
+    """The last step of the sequence to take, from the documents first rejected at each.
+
+    The last entry counts those never rejected. Steps are certified in
+    their order up to the first whose joint rejection is not refuted to be
+    over ``share``.
     """
-    n_good, n_bad = sum(good), sum(bad)
+    n_good, n_bad = int(good.sum()), int(bad.sum())
     if not n_good or not n_bad:
         return None
-    best, gain, lost, caught = None, 0.0, 0, 0
-    for cell in range(len(good) - 1, 0, -1):
-        lost, caught = lost + good[cell], caught + bad[cell]
-        if binomial_tail(lost, n_good, share) > level:
-            break
-        if caught / n_bad - lost / n_good > gain + 1e-12:
-            best, gain = cell, caught / n_bad - lost / n_good
-    return best
+    lost, caught = np.cumsum(good[:-1]), np.cumsum(bad[:-1])
+    certified = int(np.searchsorted(lost, allowed_losses(n_good, share, level), side="right"))
+    gain = caught[:certified] / n_bad - lost[:certified] / n_good
+    return int(np.argmax(gain)) if certified and gain.max() > 1e-12 else None
+
+
+def planned(key: tuple, rows: pa.Table) -> pa.Table:
+    """The sequence of one stratum: by rule, the step of each cell."""
+    good, bad = (np.zeros((len(RULES), GRID + 1), dtype=np.int64) for _ in range(2))
+    rule, cell = (rows[n].to_numpy() for n in ("rule", "cell"))
+    np.add.at(good, (rule, cell), rows["good"].to_numpy())
+    np.add.at(bad, (rule, cell), rows["bad"].to_numpy())
+    return pa.table({"stratum": pa.array([key[0].as_py()], pa.string()),
+                     "steps": pa.array([plan_sequence(good, bad).tolist()], pa.list_(pa.list_(pa.int32())))})
 
 
 def fit_cutoffs(counts: DataFrame, labels: DataFrame, max_false_rejection: float = MAX_FALSE_REJECTION,
-                mistake_probability: float = MISTAKE_PROBABILITY) -> dict[str, dict[str, int]]:
-    """Certified cutoffs by stratum and rule, from all labelled documents.
+                mistake_probability: float = MISTAKE_PROBABILITY) -> DataFrame:
+    """stratum, n_good (labels the bound rests on) and cutoffs (a cell by rule,
+    null if uncertified) of every labelled stratum; written.
 
     ``counts`` has doc_id, stratum and the counts. A doc_id labelled more
     than once counts once, as good if any label says so; null labels and
     labels without a document don't count. Documents that fail the base
-    rules are out already and are left aside. The driver receives one
-    histogram: at most strata x rules x cells numbers.
+    rules are out already and are left aside.
     """
+    prepare(counts.sparkSession)
     known = (pick(labels, "doc_id", "quality").where("doc_id is not null and quality is not null")
              .groupBy("doc_id").agg(F.max("quality").alias("quality")))
-    held = counts.where(~base_failed()).join(known, "doc_id")
-    cells = held.select("stratum", "quality", F.explode(F.array(
-        *[F.struct(F.lit(r).alias("rule"), grid_index(r).alias("cell")) for r in RULES])).alias("x"))
-    table = stage(cells.groupBy("stratum", "x.rule", "x.cell")
-                  .agg(F.count_if(F.col("quality") > 0).alias("good"), F.count_if(F.col("quality") <= 0).alias("bad")), "rules")
-    sizes = (table.groupBy("stratum").agg(F.sum(F.expr("good + bad")).alias("n"))
-             .orderBy(F.desc("n"), "stratum").limit(MAX_STRATA).collect())
-    names = [r["stratum"] for r in sizes]
-    stratum = F.when(F.col("stratum").isin(names), F.col("stratum")).otherwise(OTHER) if names else F.lit(OTHER)
-    table = (table.groupBy(stratum.alias("stratum"), "rule", "cell")
-             .agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).collect())
-    good, bad = (defaultdict(lambda: [0] * (GRID + 1)) for _ in range(2))
-    for r in table:
-        good[r["stratum"], r["rule"]][r["cell"]] += r["good"]
-        bad[r["stratum"], r["rule"]][r["cell"]] += r["bad"]
-    strata = sorted({s for s, _ in good})
-    level = mistake_probability / max(1, len(strata) * len(RULES))
-    return {s: {r: c for r in RULES if (c := certify(good[s, r], bad[s, r], max_false_rejection / len(RULES),
-                                                      level)) is not None} for s in strata}
-
-
-def verdict(cutoffs: dict[str, dict[str, int]]) -> Column:
-    """Whether a row of counts with its stratum is kept."""
-    def passes(rules: dict[str, int]) -> Column:
-        out = F.lit(True)
-        for rule, cell in rules.items():
-            out = out & (grid_index(rule) < cell)
-        return out
-
-    # strata whose documents all failed the base rules, or without labels, have no cutoffs of their own
-    known = F.when(F.lit(False), True)
-    for s, rules in cutoffs.items():
-        if s != OTHER:
-            known = known.when(F.col("stratum") == s, passes(rules))
-    return ~base_failed() & known.otherwise(passes(cutoffs.get(OTHER, {})))
+    cells = F.array(*[grid_index(r) for r in RULES])
+    plans = F.pmod(F.xxhash64("doc_id", F.lit(29)), F.lit(PLAN_PARTS)) == 0
+    held = stage(counts.where(~base_failed()).join(known, "doc_id")
+                 .select("stratum", cells.alias("cells"), (F.col("quality") > 0).alias("good"), plans.alias("plans"))
+                 .groupBy("stratum", "cells")
+                 .agg(F.count_if(F.col("good") & F.col("plans")).alias("good_planning"),
+                      F.count_if(F.col("good") & ~F.col("plans")).alias("good"),
+                      F.count_if(~F.col("good")).alias("bad")), "held")
+    names = [r["stratum"] for r in held.groupBy("stratum").agg(F.sum(F.expr("good_planning + good + bad")).alias("n"))
+             .orderBy(F.desc("n"), "stratum").limit(MAX_STRATA).collect()]
+    held = held.withColumn("stratum", F.when(F.col("stratum").isin(names), F.col("stratum")).otherwise(OTHER))
+    strata = held.select("stratum").distinct().count()
+    level = mistake_probability / max(1, strata)
+    tables = (held.select("stratum", "good_planning", "bad", F.posexplode("cells").alias("rule", "cell"))
+              .groupBy("stratum", "rule", "cell")
+              .agg(F.sum("good_planning").alias("good"), F.sum("bad").alias("bad")))
+    plan = stage(tables.groupBy("stratum").applyInArrow(planned, "stratum string, steps array<array<int>>"), "plan")
+    first = F.array_min(F.zip_with("steps", "cells", lambda steps, cell: F.get(steps, cell)))
+    reached = (held.join(plan, "stratum").groupBy("stratum", first.alias("step"))
+               .agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")))
+
+    def chosen(key: tuple, rows: pa.Table) -> pa.Table:
+        order = np.argsort(rows["step"].to_numpy())
+        step, good, bad = (rows[n].to_numpy()[order] for n in ("step", "good", "bad"))
+        if step[-1] != NEVER:
+            step, good, bad = (np.append(x, y) for x, y in ((step, NEVER), (good, 0), (bad, 0)))
+        last = certify(good, bad, max_false_rejection, level)
+        return pa.table({"stratum": pa.array([key[0].as_py()], pa.string()),
+                         "n_good": pa.array([int(good.sum())], pa.int64()),
+                         "last": pa.array([None if last is None else int(step[last])], pa.int32())})
+
+    found = reached.groupBy("stratum").applyInArrow(chosen, "stratum string, n_good long, last int")
+    # a rule's cutoff is the least of its cells rejected by then
+    cutoffs = F.transform("steps", lambda steps: F.size(F.filter(steps, lambda x: x > F.col("last"))))
+    return stage(found.join(plan, "stratum")
+                 .select("stratum", "n_good", F.when(F.col("last").isNotNull(), cutoffs).alias("cutoffs")), "cutoffs")
+
+
+def kept(rows: DataFrame, cutoffs: DataFrame) -> DataFrame:
+    """``rows`` with stratum and counts, and ``kept``: whether each passes.
+
+    Strata without labels or without certified cutoffs have the base rules only.
+    """
+    limits = cutoffs.where("cutoffs is not null").select(F.col("stratum").alias("limits_of"), "cutoffs")
+    names = [r["stratum"] for r in cutoffs.where(F.col("stratum") != OTHER).select("stratum").collect()]
+    of = F.when(F.col("stratum").isin(names), F.col("stratum")).otherwise(OTHER)
+    passes = F.lit(True)
+    for i, rule in enumerate(RULES):
+        passes = passes & (grid_index(rule) < F.col("cutoffs")[i])
+    return (rows.join(broadcast_dimension(limits, CUTOFF_ROWS), of == F.col("limits_of"), "left")
+            .withColumn("kept", ~base_failed() & F.coalesce(passes, F.lit(True)))
+            .drop("limits_of", "cutoffs"))
 
 
 def stratum_of(column: str) -> Column:
@@ -216,7 +283,7 @@ def judge_documents(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -
     """
     counts = rule_counts(docs, stratum)
     cutoffs = fit_cutoffs(counts, labels)
-    return counts.withColumns({"base_failed": base_failed(), "kept": verdict(cutoffs)})
+    return kept(counts.withColumn("base_failed", base_failed()), cutoffs)
 
 
 def keep_documents(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
@@ -237,5 +304,5 @@ def keep_documents(docs: DataFrame, labels: DataFrame, stratum: str = "lang") ->
                                            for i in range(len(COUNT_NAMES))], COUNT_NAMES)
 
     rows = at.withColumn("counts", counted(text)).withColumn("stratum", stratum_of(group))
-    return (rows.select(*at.columns, "counts.*", "stratum").where(verdict(cutoffs))
+    return (kept(rows.select(*at.columns, "counts.*", "stratum"), cutoffs).where("kept")
             .select(*at.columns).toDF(*docs.columns))

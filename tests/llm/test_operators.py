@@ -212,6 +212,44 @@ def test_quality_rules_reject_certified_junk_only(spark, docs, empty):
     assert quality_rules.judge_documents(empty, none).count() == 0
 
 
+def labelled_texts(spark, rng, strata):
+    """Frames of documents and labels; a stratum's bad documents are full of symbols or of long words."""
+    rows, labels = [], []
+    for lang, n_good, n_bad in strata:
+        for i in range(n_good + n_bad):
+            text = words(rng, 60)
+            if i >= n_good:
+                text = " ".join(w + ("$$$" if i % 2 else "x" * 30) for w in text.split())
+            labels.append((len(rows), int(i < n_good)))
+            rows.append((len(rows), text, lang))
+    return (spark.createDataFrame(rows, "doc_id long, text string, lang string"),
+            spark.createDataFrame(labels, "doc_id long, quality int"))
+
+
+def test_quality_rules_certify_small_strata_jointly(spark):
+    # 300 good labels refute 2 % at 0.05 / 4; 1495 would be needed with the share and level divided by rule
+    frame, labels = labelled_texts(spark, random.Random(6), [(x, 300, 20) for x in "abcd"])
+    good = {r.doc_id for r in labels.where("quality > 0").collect()}
+    out = quality_rules.judge_documents(frame, labels).collect()
+    assert all(r.kept == (r.doc_id in good) for r in out)
+    assert quality_rules.keep_documents(frame, labels).count() == len(good)
+
+
+def test_joint_rejection_stays_within_its_bound():
+    level = 0.05 / 4
+    for n in (100, 216, 217, 1000):
+        k = quality_rules.allowed_losses(n, 0.02, level)
+        assert (k == -1) == (n < 217)
+        assert k < 0 or quality_rules.binomial_tail(k, n, 0.02) <= level
+        assert quality_rules.binomial_tail(k + 1, n, 0.02) > level
+    # the second step would reject 10 of 300
+    assert quality_rules.certify(np.array([0, 10, 290]), np.array([5, 50, 1]), 0.02, level) == 0
+    assert quality_rules.certify(np.array([10, 0, 290]), np.array([5, 50, 1]), 0.02, level) is None
+    steps = quality_rules.plan_sequence(np.array([[9, 0, 0], [5, 4, 0]]), np.array([[0, 2, 3], [0, 3, 1]]))
+    never = quality_rules.NEVER
+    assert steps.tolist() == [[never, 0, 0], [never, 2, 1]]
+
+
 def test_binomial_tail_is_exact():
     from math import comb
     for k, n, p in [(0, 10, .1), (3, 20, .2), (5, 5, .5)]:
