@@ -45,8 +45,6 @@ GRID_TOP = {"symbols": 1000, "dup_lines": 1000, "repeats": 1000, "long_words": 3
 MAX_FALSE_REJECTION = 0.02
 MISTAKE_PROBABILITY = 0.05
 PLAN_PARTS = 6      # every sixth good label plans the sequence, the others certify it
-MAX_STRATA = 64     # the strata with most labels; all others are judged as one
-OTHER = "*"
 CUTOFF_ROWS = 500_000  # strata whose cutoffs are broadcast; beyond that the join shuffles
 NEVER = 1 << 30
 
@@ -205,7 +203,9 @@ def fit_cutoffs(counts: DataFrame, labels: DataFrame, max_false_rejection: float
     ``counts`` has doc_id, stratum and the counts. A doc_id labelled more
     than once counts once, as good if any label says so; null labels and
     labels without a document don't count. Documents that fail the base
-    rules are out already and are left aside.
+    rules are out already and are left aside. Every stratum is fitted by
+    itself, one small group of rules x cells numbers each, however many
+    there are.
     """
     prepare(counts.sparkSession)
     known = (pick(labels, "doc_id", "quality").where("doc_id is not null and quality is not null")
@@ -218,9 +218,6 @@ def fit_cutoffs(counts: DataFrame, labels: DataFrame, max_false_rejection: float
                  .agg(F.count_if(F.col("good") & F.col("plans")).alias("good_planning"),
                       F.count_if(F.col("good") & ~F.col("plans")).alias("good"),
                       F.count_if(~F.col("good")).alias("bad")), "held")
-    names = [r["stratum"] for r in held.groupBy("stratum").agg(F.sum(F.expr("good_planning + good + bad")).alias("n"))
-             .orderBy(F.desc("n"), "stratum").limit(MAX_STRATA).collect()]
-    held = held.withColumn("stratum", F.when(F.col("stratum").isin(names), F.col("stratum")).otherwise(OTHER))
     strata = held.select("stratum").distinct().count()
     level = mistake_probability / max(1, strata)
     tables = (held.select("stratum", "good_planning", "bad", F.posexplode("cells").alias("rule", "cell"))
@@ -254,12 +251,10 @@ def kept(rows: DataFrame, cutoffs: DataFrame) -> DataFrame:
     Strata without labels or without certified cutoffs have the base rules only.
     """
     limits = cutoffs.where("cutoffs is not null").select(F.col("stratum").alias("limits_of"), "cutoffs")
-    names = [r["stratum"] for r in cutoffs.where(F.col("stratum") != OTHER).select("stratum").collect()]
-    of = F.when(F.col("stratum").isin(names), F.col("stratum")).otherwise(OTHER)
     passes = F.lit(True)
     for i, rule in enumerate(RULES):
         passes = passes & (grid_index(rule) < F.col("cutoffs")[i])
-    return (rows.join(broadcast_dimension(limits, CUTOFF_ROWS), of == F.col("limits_of"), "left")
+    return (rows.join(broadcast_dimension(limits, CUTOFF_ROWS), F.col("stratum") == F.col("limits_of"), "left")
             .withColumn("kept", ~base_failed() & F.coalesce(passes, F.lit(True)))
             .drop("limits_of", "cutoffs"))
 

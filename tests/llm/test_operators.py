@@ -235,6 +235,23 @@ def test_quality_rules_certify_small_strata_jointly(spark):
     assert quality_rules.keep_documents(frame, labels).count() == len(good)
 
 
+def test_quality_rules_judge_many_strata_each_by_itself(spark):
+    # after the large strata a language of long words, all good, and one without labels
+    rng = random.Random(7)
+    frame, labels = labelled_texts(spark, rng, [("en", 400, 40), *[(f"l{i:02}", 12, 3) for i in range(80)]])
+    long_words = [(10_000 + i, " ".join(w + "y" * 40 for w in words(rng, 60).split()), "zz" if i < 3 else "unlabelled")
+                  for i in range(6)]
+    frame = frame.unionByName(spark.createDataFrame(long_words, frame.schema))
+    labels = labels.unionByName(spark.createDataFrame([(10_000 + i, 1) for i in range(3)], labels.schema))
+    counts = quality_rules.rule_counts(frame)
+    found = {r.stratum: r for r in quality_rules.fit_cutoffs(counts, labels, mistake_probability=0.9).collect()}
+    assert set(found) == {"=en", "=zz", *(f"=l{i:02}" for i in range(80))}
+    assert [s for s, r in found.items() if r.cutoffs] == ["=en"]
+    out = quality_rules.kept(counts, quality_rules.fit_cutoffs(counts, labels, mistake_probability=0.9)).collect()
+    good = {r.doc_id for r in labels.where("quality > 0").collect()}
+    assert all(r.kept == (r.doc_id in good or r.stratum != "=en") for r in out)
+
+
 def test_joint_rejection_stays_within_its_bound():
     level = 0.05 / 4
     for n in (100, 216, 217, 1000):
