@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lagframe.llm.common import LETTER, map_columns, pick, positional, prepare, slices
+from lagframe.llm.quality_rules import allowed_losses
 
 SAMPLE_ROWS = 8000        # labelled rows trained and calibrated on, at most
 SAMPLE_CHARS = 1500       # characters of each of them
@@ -34,6 +35,8 @@ EPOCHS = 4
 LEARNING_RATE = 0.8
 CALIBRATION_PART = 5      # every fifth sampled row calibrates
 TARGET_ACCURACY = 0.98    # of accepted calibration rows
+MAX_FALSE_REJECTION = 0.02    # of rightly predicted texts, by their score
+MISTAKE_PROBABILITY = 0.05
 HELD_OUT_PARTS = 5
 UNDETERMINED = "und"
 CHUNK = 1 << 20           # bytes of a text taken at once
@@ -157,7 +160,8 @@ def train(sample: list[tuple[str, str]], seed: int = 7) -> LanguageModel:
 
 
 def calibrate(model: LanguageModel, rows: list[tuple[int, np.ndarray, np.ndarray]]) -> None:
-    """Temperature by likelihood; threshold by the accuracy of what is accepted."""
+    """Temperature by likelihood; threshold by the accuracy of what is accepted,
+    and never under a low quantile of the right rows' scores."""
     if not rows:
         return
     z = np.stack([share.astype(np.float64) @ model.table[used] for _, used, share in rows])
@@ -175,9 +179,23 @@ def calibrate(model: LanguageModel, rows: list[tuple[int, np.ndarray, np.ndarray
     order = np.argsort(-score, kind="stable")
     accuracy = np.cumsum(right[order]) / np.arange(1, len(y) + 1)
     good = np.flatnonzero(accuracy >= TARGET_ACCURACY)
-    # all scores pass if all of them together are accurate enough
-    whole = len(good) and good[-1] == len(y) - 1
-    model.threshold = 0.0 if whole else float(score[order][good[-1]]) if len(good) else 1.0
+    accurate = float(score[order][good[-1]]) if len(good) else 1.0
+    model.threshold = max(accurate, low_score(score[right]))
+
+
+def low_score(scores: np.ndarray) -> float:
+    """The highest of ``scores`` that rejects, of all texts scored like them, no
+    more than MAX_FALSE_REJECTION, but for a chance of MISTAKE_PROBABILITY.
+
+    The share under the m-th least of n scores is over p with a chance of
+    P(Bin(n, p) < m), exactly. Too few scores for the bound give the least
+    of them; no scores give 1.
+    """
+    n = len(scores)
+    if not n:
+        return 1.0
+    m = 1 + max(0, allowed_losses(n, MAX_FALSE_REJECTION, MISTAKE_PROBABILITY))
+    return float(np.sort(scores)[m - 1])
 
 
 def fit_languages(docs: DataFrame) -> LanguageModel:
