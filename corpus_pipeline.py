@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lagframe.llm import langid, minhash, mixing, packing, quality_rules
-from lagframe.llm.common import stage
+from lagframe.llm.common import pick, stage
 from lagframe.llm.tokens import tokenizer_path
 from lagframe.session import configure
 
@@ -28,13 +28,20 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The copies that the target weights ask for, in the order of the curriculum."""
-    return mixing.mix_documents(docs)
+    """The copies that the target weights ask for, each with its place in the curriculum.
+
+    The place is in columns, as the order of rows doesn't survive the files.
+    """
+    return mixing.dated_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of every document, placed in sequences of 2048 ids."""
-    return packing.pack_documents(docs, tokenizer_path())
+    """Pieces of every document, placed in sequences of 2048 ids along the curriculum.
+
+    Each task packs one range of the training; sequence_id rises from range
+    to range. Within a task, sequences are numbered as they fill up.
+    """
+    return packing.pack_documents(mixing.in_order(pick(docs, "doc_id", "text", *mixing.ORDER)), tokenizer_path())
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -176,8 +176,8 @@ def taken_words(docs: DataFrame, schedules: tuple = SCHEDULES) -> DataFrame:
     return used.select(*columns).unionByName(rest.select(*columns))
 
 
-def mix_documents(docs: DataFrame) -> DataFrame:
-    """The copies the mix takes, all columns of ``docs``, sorted by position.
+def dated_documents(docs: DataFrame) -> DataFrame:
+    """The copies the mix takes: all columns of ``docs`` and the ORDER columns, unsorted.
 
     A copy that the target cuts keeps its first words, one space between
     them; documents without words aren't taken.
@@ -191,4 +191,10 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     cut = F.array_join(F.slice(words, 1, F.greatest(F.lit(1), F.col("words").cast("int"))), " ")
     taken = (taken_copies(placed)
              .withColumn(names["text"], F.when(F.col("words") < F.col("size"), cut).otherwise(F.col(names["text"]))))
-    return in_order(taken.select(*at.columns, *ORDER)).select(*at.columns).toDF(*docs.columns)
+    return taken.select(*at.columns, *ORDER).toDF(*docs.columns, *ORDER)
+
+
+def mix_documents(docs: DataFrame) -> DataFrame:
+    """The copies of ``dated_documents``, all columns of ``docs``, sorted by position."""
+    sorted_ = positional(in_order(dated_documents(docs)))
+    return sorted_.select(*sorted_.columns[:len(docs.columns)]).toDF(*docs.columns)
