@@ -1,12 +1,13 @@
 """Whole-text token ids from a public tokenizer file.
 
-Byte-level BPE splits a text into words before it merges, and a space only
-ever opens a word. So a text in which every space is followed by a visible
-character can be encoded chunk by chunk, one chunk to a space, and chunks
-that repeat within a group of texts are encoded once. New chunks go to the
-tokenizer strung together; a token that opens with a space tells where the
-next one begins. Of a chunk like "word," the word and the rest are looked up
-separately, as a run of letters always ends a word there.
+Byte-level BPE splits a text into words before it merges. A space only ever
+opens a word, a run of letters always ends one at an ASCII character that is
+no letter, and a single line feed behind a visible character stands alone. So
+a text in which every space is followed by a visible character can be cut
+there into pieces that are encoded each on its own, and pieces that repeat
+are encoded once. New pieces go to the tokenizer strung together where their
+ids can be told apart: by the token that opens with a space, or by a line
+feed between runs of letters.
 Any other text, and any text of another kind of tokenizer, goes there whole.
 """
 
@@ -20,18 +21,22 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
-# Chunks and endings remembered by a worker (about 70 MB); later ones are
-# encoded anew in each group of texts.
-MEMO_CHUNKS = 250_000
-MEMO_ENDS = 50_000
+# Pieces of one generation of a worker's memo (about 70 MB). A full one
+# becomes the old generation, of which pieces that come up again move over.
+MEMO_PIECES = 400_000
 # Characters of texts cut at once; a longer text is cut alone.
-GROUP_CHARS = 1_000_000
-# New chunks strung together for one call.
-STRING_CHUNKS = 500
+GROUP_CHARS = 2_000_000
+# New pieces strung together for one call.
+STRING_PIECES = 500
+CUT = "\x00"
+_LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]"
+# Cuts in Arrow's regular expressions: behind a run of letters, and behind a
+# line feed between a visible character and a letter.
+_WORD_END = (f"({_LETTERS})([\x01-\x1f!-@\\[-`{{-\x7f])", "\\1\x00\\2")
+_LINE_END = (f"([!-~\x00]\n)({_LETTERS})", "\\1\x00\\2")
 # A space before white space or at the end joins a run that the tokenizer
-# splits by looking ahead.
-_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[\x00-@\\[-`{-\x7f])")
-_RUN = re.compile(" (?:[\\s᠎]|\\Z)")
+# splits by looking ahead; such texts, and those that hold CUT, stay whole.
+_RUN = re.compile(" (?:[\\s᠎]|\\Z)|\x00")
 
 
 def tokenizer_path(name: str = DEFAULT_TOKENIZER) -> str:
@@ -47,75 +52,70 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.memo: dict[str, bytes] = {"": b""}
-        self.ends: dict[str, bytes] = {"": b""}
+        self.memo: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         vocab = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.opens[[i for token, i in vocab.items() if token.startswith("Ġ")]] = True
-        self.chunked = (self.tokenizer.normalizer is None
-                        and "ByteLevel(add_prefix_space=False" in repr(self.tokenizer.pre_tokenizer))
+        self.feeds = np.zeros(len(self.opens), dtype=bool)
+        self.feeds[[i for token, i in vocab.items() if token == "Ċ"]] = True
+        self.cuttable = (self.tokenizer.normalizer is None and bool(self.feeds.any())
+                         and "ByteLevel(add_prefix_space=False" in repr(self.tokenizer.pre_tokenizer))
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
-    def _chunks(self, chunks: list[str]) -> list[bytes]:
-        """Ids of chunks without their opening space."""
-        out = []
-        strings = [chunks[i:i + STRING_CHUNKS] for i in range(0, len(chunks), STRING_CHUNKS)]
-        found = self.tokenizer.encode_batch_fast([" " + " ".join(x) for x in strings], add_special_tokens=False)
-        for part, ids in zip(strings, (np.array(x.ids, dtype="<u4") for x in found), strict=True):
-            at = np.flatnonzero(self.opens[ids]).tolist() + [len(ids)]
-            if len(at) != len(part) + 1:
-                raise ValueError("the tokenizer joins words across spaces")
+    def _strung(self, pieces: list[str], between: str, marks: np.ndarray) -> list[bytes]:
+        """Ids of pieces that open with a space (``between`` empty), or that a line feed divides."""
+        out, gap = [], len(between)
+        parts = [pieces[i:i + STRING_PIECES] for i in range(0, len(pieces), STRING_PIECES)]
+        found = self.tokenizer.encode_batch_fast([between + between.join(x) for x in parts], add_special_tokens=False)
+        for part, ids in zip(parts, (np.array(x.ids, dtype="<u4") for x in found), strict=True):
+            at = np.flatnonzero(marks[ids]).tolist() + [len(ids)]
+            if len(at) != len(part) + 1 or at[0]:
+                raise ValueError("the tokenizer joins words across their bounds")
             data = ids.tobytes()
-            out += [data[4 * a:4 * b] for a, b in zip(at, at[1:])]
+            out += [data[4 * (a + gap):4 * b] for a, b in zip(at, at[1:])]
         return out
 
-    def _new_chunks(self, chunks: list[str]) -> list[bytes]:
-        """Ids of distinct chunks not in the memo, with their opening space."""
-        cut = [m.end() if (m := _LETTERS.match(c)) else len(c) for c in chunks]
-        words = [c[:n] for c, n in zip(chunks, cut, strict=True)]
-        ends = [c[n:] for c, n in zip(chunks, cut, strict=True)]
-        new = list({w for w in words if w not in self.memo})
-        of_word = dict(zip(new, self._chunks(new), strict=True))
-        new = list({e for e in ends if e not in self.ends})
-        of_end = dict(zip(new, self._whole(new), strict=True))
-        if len(self.memo) < MEMO_CHUNKS:
-            self.memo.update(of_word)
-        if len(self.ends) < MEMO_ENDS:
-            self.ends.update(of_end)
-        out = [(of_word[w] if w in of_word else self.memo[w]) + (of_end[e] if e in of_end else self.ends[e])
-               for w, e in zip(words, ends, strict=True)]
-        if len(self.memo) < MEMO_CHUNKS:
-            self.memo.update(zip(chunks, out, strict=True))
+    def _new_pieces(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of distinct pieces that the memo doesn't hold."""
+        spaced = [p for p in pieces if p[:1] == " "]
+        runs = [p for p in pieces if p.isalpha()]
+        rest = [p for p in pieces if p[:1] != " " and not p.isalpha()]
+        out = dict(zip(spaced, self._strung(spaced, "", self.opens), strict=True))
+        out.update(zip(runs, self._strung(runs, "\n", self.feeds), strict=True))
+        out.update(zip(rest, self._whole(rest), strict=True))
         return out
 
-    def _distinct(self, chunks: list[str]) -> list[bytes]:
-        """Ids of distinct chunks, those of the empty one empty."""
-        found = list(map(self.memo.get, chunks))
-        new = [i for i, ids in enumerate(found) if ids is None]
-        if new:
-            for i, ids in zip(new, self._new_chunks([chunks[i] for i in new]), strict=True):
-                found[i] = ids
+    def _distinct(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces."""
+        if len(self.memo) > MEMO_PIECES:
+            self.memo, self.old = {}, self.memo
+        found = list(map(self.memo.get, pieces))
+        missing = [p for p, ids in zip(pieces, found) if ids is None]
+        if missing:
+            known = {p: ids for p in missing if (ids := self.old.get(p)) is not None}
+            self.memo.update(known)
+            self.memo.update(self._new_pieces([p for p in missing if p not in known]))
+            found = list(map(self.memo.__getitem__, pieces))
         return found
 
-    def _by_chunk(self, texts: list[str], tail: bytes) -> list[np.ndarray]:
-        """Ids of texts that may be cut at every space, with ``tail`` behind each.
+    def _by_piece(self, texts: list[str], tail: bytes) -> list[np.ndarray]:
+        """Ids of texts that may be cut, with ``tail`` behind each.
 
-        Arrow cuts the texts and numbers the distinct chunks. Their ids lie in
-        one array, and each chunk of a text takes its range of it. The first
-        chunk has no opening space, so it and the tail have ranges of their own.
+        Arrow cuts the texts and numbers the distinct pieces. Their ids lie in
+        one array, and each piece of a text takes its range of it.
         """
-        cut = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        marked = pa.array(texts, pa.large_string())
+        for pattern, by in (_WORD_END, _LINE_END):
+            marked = pc.replace_substring_regex(marked, pattern=pattern, replacement=by)
+        cut = pc.split_pattern(pc.replace_substring(marked, pattern=" ", replacement=CUT + " "), CUT)
         coded = cut.flatten().dictionary_encode()
         bounds = np.cumsum(pc.list_value_length(cut).to_numpy())
-        pieces = self._distinct(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
-        n = len(pieces)
-        pieces += self._whole([t.partition(" ")[0] for t in texts]) + [tail]
-        which = coded.indices.to_numpy().astype(np.int64)
-        which[np.append(0, bounds[:-1])] = np.arange(n, n + len(texts))
-        which = np.insert(which, bounds, len(pieces) - 1)
+        pieces = self._distinct(coded.dictionary.to_pylist()) + [tail]
+        which = np.insert(coded.indices.to_numpy().astype(np.int64), bounds, len(pieces) - 1)
         sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)) // 4
         starts = np.cumsum(sizes) - sizes
         taken = sizes[which]
@@ -134,7 +134,7 @@ class Encoder:
         for i, text in enumerate(texts):
             if not text:
                 continue
-            if not self.chunked or _RUN.search(text):
+            if not self.cuttable or _RUN.search(text):
                 whole.append(i)
                 continue
             if size and size + len(text) > GROUP_CHARS:
@@ -143,7 +143,7 @@ class Encoder:
             groups[-1].append(i)
             size += len(text)
         for group in filter(None, groups):
-            for i, ids in zip(group, self._by_chunk([texts[i] for i in group], tail), strict=True):
+            for i, ids in zip(group, self._by_piece([texts[i] for i in group], tail), strict=True):
                 out[i] = ids
         for i, ids in zip(whole, self._whole([texts[i] for i in whole]), strict=True):
             out[i] = np.frombuffer(ids + tail, dtype="<u4")

@@ -58,6 +58,22 @@ def test_encoder_equals_whole_text_encoding(plain):
     assert all((x == plain(t, 7)).all() for x, t in zip(found, texts))
 
 
+def test_encoder_beyond_a_full_memo(plain, monkeypatch):
+    """Pieces that leave the memo, come back from the old generation or were dropped."""
+    monkeypatch.setattr(tokens, "MEMO_PIECES", 50)
+    rng = random.Random(2)
+    parts = ["the", "And", "don't", "x1", "é", "\n", ". ", ", ", " ", "\n\n", "\x00", "\x0b", "\r\n", "\t", "ß", "!"]
+    texts = [" ".join(words(rng, 3).split()) + "".join(rng.choice(parts) for _ in range(8)) for _ in range(600)]
+    encoder = tokens.Encoder(tokens.tokenizer_path())
+    swaps = 0
+    for at in range(0, len(texts), 20):
+        before = encoder.old
+        for x, t in zip(encoder.encode(texts[at:at + 20], 7), texts[at:at + 20], strict=True):
+            assert (x == plain(t, 7)).all(), t
+        swaps += encoder.old is not before
+    assert swaps > 2
+
+
 def test_packing_places_every_id_once(docs, plain):
     out = packing.pack_documents(docs, tokens.tokenizer_path(), sequence_tokens=256, max_open=3).collect()
     ids = {r.doc_id: plain(r.text, 1) for r in docs.collect() if r.doc_id is not None}
