@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lagframe.llm import (chat, langid, minhash, mixing, packing, quality_rules, token_files, topk,
+from lagframe.llm import (best_fit, chat, langid, minhash, mixing, packing, quality_rules, token_files, topk,
                           url_filter, warc)
 from lagframe.llm.tokens import tokenizer_path
 from lagframe.session import configure, scratch_path
@@ -72,9 +72,14 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, files)
 
 
+def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in as few sequences of 2048 ids as best fit finds."""
+    return best_fit.pack_best_fit(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_packing, op2_topk, op3_url_filter, op4_language_id, op5_warc, op6_quality_rules, op7_chat,
-    op8_minhash, op9_token_files, op10_mixing)}
+    op8_minhash, op9_token_files, op10_mixing, op13_best_fit)}
 
 ORACLES: dict[str, str] = {
     "op3_url_filter": url_filter.SQL,
