@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lagframe.llm import (best_fit, chat, langid, minhash, mixing, packing, quality_rules, token_files, topk,
+from lagframe.llm import (best_fit, chat, langid, minhash, mixing, packing, periodic_runs, quality_rules, token_files, topk,
                           url_filter, warc)
 from lagframe.llm.tokens import tokenizer_path
 from lagframe.session import configure, scratch_path
@@ -72,6 +73,27 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, files)
 
 
+def plant_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """A tenth of the documents, by the checksum of doc_id, repeat their words from a place on."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None and words else 1
+    if h % 10:
+        return words
+    g, n = h // 10, len(words)
+    at = g % n
+    period = 1 + (n - at) // (3 + g % 8)
+    return words[:at] + [words[at + i % period] for i in range(n - at)]
+
+
+def runs_of_documents(docs: DataFrame) -> DataFrame:
+    """Digests of the runs of documents with planted periods; a null doc_id has none planted."""
+    return periodic_runs.digest(periodic_runs.periodic_runs(docs, rewrite=plant_period))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document's words and what is left without their repeats."""
+    return runs_of_documents(table(spark, sf_dir, "documents"))
+
+
 def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in as few sequences of 2048 ids as best fit finds."""
     return best_fit.pack_best_fit(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -79,7 +101,7 @@ def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_packing, op2_topk, op3_url_filter, op4_language_id, op5_warc, op6_quality_rules, op7_chat,
-    op8_minhash, op9_token_files, op10_mixing, op13_best_fit)}
+    op8_minhash, op9_token_files, op10_mixing, op12_periodic_runs, op13_best_fit)}
 
 ORACLES: dict[str, str] = {
     "op3_url_filter": url_filter.SQL,
