@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lagframe.llm import (best_fit, chat, langid, minhash, mixing, packing, periodic_runs, quality_rules, token_files, topk,
+from lagframe.llm import (best_fit, chat, collocations, langid, minhash, mixing, packing, periodic_runs, quality_rules, token_files, topk,
                           url_filter, warc)
 from lagframe.llm.tokens import tokenizer_path
 from lagframe.session import configure, scratch_path
@@ -73,6 +73,11 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, files)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of two or three words of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def plant_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """A tenth of the documents, by the checksum of doc_id, repeat their words from a place on."""
     h = zlib.crc32(str(doc_id).encode()) if doc_id is not None and words else 1
@@ -101,8 +106,9 @@ def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_packing, op2_topk, op3_url_filter, op4_language_id, op5_warc, op6_quality_rules, op7_chat,
-    op8_minhash, op9_token_files, op10_mixing, op12_periodic_runs, op13_best_fit)}
+    op8_minhash, op9_token_files, op10_mixing, op11_collocations, op12_periodic_runs, op13_best_fit)}
 
 ORACLES: dict[str, str] = {
     "op3_url_filter": url_filter.SQL,
+    "op11_collocations": collocations.SQL,
 }
