@@ -16,7 +16,9 @@ all tasks take together:
   tasks by the numbers left in each of them;
 * rooms are updated, and the pieces without a gap go on to the next round.
 
-New sequences are opened when no room is left for a class. A round shuffles
+Counts by size tell beforehand how many pieces a round can place. Where some
+would stay behind, classes of at most 1/k of a sequence open new ones, k pieces
+each, in the same round; smaller pieces try what is left first. A round shuffles
 the pieces of one class and as many gaps as they can need, never texts.
 """
 
@@ -42,8 +44,10 @@ END_ID = 0
 # Classes of at most 1/k of a sequence for k up to this; then halves.
 WHOLE_PARTS = 7
 SMALLEST_CLASS = 32
-# A round that places less than this share of its pieces is the last before new sequences are opened.
-LEAST_PLACED = 0.02
+# Small pieces that stay behind try again as long as a round places this share of them.
+LEAST_PLACED = 0.1
+# Or as long as they need more than this share of all sequences.
+FEW_SEQUENCES = 0.001
 
 PIECE_COLUMNS = ("doc_id", "piece", "start", "length", "ids_crc32")
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -94,6 +98,33 @@ def offered_slots(rooms: dict[int, int], pieces: int, widest: int) -> list[int]:
     return slots
 
 
+def gap_widths(rooms: dict[int, int], slots: list[int], least: int, widest: int) -> dict[int, int]:
+    """Gaps on offer by width: those that ``gaps_of`` gives."""
+    out = {widest: sum(slots[room] * n for room, n in rooms.items())}
+    last = last_offer(slots)
+    for room, n in rooms.items():
+        if room <= last and slots[room] == room // widest and room % widest >= least:
+            out[room % widest] = out.get(room % widest, 0) + n
+    return out
+
+
+def last_offer(slots: list[int]) -> int:
+    """The largest room that offers gaps; every room if none has a full slot."""
+    return max((room for room, n in enumerate(slots) if n), default=len(slots))
+
+
+def left_behind(sizes: dict[int, int], widths: dict[int, int]) -> dict[int, int]:
+    """Pieces by size that a sweep over these gaps can't place."""
+    out, free = {}, 0
+    for width in sorted({*sizes, *widths}, reverse=True):
+        free += widths.get(width, 0)
+        n = sizes.get(width, 0)
+        if n > free:
+            out[width] = n - free
+        free = max(0, free - n)
+    return out
+
+
 def gaps_of(rooms: DataFrame, slots: list[int], least: int, widest: int) -> DataFrame:
     """The gaps on offer: full slots, and the rest of a room where a piece may fit it.
 
@@ -101,14 +132,12 @@ def gaps_of(rooms: DataFrame, slots: list[int], least: int, widest: int) -> Data
     for a full slot offers itself.
     """
     offered = F.expr(f"element_at(array({','.join(map(str, slots))}), cast(room + 1 as int))")
-    last = max((r for r, n in enumerate(slots) if n), default=len(slots))
-    wide = rooms.where(f"room between {least} and {last}").withColumn("n", offered)
+    wide = rooms.where(f"room between {least} and {last_offer(slots)}").withColumn("n", offered)
     full = wide.where("n > 0").select(F.lit(widest).cast("long").alias("width"), "sequence_id", "room",
                                       F.explode(F.expr("sequence(1L, cast(n as bigint))")).alias("slot"))
-    rest = wide.where(f"n = room div {widest}") \
-        .select(F.expr(f"room % {widest}").cast("long").alias("width"), "sequence_id", "room", F.lit(0).cast("long").alias("slot")) \
-        .where(f"width >= {least}")
-    return full.unionByName(rest)
+    rest = wide.where(f"n = room div {widest}").select(
+        F.expr(f"room % {widest}").cast("long").alias("width"), "sequence_id", "room", F.lit(0).cast("long").alias("slot"))
+    return full.unionByName(rest.where(f"width >= {least}"))
 
 
 def nearest_open(is_gap: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -245,28 +274,35 @@ def pack_best_fit(docs: DataFrame, tokenizer: str, sequence_tokens: int = SEQUEN
                     .withColumn("offset", F.lit(0).cast("long")), "placed")]
     rooms = placed[0].select("sequence_id", (F.lit(sequence_tokens) - F.col("length")).alias("room")).where("room > 0")
     opened, sizes = 0, histogram(pieces.where(f"length <= {half}"), "length")
+    tokens = pieces.agg(F.sum("length")).first()[0] or 0
+    few = int(FEW_SEQUENCES * tokens / sequence_tokens)
     for low, high, most in size_classes(sequence_tokens):
         left, counts = pieces.where(f"length > {low} and length <= {high}"), {s: n for s, n in sizes.items() if low < s <= high}
-        fresh = True
+        tried = False
         while counts:
             n, least, widest = sum(counts.values()), min(counts), max(counts)
             levels = histogram(rooms.where(f"room >= {least}"), "room")
-            if not levels or not fresh:
-                total = sum(s * m for s, m in counts.items())
-                new = -(-n // most) if most else -(-total // sequence_tokens)
+            slots = offered_slots(levels, n, widest)
+            behind = left_behind(counts, gap_widths(levels, slots, least, widest))
+            placeable = n - sum(behind.values())
+            total = sum(s * m for s, m in behind.items())
+            new = -(-sum(behind.values()) // most) if most else -(-total // sequence_tokens)
+            if behind and (most or tried or placeable < LEAST_PLACED * n or new <= 1 + few):
                 added = spark.range(-opened - new, -opened).select(F.col("id").alias("sequence_id"),
                                                                    F.lit(sequence_tokens).cast("long").alias("room"))
                 rooms, opened = rooms.unionByName(added), opened + new
                 levels[sequence_tokens] = levels.get(sequence_tokens, 0) + new
-            found, left, matched = match(left, gaps_of(rooms, offered_slots(levels, n, widest), least, widest))
-            if matched:
-                placed.append(settle(found, sequence_tokens))
-                used = placed[-1].groupBy(F.col("sequence_id").alias("of")).agg(F.sum("length").alias("used"))
-                rooms = stage(rooms.join(used, rooms["sequence_id"] == used["of"], "left")
-                              .select("sequence_id", (F.col("room") - F.coalesce("used", F.lit(0))).alias("room"))
-                              .where("room > 0"), "rooms")
-            fresh = matched >= LEAST_PLACED * n
-            counts = histogram(left, "length") if matched < n else {}
+                slots = offered_slots(levels, n, widest)
+                behind = left_behind(counts, gap_widths(levels, slots, least, widest))
+            found, left, matched = match(left, gaps_of(rooms, slots, least, widest))
+            if matched != n - sum(behind.values()):
+                raise RuntimeError(f"{matched} of {n} pieces placed, {sum(behind.values())} were to stay behind")
+            placed.append(settle(found, sequence_tokens))
+            used = placed[-1].groupBy(F.col("sequence_id").alias("of")).agg(F.sum("length").alias("used"))
+            rooms = stage(rooms.join(used, rooms["sequence_id"] == used["of"], "left")
+                          .select("sequence_id", (F.col("room") - F.coalesce("used", F.lit(0))).alias("room"))
+                          .where("room > 0"), "rooms")
+            tried, counts = matched < 2 * LEAST_PLACED * n, behind
     out = placed[0]
     for more in placed[1:]:
         out = out.unionByName(more)

@@ -308,13 +308,15 @@ grams as (
   select lang, ws[i:i + k - 1] as g, k from places, (values (1), (2), (3)) as sizes(k) where i + k - 1 <= len(ws)),
 counts as (select lang, array_to_string(g, ' ') as phrase, k, count(*)::hugeint as f from grams group by all),
 totals as (select lang, sum(f)::bigint as n from counts where k = 1 group by lang),
+candidates as (select lang, phrase, k, f as a, string_split(phrase, ' ') as ws from counts where f >= {LEAST_COUNT} and k > 1),
+sides as (select lang, phrase, k, a, ws, unnest(range(1, k)) as cut from candidates),
+parts as (
+  select lang, phrase, k, a, cut, array_to_string(ws[:cut], ' ') as head, array_to_string(ws[cut + 1:], ' ') as rest from sides),
+frequent as (select lang, phrase, f from counts where f >= {LEAST_COUNT}),
 cuts as (
-  select c.lang, c.phrase, c.k, c.f as a, j.k as cut, l.f as l, r.f as r,
-         {SCALE}::hugeint * c.f * c.f // (l.f * r.f) as score
-  from counts c join (values (1), (2)) as j(k) on j.k < c.k
-  join counts l on l.lang = c.lang and l.phrase = array_to_string(string_split(c.phrase, ' ')[:j.k], ' ')
-  join counts r on r.lang = c.lang and r.phrase = array_to_string(string_split(c.phrase, ' ')[j.k + 1:], ' ')
-  where c.f >= {LEAST_COUNT} and c.k > 1),
+  select c.lang, c.phrase, c.k, c.a, c.cut, x.f as l, y.f as r, {SCALE}::hugeint * c.a * c.a // (x.f * y.f) as score
+  from parts c join frequent x on x.lang = c.lang and x.phrase = c.head
+  join frequent y on y.lang = c.lang and y.phrase = c.rest),
 best as (
   select * from cuts qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
 longer as (

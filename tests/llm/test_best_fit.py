@@ -126,3 +126,14 @@ def test_slots_suffice_without_excess():
     assert [slots[r] for r in rooms] == [0, 2, 1]
     slots = best_fit.offered_slots(rooms, 5 * 1000 + 9, 5)
     assert [slots[r] for r in rooms] == [0, 2, 5]
+
+
+def test_counts_foretell_the_sweep():
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        sizes = rng.integers(20, 41, rng.integers(1, 60))
+        widths = rng.integers(20, 41, rng.integers(1, 60))
+        order = sorted([(-w, 0) for w in widths.tolist()] + [(-s, 1) for s in sizes.tolist()])
+        alone = plain_sweep(np.array([kind == 0 for _, kind in order]))[1]
+        expected = Counter(-order[i][0] for i in alone)
+        assert best_fit.left_behind(Counter(sizes.tolist()), Counter(widths.tolist())) == dict(expected)
