@@ -9,6 +9,7 @@ import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +26,13 @@ TEXT_BATCH_ROWS = 500
 # bytes.split() and bytes.translate() without arguments use the same set.
 WORD = "[^\\x20\\x09-\\x0D]+"
 SPACES = b" \t\n\x0b\x0c\r"
-LETTER = re.compile(r"[^\W\d_]")
+# Letters and, beyond ASCII, numerals that are none.
+_LETTER_LIKE = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Whether the text has a character of Unicode's category L."""
+    return any(m.group().isalpha() for m in _LETTER_LIKE.finditer(text))
 
 
 _SHIPPED: set[str] = set()
@@ -82,19 +89,34 @@ def map_columns(df: DataFrame, work: Callable[[Iterator[dict[str, list]]], Itera
     """``work`` over the Arrow batches of each partition, as lists by column.
 
     Lists keep nulls as None and integers exact, which pandas doesn't. What
-    ``work`` yields becomes batches of ``schema``.
+    ``work`` yields, lists or Arrow arrays by column, becomes batches of
+    ``schema``. Workers serve one task after another, so Arrow's free memory
+    goes back when a task ends.
     """
     prepare(df.sparkSession)
     out = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):
         lists = ({n: c.to_pylist() for n, c in zip(b.schema.names, b.columns, strict=True)} for b in batches)
-        for found in work(lists):
-            yield pa.RecordBatch.from_arrays([pa.array(found[f.name], f.type) for f in out], schema=out)
+        try:
+            for found in work(lists):
+                yield pa.RecordBatch.from_arrays([x if isinstance(x := found[f.name], pa.Array) else pa.array(x, f.type)
+                                                  for f in out], schema=out)
+        finally:
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
 
+def number_lists(parts: list[np.ndarray]) -> pa.Array:
+    """One list of 64-bit numbers per array, without Python numbers between."""
+    if not parts:
+        return pa.array([], pa.list_(pa.int64()))
+    ends = np.cumsum([len(p) for p in parts])
+    return pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()),
+                                    pa.array(np.concatenate(parts).view(np.int64), pa.int64()))
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
@@ -132,16 +154,6 @@ def word_count(text) -> "F.Column":
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def slices(data, size: int, overlap: int = 0) -> Iterator:
-    """Consecutive slices of ``size`` items, each repeating ``overlap`` items."""
-    at = 0
-    while True:
-        yield data[at:at + size]
-        at += size - overlap
-        if at + overlap >= len(data):
-            return
-
-
 class RangeReader:
     """Byte ranges of one file in any folder that pyarrow can open."""
 

@@ -5,9 +5,9 @@ subwords are the 2 to 4 byte windows that don't reach over a word's end;
 each is hashed to a bucket, the buckets' embeddings are averaged and a
 linear layer with softmax gives the languages' probabilities. Embeddings
 and layer are trained together by stochastic gradient descent in numpy on
-a bounded sample of labelled rows, spread over the languages. Part of the
-sample calibrates the model: a temperature for the scores and the score
-under which a prediction is rejected.
+a bounded sample of labelled rows, spread over all languages; tasks count the
+subwords of their whole texts. Part of the sample calibrates the model: a
+temperature for the scores and the score under which a prediction is rejected.
 
 For prediction both layers fold into one bucket x language table, so a text
 costs one histogram of its subwords and one product.
@@ -20,15 +20,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lagframe.llm.common import LETTER, map_columns, pick, positional, prepare, slices
+from lagframe.llm.common import has_letter, map_columns, pick, positional, prepare
 from lagframe.llm.quality_rules import allowed_losses
 
-SAMPLE_ROWS = 8000        # labelled rows trained and calibrated on, at most
-SAMPLE_CHARS = 1500       # characters of each of them
-MAX_LANGUAGES = 200       # the languages with most rows
+SAMPLE_ROWS = 8000        # labelled rows trained and calibrated on, at most, but one of every language
 BUCKETS = 1 << 14
 DIMENSION = 16
 EPOCHS = 4
@@ -39,24 +37,42 @@ MAX_FALSE_REJECTION = 0.02    # of rightly predicted texts, by their score
 MISTAKE_PROBABILITY = 0.05
 HELD_OUT_PARTS = 5
 UNDETERMINED = "und"
-CHUNK = 1 << 20           # bytes of a text taken at once
+CHUNK = 1 << 20           # subwords of a text that are counted at once
 
-# Bytes that are no ASCII letters and no part of a longer character become spaces.
-_BLANK = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
+# For ASCII texts: bytes that are no letters become spaces.
+_BLANK = bytes(b if 97 <= b <= 122 else 32 for b in range(256))
 _ORDERS = (2, 3, 4)
 _SHIFT = np.uint32(33 - BUCKETS.bit_length())
 _FACTOR = np.uint32(0x9E3779B1)
 _OFFSETS = {n: np.uint32(n * 0x85EBCA6B % (1 << 32)) for n in _ORDERS}
 
 
+class _LettersOnly(dict):
+    """For other texts: characters that are no letters become spaces."""
+
+    def __missing__(self, point: int) -> int:
+        self[point] = point if chr(point).isalpha() else 32
+        return self[point]
+
+
+_LETTERS = _LettersOnly()
+
+
+def letters_of(text: str) -> bytes:
+    """The lower-cased text in UTF-8 with spaces for all but letters, and one at either end."""
+    low = text.lower()
+    return b" " + (low.encode().translate(_BLANK) if low.isascii() else low.translate(_LETTERS).encode()) + b" "
+
+
 def subword_counts(text: str) -> np.ndarray:
     """Histogram over the buckets of all subwords of a text of any length."""
-    data = np.frombuffer(b" " + text.lower().encode().translate(_BLANK) + b" ", dtype=np.uint8)
+    data = np.frombuffer(letters_of(text), dtype=np.uint8)
     out = np.zeros(BUCKETS, dtype=np.int64)
-    top = max(_ORDERS) - 1
-    for part in slices(data, CHUNK, top):
+    for at in range(0, len(data), CHUNK):
+        # each window is counted where it starts; the longest ones reach into the next chunk
+        part = data[at:at + CHUNK + max(_ORDERS) - 1]
         wide, space = part.astype(np.uint32), part == 32
-        value, inner = wide[:-1] + np.uint32(1), None
+        value, inner = wide + np.uint32(1), None
         for order in _ORDERS:
             n = len(part) - order + 1
             if n <= 0:
@@ -68,7 +84,7 @@ def subword_counts(text: str) -> np.ndarray:
                 inner = space[1:1 + n] if inner is None else inner[:n] | space[order - 2:order - 2 + n]
                 keep = ~inner
             hashed = (value * _FACTOR + _OFFSETS[order]) * np.uint32(0xC2B2AE35) >> _SHIFT
-            out += np.bincount(hashed[keep], minlength=BUCKETS)
+            out += np.bincount(hashed[:CHUNK][keep[:CHUNK]], minlength=BUCKETS)
     return out
 
 
@@ -85,7 +101,7 @@ class LanguageModel:
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Language, score and whether the prediction is accepted."""
-        if not text or not LETTER.search(text) or not self.languages:
+        if not text or not has_letter(text) or not self.languages:
             return UNDETERMINED, 0.0, False
         p = softmax(self.logits(subword_counts(text)) / self.temperature)
         k = int(np.argmax(p))
@@ -103,38 +119,49 @@ def held_out() -> Column:
     return F.col("doc_id").isNull() | (F.crc32(key.cast("binary")) % HELD_OUT_PARTS == 0)
 
 
-def training_sample(docs: DataFrame) -> list[tuple[str, str]]:
-    """A bounded, repeatable sample of (lang, start of text), even over languages.
+def training_sample(docs: DataFrame) -> list[tuple[str, np.ndarray, np.ndarray]]:
+    """(lang, buckets, shares) of a bounded, repeatable sample of labelled rows, even over all languages.
 
-    Rows are taken by a hash threshold set from the languages' row counts,
-    so no language is sorted or gathered in one task.
+    Of each language the rows with the least hashes are taken, up to its share of
+    SAMPLE_ROWS, and one at least; equal rows count once. Only hashes are ranked.
+    Tasks count the subwords of the sampled texts, so the driver gets
+    at most 6 * BUCKETS bytes a row, whatever the texts' lengths.
     """
-    rows = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    if not sizes:
+    rows = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()) \
+        .withColumn("unit", F.xxhash64("doc_id", "text"))
+    languages = rows.select("lang").distinct().count()
+    if not languages:
         return []
-    each = max(1, SAMPLE_ROWS // len(sizes))
-    unit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    share = F.when(F.lit(False), 0.0)
-    for r in sizes:
-        share = share.when(F.col("lang") == r["lang"], min(1.0, each / r["count"]))
-    taken = (rows.select("lang", F.substring("text", 1, SAMPLE_CHARS).alias("text"), unit.alias("unit"))
-             .where(F.col("unit") < share.otherwise(0.0))
-             .orderBy("unit", "lang", "text").limit(SAMPLE_ROWS).collect())
-    return [(r["lang"], r["text"]) for r in taken if LETTER.search(r["text"])]
-
-
-def train(sample: list[tuple[str, str]], seed: int = 7) -> LanguageModel:
+    each = max(1, SAMPLE_ROWS // languages)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("unit"))
+    last = (rows.select("lang", "unit").distinct().withColumn("rank", rank).where(F.col("rank") <= each)
+            .groupBy("lang").agg(F.max("unit").alias("last")))
+    # one row a language, as many as the sample has
+    last = F.broadcast(last.withColumnRenamed("lang", "of_lang"))
+    taken = (rows.join(last, (F.col("lang") == F.col("of_lang")) & (F.col("unit") <= F.col("last")))
+             .dropDuplicates(["lang", "unit"]))
+
+    def work(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
+        for batch in batches:
+            at = [i for i, t in enumerate(batch["text"]) if has_letter(t)]
+            counts = [subword_counts(batch["text"][i]) for i in at]
+            used = [np.flatnonzero(c) for c in counts]
+            yield {"lang": [batch["lang"][i] for i in at], "unit": [batch["unit"][i] for i in at],
+                   "buckets": [u.astype("<u2").tobytes() for u in used],
+                   "shares": [(c[u] / c.sum()).astype("<f4").tobytes() for c, u in zip(counts, used)]}
+
+    found = map_columns(taken.select("lang", "text", "unit"), work, "lang string, unit long, buckets binary, shares binary")
+    return [(r["lang"], np.frombuffer(r["buckets"], "<u2").astype(np.int64), np.frombuffer(r["shares"], "<f4"))
+            for r in sorted(found.collect(), key=lambda r: (r["unit"], r["lang"]))]
+
+
+def train(sample: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> LanguageModel:
     """Fit, calibrate and fold the model; the sample's order is the training order."""
-    languages = sorted({lang for lang, _ in sample})
+    languages = sorted({lang for lang, _, _ in sample})
     if not languages:
         return LanguageModel([], np.zeros((BUCKETS, 0)), 1.0, 0.0)
     at = {lang: i for i, lang in enumerate(languages)}
-    rows = []
-    for lang, text in sample:
-        counts = subword_counts(text)
-        used = np.flatnonzero(counts)
-        rows.append((at[lang], used, (counts[used] / counts.sum()).astype(np.float32)))
+    rows = [(at[lang], used, share) for lang, used, share in sample]
     fit = [r for i, r in enumerate(rows) if i % CALIBRATION_PART] or rows
     check = [r for i, r in enumerate(rows) if not i % CALIBRATION_PART]
     rng = np.random.default_rng(seed)
@@ -221,11 +248,15 @@ def predict_languages(docs: DataFrame, model: LanguageModel, keep: list[str]) ->
 
     schema = ", ".join([*(f"`{c}` {types[c]}" for c in keep), "lang_pred string, score double, accepted boolean"])
     columns = list(dict.fromkeys([*keep, "text"]))
-    return map_columns(docs.select(*columns), work, schema)
+    return map_columns(pick(docs, *columns), work, schema)
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """The rows of ``docs`` whose language is identified, with all their columns."""
+    """The rows of ``docs`` whose language is identified, with all their columns.
+
+    Only the text decides: null, empty and letterless texts go, repeated rows
+    are judged alike, a null doc_id or lang like any other; an empty table gives none.
+    """
     prepare(docs.sparkSession)
     at = positional(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lagframe.llm import (best_fit, chat, collocations, langid, minhash, mixing, packing, periodic_runs, quality_rules, token_files, topk,
                           url_filter, warc)
+from lagframe.llm.common import pick
 from lagframe.llm.tokens import tokenizer_path
 from lagframe.session import configure, scratch_path
 
@@ -36,7 +37,7 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language, score and acceptance of every document."""
     docs = table(spark, sf_dir, "documents")
-    rows = docs.select("doc_id", langid.held_out().alias("held_out"), "text")
+    rows = pick(docs, "doc_id", "text").withColumn("held_out", langid.held_out())
     return langid.predict_languages(rows, langid.fit_languages(docs), ["doc_id", "held_out"])
 
 
