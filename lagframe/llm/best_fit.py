@@ -60,14 +60,14 @@ def cut_documents(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -
     """The pieces of every document; only one longer than ``capacity`` has several."""
 
     def cut(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-        encode = encoder(tokenizer).encode
-        for batch in batches:
-            rows = []
-            for doc_id, ids in zip(batch["doc_id"], encode(batch["text"], end_id), strict=True):
-                bounds = [0, *range((len(ids) - 1) % capacity + 1, len(ids) + 1, capacity)]
-                rows += [(doc_id, i, a, b - a, zlib.crc32(ids[a:b].tobytes()))
-                         for i, (a, b) in enumerate(zip(bounds, bounds[1:]))]
-            yield {n: [r[i] for r in rows] for i, n in enumerate(PIECE_COLUMNS)}
+        with encoder(tokenizer) as code:
+            for batch in batches:
+                rows = []
+                for doc_id, ids in zip(batch["doc_id"], code.encode(batch["text"], end_id), strict=True):
+                    bounds = [0, *range((len(ids) - 1) % capacity + 1, len(ids) + 1, capacity)]
+                    rows += [(doc_id, i, a, b - a, zlib.crc32(ids[a:b].tobytes()))
+                             for i, (a, b) in enumerate(zip(bounds, bounds[1:]))]
+                yield {n: [r[i] for r in rows] for i, n in enumerate(PIECE_COLUMNS)}
 
     return stage(map_columns(pick(docs, "doc_id", "text"), cut, PIECE_SCHEMA), "pieces")
 

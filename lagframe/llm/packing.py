@@ -171,12 +171,12 @@ def pack_documents(docs: DataFrame, tokenizer: str, sequence_tokens: int = SEQUE
     sequence_id, offset (gapless within the sequence).
     """
     def pack(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-        encode = encoder(tokenizer).encode
         packer = Packer(sequence_tokens, max_open, TaskContext.get().partitionId() << SEQUENCE_BITS)
-        for batch in batches:
-            for doc_id, ids in zip(batch["doc_id"], encode(batch["text"], end_id), strict=True):
-                packer.add(doc_id, ids)
-            yield packer.taken()
+        with encoder(tokenizer) as code:
+            for batch in batches:
+                for doc_id, ids in zip(batch["doc_id"], code.encode(batch["text"], end_id), strict=True):
+                    packer.add(doc_id, ids)
+                yield packer.taken()
         packer.flush()
         yield packer.taken()
 

@@ -142,15 +142,15 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     make_folder(path)
 
     def write(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-        code, part = encoder(tokenizer), TaskContext.get().partitionId()
-        width = 2 if max(code.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
+        part, writer = TaskContext.get().partitionId(), None
         # the name is new for every attempt: a task that is run again never meets its first file
         to = f"{path}/part-{part:06d}-{uuid.uuid4().hex}.tok.zst"
-        writer = None
-        for batch in batches:
-            writer = writer or TokenFileWriter(to, width)
-            for doc_id, ids in zip(batch["doc_id"], code.encode(batch["text"], end_id), strict=True):
-                writer.add(doc_id, ids)
+        with encoder(tokenizer) as code:
+            width = 2 if max(code.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
+            for batch in batches:
+                writer = writer or TokenFileWriter(to, width)
+                for doc_id, ids in zip(batch["doc_id"], code.encode(batch["text"], end_id), strict=True):
+                    writer.add(doc_id, ids)
         if writer:
             writer.close()
             yield {"partition": [part], "path": [to], "n_docs": [len(writer.doc_ids)], "n_tokens": [writer.n_tokens]}

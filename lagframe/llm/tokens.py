@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -153,8 +155,17 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder of a tokenizer file, loaded once."""
+@contextmanager
+def encoder(path: str) -> Iterator[Encoder]:
+    """The worker's encoder of a tokenizer file, loaded once.
+
+    Its memo serves one task: a worker goes on to tasks of other kinds, which
+    need the memory.
+    """
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    found = _ENCODERS[path]
+    try:
+        yield found
+    finally:
+        found.memo, found.old = {}, {}
