@@ -284,13 +284,14 @@ def judge_documents(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -
 def keep_documents(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns.
 
-    The counts are taken anew beside each text, which costs a second pass
-    but no shuffle of the texts.
+    Texts are counted once, beside their row, and written with the counts;
+    the cutoffs are fitted and applied to the written table. Null and empty
+    texts fail the base rules; repeated rows are judged each on its own, a
+    null doc_id or stratum like any other; an empty table gives none.
     """
     prepare(docs.sparkSession)
-    cutoffs = fit_cutoffs(rule_counts(docs, stratum), labels)
     at = positional(docs)
-    text, group = (f"c{docs.columns.index(n)}" for n in ("text", stratum))
+    text, group, doc_id = (f"c{docs.columns.index(n)}" for n in ("text", stratum, "doc_id"))
 
     @F.arrow_udf(COUNTS_SCHEMA)
     def counted(texts: pa.Array) -> pa.Array:
@@ -298,6 +299,7 @@ def keep_documents(docs: DataFrame, labels: DataFrame, stratum: str = "lang") ->
         return pa.StructArray.from_arrays([pa.array([r[i] for r in rows], pa.int64())
                                            for i in range(len(COUNT_NAMES))], COUNT_NAMES)
 
-    rows = at.withColumn("counts", counted(text)).withColumn("stratum", stratum_of(group))
+    rows = stage(at.withColumn("counts", counted(text)).withColumn("stratum", stratum_of(group)), "counted")
+    cutoffs = fit_cutoffs(rows.select(F.col(doc_id).alias("doc_id"), "stratum", "counts.*"), labels)
     return (kept(rows.select(*at.columns, "counts.*", "stratum"), cutoffs).where("kept")
             .select(*at.columns).toDF(*docs.columns))
