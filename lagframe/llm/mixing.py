@@ -11,7 +11,8 @@ Sorting the copies by position by range yields the mix.
 
 Running sums within a source are taken in two steps: within small hash
 buckets, and over the buckets' totals. A hot source is many buckets, so no
-task sees more than a few of them. Only ids and sizes are shuffled for it.
+task sees more than a few of them. The words taken need ids and sizes only; texts
+are shuffled where the copies themselves are wanted.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lagframe.llm.common import pick, positional, stage, word_count
+from lagframe.plans.guards import broadcast_dimension
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEATS = 3
@@ -44,41 +46,49 @@ def source_targets(sized: DataFrame, weights: tuple = WEIGHTS, max_repeats: int
     All words are shared out by weight; a target stops at ``max_repeats``
     times the source's size and the excess goes to the others by weight.
     At the end every target is the smaller of its limit and weight x level
-    for one common level: the limits below it are those of the sources with
-    the least limit to weight ratio. Sources without words get 0.
+    for one common level. The level rises round by round, as the sources that
+    stand at their limits leave the excess to the others, until none is added;
+    a round is one sum over the sources. Sources without words get 0.
     """
     sums = sized.groupBy(SOURCE).agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
-    place = F.row_number().over(Window.orderBy(SOURCE)) - 1
+    ranked = number_rows(sums.repartitionByRange(SOURCE).sortWithinPartitions(SOURCE), "sources") \
+        .withColumnRenamed("at", "place")
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("place") % len(weights) + 1).cast("int"))
-    limit = F.col("source_size") * float(max_repeats)
-    ranked = (sums.withColumn("place", place).withColumn("weight", weight).withColumn("limit", limit)
-              .withColumn("ratio", F.col("limit") / F.col("weight")))
-    before = Window.orderBy("ratio", "place").rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.partitionBy()
-    # the level if exactly the sources before this one stand at their limits
-    level = ((F.sum("source_size").over(every) - F.coalesce(F.sum("limit").over(before), F.lit(0.0)))
-             / (F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))))
-    leveled = ranked.withColumn("level", level)
-    free = F.min(F.when(F.col("level") <= F.col("ratio"), F.struct("ratio", "place", "level"))).over(every)
-    target = F.least("limit", F.col("weight") * F.coalesce(F.col("free")["level"], F.lit(float("inf"))))
-    return stage(leveled.withColumn("free", free)
-                 .select(SOURCE, "source_size", "n_docs", "place", target.alias("target")), "targets")
-
-
-def place_documents(sized: DataFrame, targets: DataFrame) -> DataFrame:
-    """Rows of ``sized`` (with row_hash and SOURCE) and ``first``: the words of
-    the source before them in its random order."""
+    limited = ranked.withColumn("weight", weight).withColumn("limit", F.col("source_size") * float(max_repeats))
+    level, full = 0.0, -1
+    while True:
+        at_limit = F.col("limit") <= F.col("weight") * level
+        n, every, kept, free = limited.agg(
+            F.count_if(at_limit), F.sum("source_size"), F.sum(F.when(at_limit, F.col("limit")).otherwise(0.0)),
+            F.sum(F.when(at_limit, 0.0).otherwise(F.col("weight")))).first()
+        if n == full or not free:
+            break
+        level, full = (every - kept) / free, n
+    # with every source at its limit there is nothing left to share
+    target = F.col("limit") if not free else F.least("limit", F.col("weight") * level)
+    return limited.select(SOURCE, "source_size", "n_docs", "place", target.alias("target"))
+
+
+def place_documents(rows: DataFrame, sized: DataFrame, targets: DataFrame) -> DataFrame:
+    """``rows`` (with size, row_hash and SOURCE) and ``first``: the words of the source
+    before them in its random order.
+
+    ``sized`` holds the same columns of the same rows, written, for the buckets' totals.
+    """
     unit = F.pmod(F.xxhash64("row_hash", F.lit(17)), F.lit(1 << 40)) / float(1 << 40)
     buckets = F.ceil(F.col("n_docs") / F.lit(float(BUCKET_ROWS)))
-    rows = (sized.join(targets.select(SOURCE, "source_size", "n_docs", "place", "target"), SOURCE)
-            .withColumn("bucket", F.floor(unit * buckets)))
-    sums = rows.groupBy(SOURCE, "bucket").agg(F.sum("size").alias("bucket_size"))
+    goals = targets.select(SOURCE, "source_size", "n_docs", "place", "target")
+
+    def bucketed(df: DataFrame) -> DataFrame:
+        return df.join(goals, SOURCE).withColumn("bucket", F.floor(unit * buckets))
+
+    sums = bucketed(sized).groupBy(SOURCE, "bucket").agg(F.sum("size").alias("bucket_size"))
     earlier = Window.partitionBy(SOURCE).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = stage(sums.select(SOURCE, "bucket", F.coalesce(F.sum("bucket_size").over(earlier), F.lit(0))
                                .alias("bucket_first")), "buckets")
     inside = (Window.partitionBy(SOURCE, "bucket").orderBy("row_hash", "size")
               .rowsBetween(Window.unboundedPreceding, -1))
-    summed = rows.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    summed = bucketed(rows).withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     return (summed.join(starts, [SOURCE, "bucket"])
             .withColumn("first", F.col("bucket_first") + F.col("inside")).drop("bucket_first", "inside", "bucket"))
 
@@ -147,7 +157,7 @@ def number_rows(rows: DataFrame, name: str) -> DataFrame:
     starts = (numbered.groupBy("task").agg(F.count("*").alias("n"))
               .select("task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")))
     inside = F.col("id").bitwiseAND(F.lit((1 << TASK_BITS) - 1))
-    return (numbered.join(F.broadcast(starts), "task")
+    return (numbered.join(broadcast_dimension(stage(starts, "starts")), "task")
             .withColumn("at", F.col("start") + inside).drop("task", "start", "id"))
 
 
@@ -161,8 +171,8 @@ def taken_words(docs: DataFrame, schedules: tuple = SCHEDULES) -> DataFrame:
     Repeated rows are documents of their own and stand next to each other.
     An empty table gives none.
     """
-    sized = sized_documents(docs)
-    placed = stage(place_documents(sized, source_targets(sized)), "placed")
+    sized = stage(sized_documents(docs), "sized")
+    placed = stage(place_documents(sized, sized, source_targets(sized)), "placed")
     columns = ["doc_id", "size", "source_size", "target"]
     mix = number_rows(in_order(taken_copies(placed, schedules)), "mix")
     # rows with words differ in where they start within their source
@@ -180,13 +190,20 @@ def dated_documents(docs: DataFrame) -> DataFrame:
     """The copies the mix takes: all columns of ``docs`` and the ORDER columns, unsorted.
 
     A copy that the target cuts keeps its first words, one space between
-    them; documents without words aren't taken.
+    them; documents without words, null texts too, aren't taken. Null sources are one
+    source; repeated rows and null doc_ids are documents of their own; an empty table
+    gives none. Columns of ``docs`` named like ORDER, in any case, give way to those.
+    Texts are counted twice, for the sizes and beside their row, and shuffled
+    once, to the windows that place them.
     """
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ORDER]) \
+        if any(c.lower() in ORDER for c in docs.columns) else docs
     at = positional(docs)
     names = {n: f"c{docs.columns.index(n)}" for n in ("doc_id", "source", "text")}
-    sized = at.withColumns({SOURCE: source_key(names["source"]), "size": word_count(F.col(names["text"])),
-                            "row_hash": F.xxhash64(names["doc_id"], names["text"])})
-    placed = place_documents(sized, source_targets(sized.select(SOURCE, "size")))
+    counted = at.withColumns({SOURCE: source_key(names["source"]), "size": word_count(F.col(names["text"])),
+                              "row_hash": F.xxhash64(names["doc_id"], names["text"])})
+    sized = stage(counted.select(SOURCE, "size", "row_hash"), "sized")
+    placed = place_documents(counted, sized, source_targets(sized))
     words = F.split(F.regexp_replace(names["text"], "^[\\x20\\x09-\\x0D]+", ""), "[\\x20\\x09-\\x0D]+")
     cut = F.array_join(F.slice(words, 1, F.greatest(F.lit(1), F.col("words").cast("int"))), " ")
     taken = (taken_copies(placed)
@@ -195,6 +212,9 @@ def dated_documents(docs: DataFrame) -> DataFrame:
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:
-    """The copies of ``dated_documents``, all columns of ``docs``, sorted by position."""
-    sorted_ = positional(in_order(dated_documents(docs)))
-    return sorted_.select(*sorted_.columns[:len(docs.columns)]).toDF(*docs.columns)
+    """The copies of ``dated_documents``, its columns but ORDER, sorted by position."""
+    dated = dated_documents(docs)
+    at = positional(dated)
+    order = at.columns[-len(ORDER):]
+    sorted_ = at.repartitionByRange(*order).sortWithinPartitions(*order)
+    return sorted_.select(*at.columns[:-len(ORDER)]).toDF(*dated.columns[:-len(ORDER)])
