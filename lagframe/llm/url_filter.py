@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lagframe.llm.common import stage
+from lagframe.llm.common import pick, stage
 
 DAY = 86_400
 BIN_SECONDS = 7 * DAY
@@ -65,9 +65,10 @@ def evaluate(captures: DataFrame, entries: DataFrame) -> DataFrame:
     rows are each judged alone; no entries block nothing; an empty table
     gives none. ``blocked`` is true if the longest listed key says block.
     """
+    captures = pick(captures, "page_id", "url", "fetched_at")
     rows = captures.select(F.monotonically_increasing_id().alias("row"), "page_id", "fetched_at",
                            lookup_keys(host_of("url"), segment_of("url")).alias("keys"))
-    intervals = validity_intervals(entries)
+    intervals = validity_intervals(pick(entries, "key", "day", "action", "verdict"))
     horizon = captures.agg(F.max("fetched_at")).first()[0] or 0
     until = F.least(F.coalesce(F.col("valid_to") - 1, F.lit(horizon)), F.lit(horizon))
     bins = F.sequence(F.floor(F.col("valid_from") / BIN_SECONDS), F.floor(until / BIN_SECONDS))
@@ -102,7 +103,7 @@ def digits(text: Column, n: int, start: int = 1) -> Column:
 def derived_captures(pages: DataFrame) -> DataFrame:
     """Captures of ``pages``: fetched within the year, at a second given by the page's number."""
     moment = F.lit(FIRST_DAY * DAY) + digits(F.col("page_id").cast("string"), 7) % (DAYS * DAY)
-    return pages.select("page_id", "url", moment.cast("long").alias("fetched_at"))
+    return pick(pages, "page_id", "url").select("page_id", "url", moment.cast("long").alias("fetched_at"))
 
 
 def derived_entries(pages: DataFrame) -> DataFrame:
@@ -110,7 +111,7 @@ def derived_entries(pages: DataFrame) -> DataFrame:
 
     A third of the keys have up to HISTORY entries, in turn add and remove.
     """
-    keys = (pages.select(F.explode(lookup_keys(host_of("url"), segment_of("url"))).alias("key")).distinct()
+    keys = (pick(pages, "url").select(F.explode(lookup_keys(host_of("url"), segment_of("url"))).alias("key")).distinct()
             .where(digits(F.col("key"), 4) % 3 == 0))
     nth = F.explode(F.sequence(F.lit(1), (digits(F.col("key"), 2, 5) % HISTORY + 1).cast("int")))
     own = F.concat_ws("#", F.col("key"), F.col("nth").cast("string"))

@@ -26,6 +26,7 @@ from lagframe.session import scratch_path
 
 ARCHIVE_BYTES = 1 << 30    # a task starts a new archive beyond this
 READ_BYTES = 8 << 20       # of one read at most, unless a record is longer
+TASK_BYTES = 32 << 20      # of archives that a reading task takes, about
 READ_GAP = 64 << 10        # unselected bytes read over rather than sought
 RECORD_DATE = "2024-01-01T00:00:00Z"
 # Fixed values of the WARC format.
@@ -146,8 +147,10 @@ def coalesced(rows: list[tuple[str, int, int]]) -> Iterator[list[tuple[str, int,
 
 def read_records(index: DataFrame) -> DataFrame:
     """The records of the given index rows, read and checked."""
-    ordered = (index.select("path", "offset", "length").repartitionByRange("path", "offset")
-               .sortWithinPartitions("path", "offset"))
+    ordered = pick(index, "path", "offset", "length")
+    # the index is small beside the archives: tasks follow the bytes they read
+    tasks = -(-(ordered.agg(F.sum("length")).first()[0] or 0) // TASK_BYTES) or 1
+    ordered = ordered.repartitionByRange(tasks, "path", "offset").sortWithinPartitions("path", "offset")
 
     def read(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
         opened = ("", None)
