@@ -318,6 +318,54 @@ def oracles() -> dict[str, str]:
         "SELECT 'legs', count(*) FROM legs_prepared UNION ALL "
         "SELECT 'observations', count(*) FROM obs_prepared UNION ALL "
         "SELECT 'lag_join_long', count(*) FROM long")
+    dup = BASE_MAPPED + (obs_raw(True), obs_prepared(), obs_mapped())
+    ends = {"_ORIG": ("FT_ORIGIN_AIRPORT_ID", "FT_TIMESTAMP"), "_DEST": ("FT_DEST_AIRPORT_ID", "FT_DEST_DATE_TIME")}
+    asof_cols, joins, asof_out = [("OT_WEATHER_TIMESTAMP", "T"), ("OT_Visibility", "d"), ("OT_oid", "l")], "", []
+    for tail, (airport, at) in ends.items():
+        joins += (f" ASOF LEFT JOIN obs_one o{tail} ON l.{airport} = o{tail}.OT_ORIGIN_AIRPORT_ID"
+                  f" AND l.{at} >= o{tail}.OT_WEATHER_TIMESTAMP")
+        near = f"l.{at} <= o{tail}.OT_WEATHER_TIMESTAMP + INTERVAL 12 HOURS"
+        asof_out += [f"CASE WHEN {near} THEN {fmt(f'o{tail}.{c}', k)} END AS {q(c + tail)}" for c, k in asof_cols]
+        asof_out.append(f"CASE WHEN {near} THEN CAST(epoch(l.{at}) - epoch(o{tail}.OT_WEATHER_TIMESTAMP) AS BIGINT) END"
+                        f" AS observation_age{tail}")
+    leg_out = [f"{fmt('l.' + q(c), k)} AS {q(c)}" for c, k in C_LEGS_MAPPED]
+    s["lag_join_asof"] = with_(*dup, """obs_one AS (
+  SELECT * FROM obs_mapped WHERE OT_WEATHER_TIMESTAMP IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY OT_ORIGIN_AIRPORT_ID, OT_WEATHER_TIMESTAMP ORDER BY OT_oid) = 1)""") + (
+        "SELECT " + ", ".join(leg_out + asof_out) + " FROM legs_mapped l" + joins)
+    value = "CASE WHEN isnan(o.OT_Visibility) THEN NULL ELSE o.OT_Visibility END"
+    stats = [f"""stats{tail} AS (
+  SELECT l.FT_event_id AS id, count(o.OT_oid) AS observations, count({value}) AS n, avg({value}) AS mean
+  FROM legs_mapped l LEFT JOIN obs_mapped o ON l.{airport} = o.OT_ORIGIN_AIRPORT_ID
+   AND o.OT_WEATHER_TIMESTAMP BETWEEN l.{at} - INTERVAL 11 HOURS AND l.{at} GROUP BY l.FT_event_id)"""
+             for tail, (airport, at) in ends.items()]
+    s["lag_range_stats"] = with_(*dup, *stats) + (
+        "SELECT " + ", ".join(leg_out + [f"s{t}.observations AS observations{t}, s{t}.n AS values{t}, "
+                                         f"round(s{t}.mean, 4) AS mean{t}" for t in ends])
+        + " FROM legs_mapped l" + "".join(f" JOIN stats{t} s{t} ON s{t}.id = l.FT_event_id" for t in ends))
+    rolled = ", ".join(
+        f"round(min(low) OVER w{h}, 4) AS min_{h}h, "
+        f"round(CASE WHEN sum(n) OVER w{h} > 0 THEN sum(total) OVER w{h} / sum(n) OVER w{h} END, 4) AS mean_{h}h"
+        for h in (3, 12))
+    s["rolling_measures"] = with_(*dup, f"""instants AS (
+  SELECT OT_ORIGIN_AIRPORT_ID, OT_WEATHER_TIMESTAMP, count(*) AS observations, count({value}) AS n,
+         sum({value}) AS total, min({value}) AS low
+  FROM obs_mapped o WHERE OT_WEATHER_TIMESTAMP IS NOT NULL AND OT_ORIGIN_AIRPORT_ID IS NOT NULL GROUP BY 1, 2)""") + (
+        "SELECT OT_ORIGIN_AIRPORT_ID, " + fmt("OT_WEATHER_TIMESTAMP", "T") + f" AS OT_WEATHER_TIMESTAMP, observations, {rolled}"
+        " FROM instants WINDOW " + ", ".join(
+            f"w{h} AS (PARTITION BY OT_ORIGIN_AIRPORT_ID ORDER BY OT_WEATHER_TIMESTAMP "
+            f"RANGE BETWEEN INTERVAL {h} HOURS PRECEDING AND CURRENT ROW)" for h in (3, 12)))
+    hour = "date_trunc('hour', {})"
+    lagged = [f"""seen{tail} AS (
+  SELECT DISTINCT l.FT_event_id AS id FROM legs_mapped l, obs_mapped o, generate_series(0, {MAX_LAG}) AS g(h)
+  WHERE l.{airport} = o.OT_ORIGIN_AIRPORT_ID AND {{0}} - to_hours(CAST(h AS INTEGER)) = {{1}})"""
+              .format(t.format(f"l.{at}"), t.format("o.OT_WEATHER_TIMESTAMP"))
+              for t in ("{}", hour) for tail, (airport, at) in ends.items()]
+    present_legs = "SELECT " + ", ".join(leg_out) + " FROM legs_mapped l WHERE "
+    s["legs_unobserved"] = with_(*dup, *lagged[:2]) + present_legs + (
+        "FT_event_id NOT IN (SELECT id FROM seen_ORIG) AND FT_event_id NOT IN (SELECT id FROM seen_DEST)")
+    s["legs_observed"] = with_(*dup, *lagged[2:]) + present_legs + (
+        "FT_event_id IN (SELECT id FROM seen_ORIG) AND FT_event_id IN (SELECT id FROM seen_DEST)")
     docs = [("doc_id", "l"), ("text", "s"), ("lang", "s"), ("source", "s"), ("n_chars", "l"),
             ("quality", "i"), ("toxic", "i")]
     dl = ("docs_labels AS (SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic "

@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lagframe.operators import clean, lagjoin, layout, learn, quality
+from lagframe.operators import asof, clean, lagjoin, layout, learn, occupancy, quality
 from lagframe.operators.rename import prefix_columns, suffix_columns
 from lagframe.plans.guards import materialize
 from lagframe.plans.report import present
@@ -274,6 +274,47 @@ def q_lag_join_wide(spark, sf):
     return present(lagjoin.lag_join_wide(t.legs_mapped, t.obs_dup_mapped, dedup_by="OT_oid"))
 
 
+@query
+def q_lag_join_asof(spark, sf):
+    """Legs with the latest observation of the last 12 hours at either endpoint."""
+    t = Tables(spark, sf)
+    columns = ["OT_WEATHER_TIMESTAMP", "OT_Visibility", "OT_oid"]
+    out = t.legs_mapped
+    for side in ("origin", "dest"):
+        out = asof.lag_join_asof(out, t.obs_dup_mapped, side, tie_by="OT_oid", columns=columns)
+    return present(out)
+
+
+@query
+def q_lag_range_stats(spark, sf):
+    """Legs with count and mean visibility over the 11 hours up to each endpoint's instant."""
+    t = Tables(spark, sf)
+    out = t.legs_mapped
+    for side in ("origin", "dest"):
+        out = asof.lag_range_stats(out, t.obs_dup_mapped, "OT_Visibility", side)
+    return present(out)
+
+
+@query
+def q_rolling_measures(spark, sf):
+    """Minimum and mean visibility of the last 3 and 12 hours at every station and instant."""
+    return present(asof.rolling_measures(Tables(spark, sf).obs_dup_mapped, "OT_Visibility"))
+
+
+@query
+def q_legs_observed(spark, sf):
+    """Legs with an observation at a lag of both endpoints, hours matched as hours."""
+    t = Tables(spark, sf)
+    return present(occupancy.legs_observed(t.legs_mapped, t.obs_dup_mapped, "both", snap="hour"))
+
+
+@query
+def q_legs_unobserved(spark, sf):
+    """Legs without any observation at their lags."""
+    t = Tables(spark, sf)
+    return present(occupancy.legs_unobserved(t.legs_mapped, t.obs_dup_mapped))
+
+
 @query
 def q_lag_match_profile(spark, sf):
     """Flagship: per lag, rows, matches at each end and mean visibility."""
