@@ -1,7 +1,8 @@
 """The whole batch job: feeds -> typed tables -> lagged join -> training
 table -> classifier metrics.
 
-The join result is materialised once in the shared checkpoint folder
+With ``out`` the job writes the training table, the metrics and the seconds
+of its steps below that folder. The join result is materialised once in the shared checkpoint folder
 before the profiling action, so the several passes that follow (profile,
 split, encoder fits, forest levels) read it instead of recomputing the
 join each time.
@@ -9,6 +10,7 @@ join each time.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -22,7 +24,7 @@ from lagframe.schemas import (
     MAX_DEPTH, MAX_LAG_HOURS, MISSING_THRESHOLD, NUM_TREES, ON_TIME_THRESHOLD, PCA_K, SEED,
 )
 from lagframe.session import scratch_path
-from lagframe.sources.csv import read_feed, stage_to_parquet
+from lagframe.sources.csv import read_feed, stage_to_parquet, write_csv, write_metrics
 from lagframe.sources.sampling import sample_by_key
 
 
@@ -57,6 +59,7 @@ class PipelineResult:
     table: DataFrame
     trained: TrainedClassifier
     metrics: DataFrame
+    seconds: dict[str, float] = field(default_factory=dict)
 
 
 def prepare(legs_raw: DataFrame, obs_raw: DataFrame, stations: DataFrame,
@@ -69,33 +72,53 @@ def prepare(legs_raw: DataFrame, obs_raw: DataFrame, stations: DataFrame,
     return legs, obs
 
 
+def write_results(result: PipelineResult, out: str) -> None:
+    """``table`` (Parquet), ``metrics.csv`` and ``execution_times.csv`` below ``out``; what lies there is replaced.
+
+    The table keeps its tasks' files; the reports are one file each.
+    """
+    out = out.rstrip("/")
+    result.table.write.mode("overwrite").parquet(f"{out}/table")
+    write_metrics(result.metrics, f"{out}/metrics.csv")
+    times = result.metrics.sparkSession.createDataFrame(list(result.seconds.items()), "Task string, `Duration (seconds)` double")
+    write_csv(times, f"{out}/execution_times.csv", single_file=True)
+
+
 def run(legs_raw: DataFrame, obs_raw: DataFrame, stations: DataFrame,
-        cfg: PipelineConfig | None = None) -> PipelineResult:
+        cfg: PipelineConfig | None = None, out: str | None = None) -> PipelineResult:
+    """The job over raw feeds; ``out`` names the folder of its results, if they shall be written."""
     cfg = cfg or PipelineConfig()
+    seconds, began = {}, time.monotonic()
     legs, obs = prepare(legs_raw, obs_raw, stations, cfg)
     joined = lag_join(legs, obs, cfg.layout, cfg.max_lag, snap=cfg.snap, **cfg.wide_kwargs)
     joined = materialize(joined, cfg.materialize_with)
+    seconds["JoinOperations"], began = time.monotonic() - began, time.monotonic()
     table = build_training_table(joined, cfg.on_time_threshold, cfg.missing_threshold)
+    seconds["Filtering"], began = time.monotonic() - began, time.monotonic()
     split_key = cfg.split_key
     if split_key is None and cfg.layout == "long":
         split_key = [c for c in LEG_IDENTITY if c in table.columns] or None
     trained = train_classifier(table, LABEL, cfg.features, cfg.num_trees, cfg.max_depth, cfg.k,
                                cfg.scale, cfg.seed, split_key)
-    return PipelineResult(joined, table, trained, trained.metrics())
+    seconds["Training"] = time.monotonic() - began
+    result = PipelineResult(joined, table, trained, trained.metrics(), seconds)
+    if out:
+        write_results(result, out)
+    return result
 
 
 def run_from_csv(spark, legs_path: str, obs_path: str, stations_path: str,
                  cfg: PipelineConfig | None = None, legs_schema=None, obs_schema=None,
-                 stage: bool = True) -> PipelineResult:
+                 stage: bool = True, out: str | None = None) -> PipelineResult:
     """The job from the three CSV feeds (directories or files, with header).
 
     With ``stage`` the two large feeds are first written once as Parquet
     under the shared checkpoint folder, so every later pass scans typed
-    columns instead of re-parsing text."""
+    columns instead of re-parsing text. ``out`` as in ``run``."""
     legs = read_feed(spark, legs_path, legs_schema)
     obs = read_feed(spark, obs_path, obs_schema)
     stations = read_feed(spark, stations_path)
     if stage:
         legs = stage_to_parquet(legs, scratch_path(spark, "legs-feed"))
         obs = stage_to_parquet(obs, scratch_path(spark, "obs-feed"))
-    return run(legs, obs, stations, cfg)
+    return run(legs, obs, stations, cfg, out)
