@@ -341,11 +341,11 @@ def oracles() -> dict[str, str]:
              for tail, (airport, at) in ends.items()]
     s["lag_range_stats"] = with_(*dup, *stats) + (
         "SELECT " + ", ".join(leg_out + [f"s{t}.observations AS observations{t}, s{t}.n AS values{t}, "
-                                         f"round(s{t}.mean, 4) AS mean{t}" for t in ends])
+                                         f"round(s{t}.mean, 9) AS mean{t}" for t in ends])
         + " FROM legs_mapped l" + "".join(f" JOIN stats{t} s{t} ON s{t}.id = l.FT_event_id" for t in ends))
     rolled = ", ".join(
-        f"round(min(low) OVER w{h}, 4) AS min_{h}h, "
-        f"round(CASE WHEN sum(n) OVER w{h} > 0 THEN sum(total) OVER w{h} / sum(n) OVER w{h} END, 4) AS mean_{h}h"
+        f"round(min(low) OVER w{h}, 9) AS min_{h}h, "
+        f"round(CASE WHEN sum(n) OVER w{h} > 0 THEN sum(total) OVER w{h} / sum(n) OVER w{h} END, 9) AS mean_{h}h"
         for h in (3, 12))
     s["rolling_measures"] = with_(*dup, f"""instants AS (
   SELECT OT_ORIGIN_AIRPORT_ID, OT_WEATHER_TIMESTAMP, count(*) AS observations, count({value}) AS n,

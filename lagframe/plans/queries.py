@@ -28,6 +28,7 @@ SAMPLE_FRACTION = 0.1
 SAMPLE_PCT = 30
 RULE_MAX_ELAPSED = 180.0   # fixed rule for the metrics check: on time if short
 RANGE_PARTITIONS = 8
+MEAN_DECIMALS = 9          # means of few values: no ties of rounding there
 
 
 class Tables:
@@ -292,13 +293,13 @@ def q_lag_range_stats(spark, sf):
     out = t.legs_mapped
     for side in ("origin", "dest"):
         out = asof.lag_range_stats(out, t.obs_dup_mapped, "OT_Visibility", side)
-    return present(out)
+    return present(out, MEAN_DECIMALS)
 
 
 @query
 def q_rolling_measures(spark, sf):
     """Minimum and mean visibility of the last 3 and 12 hours at every station and instant."""
-    return present(asof.rolling_measures(Tables(spark, sf).obs_dup_mapped, "OT_Visibility"))
+    return present(asof.rolling_measures(Tables(spark, sf).obs_dup_mapped, "OT_Visibility"), MEAN_DECIMALS)
 
 
 @query

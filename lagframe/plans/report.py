@@ -12,9 +12,9 @@ from lagframe.operators.rename import bq
 DECIMALS = 4
 
 
-def present(df: DataFrame) -> DataFrame:
+def present(df: DataFrame, decimals: int = DECIMALS) -> DataFrame:
     """Dates as ``yyyy-MM-dd``, instants as ``yyyy-MM-dd HH:mm:ss`` text,
-    doubles rounded to 4 decimals; other columns unchanged."""
+    doubles rounded (to 4 decimals); other columns unchanged."""
     out = []
     for f in df.schema.fields:
         c, t = bq(f.name), f.dataType
@@ -23,7 +23,7 @@ def present(df: DataFrame) -> DataFrame:
         elif isinstance(t, (TimestampType, TimestampNTZType)):
             e = f"date_format({c}, 'yyyy-MM-dd HH:mm:ss')"
         elif isinstance(t, (DoubleType, FloatType)):
-            e = f"round(CAST({c} AS DOUBLE), {DECIMALS})"
+            e = f"round(CAST({c} AS DOUBLE), {decimals})"
         else:
             out.append(c)
             continue
