@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -10,17 +11,24 @@ from lagframe.operators.clean import prepare_legs
 from lagframe.operators.lagjoin import lag_join_long, map_legs
 from lagframe.schemas import LEG_FEED_SCHEMA, MAX_LAG_HOURS
 from lagframe.session import scratch_path
+from lagframe.sources.csv import feed_columns
 
 
 def lagged_legs_stream(spark: SparkSession, legs_dir: str, observations: DataFrame,
                        stations: DataFrame, schema: StructType = LEG_FEED_SCHEMA,
                        max_lag: int = MAX_LAG_HOURS, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming long layout: CSV leg files under ``legs_dir`` joined with a
-    static, prepared observation table. Same columns as the batch join."""
-    reader = spark.readStream.schema(schema).option("header", True)
+    static, prepared observation table. Same columns as the batch join.
+
+    Columns are read by name, in the places they have in a file that lies there
+    at the start (without any, in those of ``schema``); a later file with other places fails the query."""
+    there, columns = schema, [F.col(f"`{f.name}`") for f in schema]
+    if not spark.read.text(legs_dir).isEmpty():
+        there, columns = feed_columns(spark, legs_dir, schema)
+    reader = spark.readStream.schema(there).option("header", True).option("enforceSchema", False)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    legs = map_legs(prepare_legs(reader.csv(legs_dir), stations))
+    legs = map_legs(prepare_legs(reader.csv(legs_dir).select(*columns), stations))
     return lag_join_long(legs, observations, max_lag)
 
 

@@ -59,9 +59,16 @@ def test_job_from_csv_feeds(spark, tmp_dir):
     write_csv(t.legs_raw, paths["legs"])
     write_csv(t.obs_raw, paths["obs"])
     write_csv(t.stations, paths["stations"], single_file=True)
+    out = os.path.join(tmp_dir, "results")
     res = run_from_csv(spark, paths["legs"], paths["obs"], paths["stations"],
-                       PipelineConfig(num_trees=2, max_depth=2))
+                       PipelineConfig(num_trees=2, max_depth=2), out=out)
     assert res.joined.count() == 9420
+    table = spark.read.parquet(out + "/table")
+    assert table.columns == res.table.columns and table.exceptAll(res.table).isEmpty() and res.table.exceptAll(table).isEmpty()
+    written = {r.metric: float(r.value) for r in spark.read.option("header", True).csv(out + "/metrics.csv").collect()}
+    assert written == {r.metric: r.value for r in res.metrics.collect()}
+    times = spark.read.option("header", True).csv(out + "/execution_times.csv")
+    assert times.columns == ["Task", "Duration (seconds)"] and {r.Task for r in times.collect()} == set(res.seconds)
     assert res.metrics.count() == 8
     # default long-layout split: a leg's lag rows never straddle train and test
     leg = ["FT_FL_DATE", "FT_ORIGIN_AIRPORT_ID", "FT_DEST_AIRPORT_ID", "FT_CRS_DEP_TIME", "FT_CRS_ELAPSED_TIME"]

@@ -3,7 +3,9 @@
 import glob
 import os
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lagframe.operators import layout
 from lagframe.plans.guards import broadcast_dimension, materialize
@@ -69,3 +71,33 @@ def test_materialize_checkpoint(spark):
     out = materialize(df, "checkpoint")
     assert out.count() == 10
     assert materialize(df, "parquet").count() == 10
+
+
+def two_orders(folder):
+    os.makedirs(folder)
+    for name, lines in (("a.csv", ["A,B,C,", "1,2,3,", "4,,6,"]), ("b.csv", ["C,A,B,", "3,1,2,"]), ("c d.csv", ["A,B,C,", "7,8,9,"])):
+        with open(os.path.join(folder, name), "w") as fh:
+            fh.write("\n".join(lines) + "\n")
+
+
+def test_files_of_different_header_order(spark, tmp_dir):
+    """Read right by groups of headers; never by place."""
+    path = os.path.join(tmp_dir, "feed")
+    two_orders(path)
+    schema = StructType([StructField(n, StringType()) for n in ("B", "A", "_c3")])
+    expected = sorted([("2", "1", None), (None, "4", None), ("2", "1", None), ("8", "7", None)], key=str)
+    found = csv.read_feed(spark, path, schema, mixed_headers=True)
+    assert found.columns == ["B", "A", "_c3"] and sorted(map(tuple, found.collect()), key=str) == expected
+    assert sorted(map(tuple, csv.read_feed(spark, path, mixed_headers=True).select("A", "B", "C").collect()), key=str) == \
+        sorted([("1", "2", "3"), ("4", None, "6"), ("1", "2", "3"), ("7", "8", "9")], key=str)
+    with pytest.raises(Exception, match="header|read"):
+        csv.read_feed(spark, path, schema).collect()
+    os.remove(os.path.join(path, "b.csv"))
+    assert sorted(csv.read_feed(spark, path).select("C").collect()) == [("3",), ("6",), ("9",)]
+
+
+def test_a_column_that_is_named_like_an_unnamed_one_is_read(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "feed.csv")
+    with open(path, "w") as fh:
+        fh.write("A,_c1\n1,2\n")
+    assert csv.read_feed(spark, path).collect() == [("1", "2")]
