@@ -320,19 +320,27 @@ def oracles() -> dict[str, str]:
         "SELECT 'lag_join_long', count(*) FROM long")
     dup = BASE_MAPPED + (obs_raw(True), obs_prepared(), obs_mapped())
     ends = {"_ORIG": ("FT_ORIGIN_AIRPORT_ID", "FT_TIMESTAMP"), "_DEST": ("FT_DEST_AIRPORT_ID", "FT_DEST_DATE_TIME")}
-    asof_cols, joins, asof_out = [("OT_WEATHER_TIMESTAMP", "T"), ("OT_Visibility", "d"), ("OT_oid", "l")], "", []
+    asof_cols, joins, asof_raw = [("OT_WEATHER_TIMESTAMP", "T"), ("OT_Visibility", "d"), ("OT_oid", "l")], "", []
     for tail, (airport, at) in ends.items():
         joins += (f" ASOF LEFT JOIN obs_one o{tail} ON l.{airport} = o{tail}.OT_ORIGIN_AIRPORT_ID"
                   f" AND l.{at} >= o{tail}.OT_WEATHER_TIMESTAMP")
         near = f"l.{at} <= o{tail}.OT_WEATHER_TIMESTAMP + INTERVAL 12 HOURS"
-        asof_out += [f"CASE WHEN {near} THEN {fmt(f'o{tail}.{c}', k)} END AS {q(c + tail)}" for c, k in asof_cols]
-        asof_out.append(f"CASE WHEN {near} THEN CAST(epoch(l.{at}) - epoch(o{tail}.OT_WEATHER_TIMESTAMP) AS BIGINT) END"
+        asof_raw += [f"CASE WHEN {near} THEN o{tail}.{c} END AS {q(c + tail)}" for c, k in asof_cols]
+        asof_raw.append(f"CASE WHEN {near} THEN CAST(epoch(l.{at}) - epoch(o{tail}.OT_WEATHER_TIMESTAMP) AS BIGINT) END"
                         f" AS observation_age{tail}")
+    all_asof = [*C_LEGS_MAPPED, *[x for t in ends for x in (*((c + t, k) for c, k in asof_cols), ("observation_age" + t, "l"))]]
     leg_out = [f"{fmt('l.' + q(c), k)} AS {q(c)}" for c, k in C_LEGS_MAPPED]
-    s["lag_join_asof"] = with_(*dup, """obs_one AS (
+    asof_ctes = with_(*dup, """obs_one AS (
   SELECT * FROM obs_mapped WHERE OT_WEATHER_TIMESTAMP IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY OT_ORIGIN_AIRPORT_ID, OT_WEATHER_TIMESTAMP ORDER BY OT_oid) = 1)""") + (
-        "SELECT " + ", ".join(leg_out + asof_out) + " FROM legs_mapped l" + joins)
+  QUALIFY row_number() OVER (PARTITION BY OT_ORIGIN_AIRPORT_ID, OT_WEATHER_TIMESTAMP ORDER BY OT_oid) = 1)""",
+        "joined AS (SELECT " + ", ".join(["l.*", *asof_raw]) + " FROM legs_mapped l" + joins + ")")
+    s["lag_join_asof"] = asof_ctes + present(all_asof, "joined")
+    clean_value = "CASE WHEN isnan({0}) THEN NULL ELSE {0} END"
+    imputed = [f"round(COALESCE({v}, (SELECT avg({v}) FROM joined)), 4) AS {c}" if (v := clean_value.format(c)) and "Visibility" in c
+               else f"{fmt(q(c), k)} AS {q(c)}" for c, k in all_asof]
+    # a fifth of the values may be missing for a column to be imputed; those of this table miss less
+    s["training_table_asof"] = asof_ctes + (
+        "SELECT " + ", ".join(imputed) + ", CASE WHEN FT_ARR_DELAY_NEW <= 15.0 THEN 1 ELSE 0 END AS FT_OnTime FROM joined")
     value = "CASE WHEN isnan(o.OT_Visibility) THEN NULL ELSE o.OT_Visibility END"
     stats = [f"""stats{tail} AS (
   SELECT l.FT_event_id AS id, count(o.OT_oid) AS observations, count({value}) AS n, avg({value}) AS mean

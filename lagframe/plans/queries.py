@@ -275,15 +275,25 @@ def q_lag_join_wide(spark, sf):
     return present(lagjoin.lag_join_wide(t.legs_mapped, t.obs_dup_mapped, dedup_by="OT_oid"))
 
 
-@query
-def q_lag_join_asof(spark, sf):
-    """Legs with the latest observation of the last 12 hours at either endpoint."""
+def _asof(spark, sf):
     t = Tables(spark, sf)
     columns = ["OT_WEATHER_TIMESTAMP", "OT_Visibility", "OT_oid"]
     out = t.legs_mapped
     for side in ("origin", "dest"):
         out = asof.lag_join_asof(out, t.obs_dup_mapped, side, tie_by="OT_oid", columns=columns)
-    return present(out)
+    return out
+
+
+@query
+def q_lag_join_asof(spark, sf):
+    """Legs with the latest observation of the last 12 hours at either endpoint."""
+    return present(_asof(spark, sf))
+
+
+@query
+def q_training_table_asof(spark, sf):
+    """Label, sparse drop and imputation where most legs have weather: its columns stay and are imputed."""
+    return present(quality.build_training_table(materialize(_asof(spark, sf), "checkpoint")))
 
 
 @query
