@@ -10,8 +10,8 @@ Parts that weigh less than the least count are abandoned, at any depth.
 A leading word that holds a large share of all words would fill a task. Such
 words are found first, by a count of words, and their suffixes are routed by
 two words; pairs of large share by three, and so on. What these heavy
-prefixes count is known from their own count. A task adds up equal suffixes
-before it sends them, and sends those of one prefix as one row.
+prefixes count is known from their own count. A task sends the suffixes of one
+prefix as one row, and adds up equal ones of heavy words before.
 
 Scores compare a phrase with its parts by exact integers.
 """
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lagframe.llm.common import map_columns, pick, stage
+from lagframe.llm.common import arrow_rows, map_columns, pick, stage
 
 LEAST_COUNT = 10
 MAX_WORDS = 3
@@ -38,10 +38,13 @@ TOP = 2000
 UNKNOWN_LANGUAGE = "und"
 SCALE = 1_000_000
 HELD_ENTRIES = 300_000        # distinct phrases a task adds up before it sends them on
+HELD_SUFFIXES = 1_000_000     # suffixes a task holds before it sends them on
+ROUTED_BATCH_ROWS = 10_000    # rows of routed suffixes in an Arrow batch; few of them are long
 TASK_POINTERS = 2_000_000     # suffixes of a sorting task, about
-SORTED_POINTERS = 500_000     # suffixes sorted at once, unless one prefix has more
+SORTED_POINTERS = 1_000_000   # suffixes sorted at once, unless one prefix has more
 # A prefix is heavy from one part in so many of all words on; no more prefixes can be heavy.
-LEAST_PARTS, MOST_PARTS = 1000, 100_000
+LEAST_PARTS, MOST_PARTS = 200, 100_000
+SUFFIX_SCHEMA = "lang string, prefix string, weight long, tails string"
 
 _PIECE_END = re.compile(rb"[.,;:!?\n-\r]")
 _WORDS_ONLY = bytes(32 if b in b".,;:!?\n\v\f\r" else b for b in range(256))
@@ -106,6 +109,58 @@ def routed(suffix: bytes, hot: set[bytes]) -> tuple[bytes, bytes] | None:
     return prefix, tail
 
 
+def tails_of(ws: list[bytes], max_words: int) -> list[bytes]:
+    """What follows each word but the last, up to ``max_words`` - 1 words."""
+    tails = ws[1:]
+    for d in range(2, max_words):
+        tails = [t + b" " + w for t, w in zip(tails, ws[d:])] + tails[max(0, len(ws) - d):]
+    return tails
+
+
+class Router:
+    """The suffixes a task holds: tails by word, and counts of the suffixes that open with a heavy word."""
+
+    def __init__(self, hot: dict[str, set[bytes]], max_words: int):
+        self.hot, self.max_words = hot, max_words
+        self.tails: dict[str, dict[bytes, list[bytes]]] = defaultdict(lambda: defaultdict(list))
+        self.heavy: dict[str, Counter] = defaultdict(Counter)
+        self.n = 0
+
+    def add(self, lang: str, text: str | None) -> None:
+        hot, light, heavy = self.hot.get(lang, ()), self.tails[lang], []
+        for ws in pieces(text):
+            for word, tail in zip(ws, tails_of(ws, self.max_words)):
+                if word in hot:
+                    heavy.append(word + b" " + tail)
+                else:
+                    light[word].append(tail)
+            self.n += len(ws)
+        self.heavy[lang].update(heavy)
+
+    def taken(self) -> dict[str, list]:
+        """Rows of lang, prefix, weight, tails; afterwards nothing is held."""
+        out: dict[str, list] = {"lang": [], "prefix": [], "weight": [], "tails": []}
+
+        def rows(lang: str, groups: dict[tuple[bytes, int], list[bytes]]) -> None:
+            out["lang"] += [lang] * len(groups)
+            out["prefix"] += [prefix.decode() for prefix, _ in groups]
+            out["weight"] += [weight for _, weight in groups]
+            out["tails"] += [b"\n".join(tails).decode() for tails in groups.values()]
+
+        for lang, light in self.tails.items():
+            rows(lang, {(word, 1): tails for word, tails in light.items()})
+        for lang, counts in self.heavy.items():
+            groups = defaultdict(list)
+            for suffix, n in counts.items():
+                if (way := routed(suffix, self.hot[lang])) is not None:
+                    groups[way[0], n].append(way[1])
+            rows(lang, groups)
+        self.tails.clear()
+        self.heavy.clear()
+        self.n = 0
+        return out
+
+
 def route_suffixes(docs: DataFrame, hot: dict[str, set[bytes]], max_words: int) -> DataFrame:
     """lang, prefix, weight and the tails of that weight, one to a line: the suffixes of each task by prefix.
 
@@ -113,32 +168,15 @@ def route_suffixes(docs: DataFrame, hot: dict[str, set[bytes]], max_words: int)
     """
 
     def work(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-        held: dict[str, Counter] = defaultdict(Counter)
-
-        def sent() -> dict[str, list]:
-            out: dict[str, list] = {"lang": [], "prefix": [], "weight": [], "tails": []}
-            for lang, suffixes in held.items():
-                heavy, groups = hot.get(lang, set()), defaultdict(list)
-                for suffix, n in suffixes.items():
-                    if (way := routed(suffix, heavy)) is not None:
-                        groups[way[0], n].append(way[1])
-                out["lang"] += [lang] * len(groups)
-                out["prefix"] += [p.decode() for p, _ in groups]
-                out["weight"] += [n for _, n in groups]
-                out["tails"] += [b"\n".join(t).decode() for t in groups.values()]
-            held.clear()
-            return out
-
+        router = Router(hot, max_words)
         for batch in batches:
             for lang, text in zip(batch["lang"], batch["text"], strict=True):
-                add = held[UNKNOWN_LANGUAGE if lang is None else lang].update
-                for ws in pieces(text):
-                    add([b" ".join(ws[i:i + max_words]) for i in range(len(ws) - 1)])
-            if sum(map(len, held.values())) >= HELD_ENTRIES:
-                yield sent()
-        yield sent()
+                router.add(UNKNOWN_LANGUAGE if lang is None else lang, text)
+                if router.n >= HELD_SUFFIXES:
+                    yield router.taken()
+        yield router.taken()
 
-    return map_columns(pick(docs, "lang", "text"), work, "lang string, prefix string, weight long, tails string")
+    return map_columns(pick(docs, "lang", "text"), work, SUFFIX_SCHEMA)
 
 
 def three_way(words: np.ndarray, weights: np.ndarray, pointers: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
@@ -146,28 +184,42 @@ def three_way(words: np.ndarray, weights: np.ndarray, pointers: np.ndarray, leas
 
     ``words`` holds the words' numbers by depth, -1 behind a suffix's end.
     """
+    top = int(weights[pointers].max())
     stack = [(pointers, 0)]
     while stack:
         part, depth = stack.pop()
-        if depth == words.shape[1] or int(weights[part].sum()) < least:
-            continue
         key = words[part, depth]
         pivot = sorted((key[0], key[len(key) // 2], key[-1]))[1]
         equal = part[key == pivot]
         if len(equal) < len(part):
-            stack += [(part[key < pivot], depth), (part[key > pivot], depth)]
-        count = int(weights[equal].sum())
+            for side in (part[key < pivot], part[key > pivot]):
+                # the rest is abandoned, as are all that follow it
+                if len(side) * top >= least and (top == 1 or weights[side].sum() >= least):
+                    stack.append((side, depth))
+        count = len(equal) if top == 1 else int(weights[equal].sum())
         if pivot >= 0 and count >= least:
             yield depth + 1, int(equal[0]), count
-            stack.append((equal, depth + 1))
-
-
-def sort_suffixes(rows: list[tuple[str, str, int, str]], least: int) -> Iterator[tuple[str, str, int]]:
-    """(lang, phrase, count) of the phrases of two words or more, from rows in order of lang and prefix."""
-    group = np.cumsum([0] + [a[:2] != b[:2] for a, b in zip(rows, rows[1:])])
-    lines = pc.split_pattern(pa.array([r[3] for r in rows], pa.large_string()), "\n")
-    row = np.repeat(np.arange(len(rows)), pc.list_value_length(lines).to_numpy())
-    weights = np.array([r[2] for r in rows], dtype=np.int64)[row]
+            if depth + 1 < words.shape[1]:
+                stack.append((equal, depth + 1))
+
+
+def group_bounds(rows: pa.Table) -> np.ndarray:
+    """Where the rows of a lang and prefix begin, in a table sorted by them, and its end."""
+    new = np.zeros(len(rows), dtype=bool)
+    new[0] = True
+    for name in ("lang", "prefix"):
+        column = rows[name].combine_chunks()
+        new[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+    return np.append(np.flatnonzero(new), len(rows))
+
+
+def sort_suffixes(rows: pa.Table, least: int) -> Iterator[tuple[str, str, int]]:
+    """(lang, phrase, count) of the phrases of two words or more, from routed rows in order of lang and prefix."""
+    bounds = group_bounds(rows)
+    lines = pc.split_pattern(rows["tails"].combine_chunks().cast(pa.large_string()), "\n")
+    per_row = pc.list_value_length(lines).to_numpy()
+    first_line = np.append(0, np.cumsum(per_row))
+    weights = np.repeat(rows["weight"].to_numpy(), per_row)
     tails = pc.split_pattern(lines.flatten(), " ")
     coded = tails.flatten().dictionary_encode()
     names = coded.dictionary.to_pylist()
@@ -180,45 +232,48 @@ def sort_suffixes(rows: list[tuple[str, str, int, str]], least: int) -> Iterator
     for depth in range(words.shape[1]):
         has = sizes > depth
         words[has, depth] = flat[first[has] + depth]
-    starts = np.searchsorted(group[row], np.arange(group[-1] + 1))
-    total = np.add.reduceat(weights, starts)
-    ends = np.append(starts[1:], len(row))
+    starts = first_line[bounds]
+    total = np.add.reduceat(weights, starts[:-1])
     for g in np.flatnonzero(total >= least).tolist():
-        lang, prefix = rows[row[starts[g]]][:2]
+        lang, prefix = (rows[c][int(bounds[g])].as_py() for c in ("lang", "prefix"))
         if " " in prefix:
             yield lang, prefix, int(total[g])
-        for depth, at, count in three_way(words, weights, np.arange(starts[g], ends[g]), least):
+        for depth, at, count in three_way(words, weights, np.arange(starts[g], starts[g + 1]), least):
             yield lang, " ".join([prefix, *(names[w] for w in words[at, :depth])]), count
 
 
 def sorted_counts(suffixes: DataFrame, tasks: int, least: int) -> DataFrame:
     """lang, phrase, n of the frequent phrases in the routed suffixes; written."""
+    schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
 
-    def work(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-        rows: list[tuple] = []
-        size = 0
+    def pointers(rows: pa.Table) -> int:
+        return len(rows) + (pc.sum(pc.count_substring(rows["tails"], "\n")).as_py() or 0)
 
-        def found(done: list[tuple]) -> dict[str, list]:
-            out = list(sort_suffixes(done, least)) if done else []
-            return {"lang": [r[0] for r in out], "phrase": [r[1] for r in out], "n": [r[2] for r in out]}
+    def found(rows: pa.Table) -> pa.RecordBatch:
+        out = list(sort_suffixes(rows, least))
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)], schema=schema)
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            new = list(zip(*(batch[c] for c in ("lang", "prefix", "weight", "tails")), strict=True))
-            size += sum(r[3].count("\n") + 1 for r in new)
-            rows += new
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            size += pointers(pa.Table.from_batches([batch]))
             if size >= SORTED_POINTERS:
+                rows = pa.Table.from_batches(held)
                 # the last prefix may go on in the next batch
-                cut = len(rows)
-                while cut and rows[cut - 1][:2] == rows[-1][:2]:
-                    cut -= 1
+                cut = int(group_bounds(rows)[-2])
                 if cut:
-                    yield found(rows[:cut])
-                    rows = rows[cut:]
-                    size = sum(r[3].count("\n") + 1 for r in rows)
-        yield found(rows)
+                    yield found(rows.slice(0, cut))
+                    rows = rows.slice(cut)
+                held, size = rows.to_batches(), pointers(rows)
+        if held:
+            yield found(pa.Table.from_batches(held))
 
     ordered = suffixes.repartition(tasks, "lang", "prefix").sortWithinPartitions("lang", "prefix")
-    return stage(map_columns(ordered, work, "lang string, phrase string, n long"), "phrases")
+    with arrow_rows(suffixes.sparkSession, ROUTED_BATCH_ROWS):
+        return stage(ordered.mapInArrow(work, "lang string, phrase string, n long"), "phrases")
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST_COUNT, max_words: int = MAX_WORDS) -> tuple[DataFrame, DataFrame]:

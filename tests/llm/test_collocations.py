@@ -60,6 +60,8 @@ def test_equals_plain_counting(spark, monkeypatch, parts, max_words, held):
     """Few and many heavy prefixes, full and early sending, sorts of a part of a task."""
     monkeypatch.setattr(collocations, "LEAST_PARTS", parts)
     monkeypatch.setattr(collocations, "HELD_ENTRIES", held)
+    monkeypatch.setattr(collocations, "HELD_SUFFIXES", 3 * held)
+    monkeypatch.setattr(collocations, "ROUTED_BATCH_ROWS", 5 + held // 100)
     monkeypatch.setattr(collocations, "SORTED_POINTERS", 10 * held)
     rows = table()
     docs = spark.createDataFrame(rows, DOCS).repartition(4)
@@ -93,6 +95,15 @@ def test_scores_are_exact_beyond_64_bits(spark):
     assert r.score == 1000000 * (n + 7) ** 2 // ((3 * n + 1) * (7 * n + 3))
 
 
+def test_tails_of_each_word():
+    ws = [b"a", b"b", b"c", b"d"]
+    assert collocations.tails_of(ws, 2) == [b"b", b"c", b"d"]
+    assert collocations.tails_of(ws, 3) == [b"b c", b"c d", b"d"]
+    assert collocations.tails_of(ws, 4) == [b"b c d", b"c d", b"d"]
+    assert collocations.tails_of(ws, 9) == [b"b c d", b"c d", b"d"]
+    assert collocations.tails_of(ws[:1], 3) == [] == collocations.tails_of([], 3)
+
+
 def test_heavy_prefixes_route_by_more_words():
     hot = {b"a", b"a b"}
     assert collocations.routed(b"c d e", hot) == (b"c", b"d e")
