@@ -14,9 +14,11 @@ lookups, and the lag rows are generated last, by native generators inside
 the same stage, without another shuffle. The keys spread a hub airport
 over phases and windows, so no single key concentrates the legs, and each
 index entry is bounded by the window. Observations repeated at one
-(airport, instant) are listed up to MAX_LIST_PER_INSTANT; beyond that the
-legs touching the instant are expanded by equi-joins instead, so no list
-grows with the data.
+(airport, instant) are listed up to MAX_LIST_PER_INSTANT; of a heavier
+instant only its count enters the index, its observations stay where they are,
+and the legs touching it are expanded by equi-joins instead, so no list
+grows with the data. The wide layout reduces observations to one per instant
+before it copies them.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 
 from lagframe.functions.scalar import arrival_instant, epoch_seconds, shift_hours
 from lagframe.operators.rename import bq, qcol
+from lagframe.plans.guards import broadcast_dimension, materialize
 from lagframe.schemas import DEST_SUFFIX, MAX_LAG_HOURS, ORIGIN_SUFFIX, WIDE_ORIGIN_DROP
 
 # Leg and observation columns the joins address.
@@ -133,81 +136,89 @@ def _band_keys(instant: Column, max_lag: int) -> tuple[Column, Column]:
 MAX_LIST_PER_INSTANT = 64
 
 
-def _spread(obs: DataFrame, max_lag: int, snap: str | None = None) -> DataFrame:
-    """(_airport, _ts, _obs, _phase, _copy, _window) hash-partitioned by
-    (airport, phase, window); every observation in its window (copy 0) and
-    the next (copy 1)."""
-    payload = F.struct(*[qcol(c) for c in obs.columns]).alias("_obs")
+def _timed(obs: DataFrame, snap: str | None, columns: list[str] | None, *extra: Column) -> DataFrame:
+    """(_airport, _ts, _obs) of the observations that can match, ``_obs``
+    holding ``columns`` (default: all) and nothing else of the row."""
+    payload = F.struct(*[qcol(c) for c in (obs.columns if columns is None else columns)]).alias("_obs")
     valid = F.col(OBS_INSTANT).isNotNull() & F.col(OBS_AIRPORT).isNotNull()
-    base = obs.where(valid).select(F.col(OBS_AIRPORT).alias("_airport"),
-                                   _instant(OBS_INSTANT, snap).alias("_ts"), payload)
+    return obs.where(valid).select(F.col(OBS_AIRPORT).alias("_airport"),
+                                   _instant(OBS_INSTANT, snap).alias("_ts"), payload, *extra)
+
+
+def _spread(rows: DataFrame, max_lag: int) -> DataFrame:
+    """Rows with _airport and _ts, hash-partitioned by (airport, phase,
+    window); every one in its window and the next."""
     phase, window = _band_keys(F.col("_ts"), max_lag)
     width = _window_seconds(max_lag)
-    return base.select("_airport", "_ts", "_obs", phase.alias("_phase"),
-                       F.posexplode(F.array(window, window + F.lit(width))).alias("_copy", "_window")
+    return rows.select("*", phase.alias("_phase"), F.explode(F.array(window, window + F.lit(width))).alias("_window")
                        ).repartition(*_INDEX_KEYS)
 
 
 _INDEX_KEYS = ["_airport", "_phase", "_window"]
 
 
-def _counted(obs: DataFrame, max_lag: int, snap: str | None = None) -> DataFrame:
-    """The spread rows with ``_n``, the number of observations at their
-    (airport, instant); a window on the existing partitioning, no shuffle."""
-    return _spread(obs, max_lag, snap).withColumn(
-        "_n", F.count(F.lit(1)).over(Window.partitionBy(*_INDEX_KEYS, "_ts")))
+def heavy_instants(obs: DataFrame, max_list: int = MAX_LIST_PER_INSTANT, snap: str | None = None) -> DataFrame:
+    """(_airport, _ts, _n) of the instants holding more than ``max_list``
+    observations: one narrow aggregation over the keys, combined before its
+    shuffle. At most one row per ``max_list`` observations, normally none."""
+    return (_timed(obs, snap, [OBS_INSTANT]).groupBy("_airport", "_ts").agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") > F.lit(max_list)))
+
+
+def has_heavy_instants(obs: DataFrame, max_list: int = MAX_LIST_PER_INSTANT,
+                       snap: str | None = None) -> bool:
+    """Does any (airport, instant) hold more than ``max_list`` observations?"""
+    return not heavy_instants(obs, max_list, snap).isEmpty()
+
+
+def _at_heavy(rows: DataFrame, heavy: DataFrame, how: str) -> DataFrame:
+    """Rows with _airport and _ts at a heavy instant (left_semi) or not (left_anti)."""
+    keys = broadcast_dimension(heavy.select(F.col("_airport").alias("_h_airport"), F.col("_ts").alias("_h_ts")))
+    return rows.join(keys, (F.col("_airport") == F.col("_h_airport")) & (F.col("_ts") == F.col("_h_ts")), how)
+
+
+def heavy_observations(obs: DataFrame, heavy: DataFrame | None = None, snap: str | None = None,
+                       columns: list[str] | None = None) -> DataFrame:
+    """(_airport, _ts, _obs) of the observations at heavy instants, which stay
+    where they are: they never pass an exchange by instant."""
+    heavy = heavy_instants(obs, snap=snap) if heavy is None else heavy
+    return _at_heavy(_timed(obs, snap, columns), heavy, "left_semi")
 
 
 def observation_index(obs: DataFrame, max_lag: int = MAX_LAG_HOURS,
                       dedup_by: str | None = None, dedup: bool = False,
-                      max_list: int | None = MAX_LIST_PER_INSTANT,
-                      snap: str | None = None) -> DataFrame:
+                      heavy: DataFrame | None = None, snap: str | None = None,
+                      columns: list[str] | None = None) -> DataFrame:
     """(_airport, _phase, _window, _index map<timestamp, value>).
 
     With ``dedup`` the value is the single observation with the smallest
-    ``dedup_by`` (or the smallest row). Otherwise it is struct(_n, _list):
-    the count of observations at that instant and, when the count is at
-    most ``max_list``, all of them (heavy instants are left to
-    ``heavy_observations``); ``max_list=None`` gathers every list, for
-    inputs already checked to hold no heavy instant. One shuffle serves the
-    aggregations and the join with the legs: all run on the (airport,
-    phase, window) partitioning.
+    ``dedup_by`` (or the smallest row); observations are reduced to one per
+    (airport, instant), combined before the shuffle, and only then copied
+    into their windows. Otherwise it is struct(_n, _list): the observations at
+    that instant and their count. Of the instants in ``heavy`` (see
+    ``heavy_instants``) only the count enters, as one row each; without it the
+    input must hold none. One exchange serves the aggregations and the join
+    with the legs: all run on the (airport, phase, window) partitioning.
+    ``columns`` names what is kept of an observation.
     """
     _check_lag(max_lag)
     if dedup:
-        pick = F.min_by("_obs", F.col("_obs")[dedup_by]) if dedup_by else F.min("_obs")
-        per_instant = _spread(obs, max_lag, snap).groupBy(*_INDEX_KEYS, "_ts").agg(pick.alias("_v"))
-    elif max_list is None:
-        per_instant = (_spread(obs, max_lag, snap).groupBy(*_INDEX_KEYS, "_ts")
-                       .agg(F.count(F.lit(1)).alias("_n"), F.collect_list("_obs").alias("_list"))
-                       .select(*_INDEX_KEYS, "_ts", F.struct("_n", "_list").alias("_v")))
+        tie = qcol(dedup_by) if dedup_by else F.struct(*[qcol(c) for c in obs.columns])
+        single = (_timed(obs, snap, columns, tie.alias("_tie")).groupBy("_airport", "_ts")
+                  .agg(F.min_by("_obs", "_tie").alias("_v")))
+        per_instant = _spread(single, max_lag)
     else:
-        per_instant = (_counted(obs, max_lag, snap).groupBy(*_INDEX_KEYS, "_ts").agg(
-            F.max("_n").alias("_n"),
-            F.collect_list(F.when(F.col("_n") <= F.lit(max_list), F.col("_obs"))).alias("_list"))
-            .select(*_INDEX_KEYS, "_ts", F.struct("_n", "_list").alias("_v")))
+        rows = _timed(obs, snap, columns).withColumn("_heavy_n", F.lit(None).cast("long"))
+        if heavy is not None:
+            marks = heavy.select("_airport", "_ts", F.col("_n").alias("_heavy_n"))
+            rows = _at_heavy(rows, heavy, "left_anti").unionByName(marks, allowMissingColumns=True)
+        per_instant = (_spread(rows, max_lag).groupBy(*_INDEX_KEYS, "_ts")
+                       .agg(F.coalesce(F.max("_heavy_n"), F.count("_obs")).alias("_n"), F.collect_list("_obs").alias("_list"))
+                       .select(*_INDEX_KEYS, "_ts", F.struct("_n", "_list").alias("_v")))
     return (per_instant.groupBy(*_INDEX_KEYS)
             .agg(F.map_from_entries(F.collect_list(F.struct("_ts", "_v"))).alias("_index")))
 
 
-def has_heavy_instants(obs: DataFrame, max_list: int = MAX_LIST_PER_INSTANT,
-                       snap: str | None = None) -> bool:
-    """One narrow aggregation over the observation keys: does any (airport,
-    instant) hold more than ``max_list`` observations?"""
-    keys = obs.where(F.col(OBS_INSTANT).isNotNull() & F.col(OBS_AIRPORT).isNotNull()).select(
-        OBS_AIRPORT, _instant(OBS_INSTANT, snap).alias(OBS_INSTANT))
-    return not keys.groupBy(OBS_AIRPORT, OBS_INSTANT).count().where(
-        F.col("count") > F.lit(max_list)).isEmpty()
-
-
-def heavy_observations(obs: DataFrame, max_lag: int = MAX_LAG_HOURS,
-                       max_list: int = MAX_LIST_PER_INSTANT, snap: str | None = None) -> DataFrame:
-    """(_airport, _ts, _obs) of instants holding more than ``max_list``
-    observations (normally none)."""
-    return (_counted(obs, max_lag, snap).where((F.col("_n") > F.lit(max_list)) & (F.col("_copy") == 0))
-            .select("_airport", "_ts", "_obs"))
-
-
 def _expand_heavy(rows: DataFrame, heavy: DataFrame, tag: str, airport: str, instant: str,
                   snap: str | None = None) -> DataFrame:
     """Rows flagged ``_<tag>_pending`` hit a heavy instant: their placeholder
@@ -258,8 +269,17 @@ def _lookup(tag: str, instant: str, h: int) -> str:
 # Long layout
 # --------------------------------------------------------------------------
 
+def _heavy_table(obs: DataFrame, heavy: bool | None, snap: str | None) -> DataFrame | None:
+    """The heavy instants, written once, or None for the plan without them."""
+    if heavy is False:
+        return None
+    found = materialize(heavy_instants(obs, snap=snap), "parquet")
+    return None if heavy is None and found.isEmpty() else found
+
+
 def lag_join_long(legs: DataFrame, obs: DataFrame, max_lag: int = MAX_LAG_HOURS,
-                  heavy: bool | None = None, snap: str | None = None) -> DataFrame:
+                  heavy: bool | None = None, snap: str | None = None,
+                  columns: list[str] | None = None) -> DataFrame:
     """Long layout: one row per leg, lag and matching observation pair.
 
     Row multiplicity equals two chained left joins of the exploded legs:
@@ -273,13 +293,14 @@ def lag_join_long(legs: DataFrame, obs: DataFrame, max_lag: int = MAX_LAG_HOURS,
     first (one narrow aggregation). Without heavy instants every index
     entry is a bounded list and the rows come from one pass; with them,
     the legs touching a heavy instant are split off and expanded by
-    equi-joins, so no observation list grows without bound.
+    equi-joins, so no observation list grows without bound. ``columns`` names
+    the observation columns of the result (default: all); others aren't shuffled.
     """
     _check_lag(max_lag)
     _check_snap(snap)
-    if heavy is None:
-        heavy = has_heavy_instants(obs, snap=snap)
-    index = observation_index(obs, max_lag, max_list=MAX_LIST_PER_INSTANT if heavy else None, snap=snap)
+    names = _observation_columns(obs, columns)
+    table = _heavy_table(obs, heavy, snap)
+    index = observation_index(obs, max_lag, heavy=table, snap=snap, columns=names)
     joined = _attach(_attach(legs, index, LEG_ORIGIN, LEG_DEPARTURE, "o", max_lag, snap),
                      index, LEG_DEST, LEG_ARRIVAL, "d", max_lag, snap)
     keep = [bq(c) for c in legs.columns]
@@ -292,7 +313,7 @@ def lag_join_long(legs: DataFrame, obs: DataFrame, max_lag: int = MAX_LAG_HOURS,
         rows = rows.selectExpr(*keep, "lag", *flags, "explode_outer(oh._list) AS o", "dh")
         return rows.selectExpr(*keep, "lag", *names, "o", "explode_outer(dh._list) AS d")
 
-    if not heavy:
+    if table is None:
         rows = generate(joined, [])
     else:
         # legs touching a heavy instant take the expanding path
@@ -302,7 +323,7 @@ def lag_join_long(legs: DataFrame, obs: DataFrame, max_lag: int = MAX_LAG_HOURS,
         flags = [f"coalesce(oh._n > {MAX_LIST_PER_INSTANT}, false) AS _o_pending",
                  f"coalesce(dh._n > {MAX_LIST_PER_INSTANT}, false) AS _d_pending"]
         heavy_rows = generate(flagged.where("_heavy"), flags)
-        hobs = heavy_observations(obs, max_lag, snap=snap)
+        hobs = heavy_observations(obs, table, snap, names)
         heavy_rows = _expand_heavy(heavy_rows, hobs, "o", LEG_ORIGIN, LEG_DEPARTURE, snap)
         heavy_rows = _expand_heavy(heavy_rows, hobs, "d", LEG_DEST, LEG_ARRIVAL, snap)
         rows = light.unionByName(heavy_rows.drop("_o_pending", "_d_pending"))
@@ -314,15 +335,16 @@ def lag_join_long(legs: DataFrame, obs: DataFrame, max_lag: int = MAX_LAG_HOURS,
         f"CAST(lag AS INT) AS {LAG}",
         f"{dep} - make_dt_interval(0, lag, 0, 0) AS FT_ORIGIN_DATE_TIME_LAG",
         f"{arr} - make_dt_interval(0, lag, 0, 0) AS FT_DEST_DATE_TIME_LAG",
-        *[f"o.{bq(c)} AS {bq(c + ORIGIN_SUFFIX)}" for c in obs.columns],
-        *[f"d.{bq(c)} AS {bq(c + DEST_SUFFIX)}" for c in obs.columns])
+        *[f"o.{bq(c)} AS {bq(c + ORIGIN_SUFFIX)}" for c in names],
+        *[f"d.{bq(c)} AS {bq(c + DEST_SUFFIX)}" for c in names])
 
 
 def lag_join_side(legs: DataFrame, obs: DataFrame, side: str = "origin",
                   max_lag: int = MAX_LAG_HOURS, heavy: bool | None = None,
-                  snap: str | None = None) -> DataFrame:
+                  snap: str | None = None, columns: list[str] | None = None) -> DataFrame:
     """One endpoint only: legs x lags left-joined with that endpoint's
-    observations (suffix _ORIG or _DEST); ``heavy`` as in ``lag_join_long``."""
+    observations (suffix _ORIG or _DEST); ``heavy`` and ``columns`` as in
+    ``lag_join_long``."""
     _check_lag(max_lag)
     if side not in ("origin", "dest"):
         raise ValueError(f"side must be 'origin' or 'dest', got {side!r}")
@@ -330,14 +352,14 @@ def lag_join_side(legs: DataFrame, obs: DataFrame, side: str = "origin",
         (LEG_ORIGIN, LEG_DEPARTURE, ORIGIN_SUFFIX, "FT_ORIGIN_DATE_TIME_LAG") if side == "origin"
         else (LEG_DEST, LEG_ARRIVAL, DEST_SUFFIX, "FT_DEST_DATE_TIME_LAG"))
     _check_snap(snap)
-    if heavy is None:
-        heavy = has_heavy_instants(obs, snap=snap)
-    index = observation_index(obs, max_lag, max_list=MAX_LIST_PER_INSTANT if heavy else None, snap=snap)
+    names = _observation_columns(obs, columns)
+    table = _heavy_table(obs, heavy, snap)
+    index = observation_index(obs, max_lag, heavy=table, snap=snap, columns=names)
     joined = _attach(legs, index, airport, instant, "o", max_lag, snap)
     keep = [bq(c) for c in legs.columns]
     per_lag = ", ".join(f"named_struct('lag', {h}, 'oh', {_lookup('o', instant, h)})"
                         for h in range(max_lag + 1))
-    if not heavy:
+    if table is None:
         rows = (joined.selectExpr(*keep, f"inline(array({per_lag}))")
                 .selectExpr(*keep, "lag", "explode_outer(oh._list) AS o"))
     else:
@@ -347,12 +369,12 @@ def lag_join_side(legs: DataFrame, obs: DataFrame, side: str = "origin",
         heavy_rows = (flagged.where("_heavy").selectExpr(*keep, f"inline(array({per_lag}))")
                       .selectExpr(*keep, "lag", f"coalesce(oh._n > {MAX_LIST_PER_INSTANT}, false) AS _o_pending",
                                   "explode_outer(oh._list) AS o"))
-        heavy_rows = _expand_heavy(heavy_rows, heavy_observations(obs, max_lag, snap=snap), "o",
+        heavy_rows = _expand_heavy(heavy_rows, heavy_observations(obs, table, snap, names), "o",
                                    airport, instant, snap)
         rows = light.unionByName(heavy_rows.drop("_o_pending"))
     return rows.selectExpr(*keep, f"CAST(lag AS INT) AS {LAG}",
                            f"{bq(instant)} - make_dt_interval(0, lag, 0, 0) AS {lag_name}",
-                           *[f"o.{bq(c)} AS {bq(c + suffix)}" for c in obs.columns])
+                           *[f"o.{bq(c)} AS {bq(c + suffix)}" for c in names])
 
 
 def lag_join_long_exploded(legs: DataFrame, obs: DataFrame, max_lag: int = MAX_LAG_HOURS) -> DataFrame:
@@ -371,13 +393,21 @@ def lag_join_long_exploded(legs: DataFrame, obs: DataFrame, max_lag: int = MAX_L
 # Wide layout
 # --------------------------------------------------------------------------
 
+def _observation_columns(obs: DataFrame, columns: list[str] | None) -> list[str]:
+    names = list(obs.columns if columns is None else columns)
+    missing = [c for c in names if c not in obs.columns]
+    if missing:
+        raise ValueError(f"unknown observation columns: {missing}")
+    if not names:
+        raise ValueError("name one observation column at least")
+    return names
+
+
 def wide_columns(obs: DataFrame, columns: list[str] | None = None) -> tuple[list[str], list[str]]:
     """Observation columns repeated per lag: (origin side, destination side)."""
     if columns is not None:
-        missing = [c for c in columns if c not in obs.columns]
-        if missing:
-            raise ValueError(f"unknown observation columns: {missing}")
-        return list(columns), list(columns)
+        names = _observation_columns(obs, columns)
+        return names, names
     return [c for c in obs.columns if c not in WIDE_ORIGIN_DROP], list(obs.columns)
 
 
@@ -393,7 +423,7 @@ def lag_join_wide(legs: DataFrame, obs: DataFrame, max_lag: int = MAX_LAG_HOURS,
     """
     o_cols, d_cols = wide_columns(obs, columns)
     _check_snap(snap)
-    index = observation_index(obs, max_lag, dedup_by, dedup=True, snap=snap)
+    index = observation_index(obs, max_lag, dedup_by, dedup=True, snap=snap, columns=d_cols)
     joined = _attach(_attach(legs, index, LEG_ORIGIN, LEG_DEPARTURE, "o", max_lag, snap),
                      index, LEG_DEST, LEG_ARRIVAL, "d", max_lag, snap)
     keep = [bq(c) for c in legs.columns]

@@ -28,6 +28,7 @@ SAMPLE_FRACTION = 0.1
 SAMPLE_PCT = 30
 RULE_MAX_ELAPSED = 180.0   # fixed rule for the metrics check: on time if short
 RANGE_PARTITIONS = 8
+PROFILED = ["OT_WEATHER_TIMESTAMP", "OT_Visibility"]
 MEAN_DECIMALS = 9          # means of few values: no ties of rounding there
 
 
@@ -329,14 +330,15 @@ def q_legs_unobserved(spark, sf):
 @query
 def q_lag_match_profile(spark, sf):
     """Flagship: per lag, rows, matches at each end and mean visibility."""
-    return lag_match_profile(Tables(spark, sf).long)
+    t = Tables(spark, sf)
+    return lag_match_profile(lagjoin.lag_join_long(t.legs_mapped, t.obs_mapped, columns=PROFILED))
 
 
 @query
 def q_lag_match_profile_snapped(spark, sf):
     """The same profile with instants matched to the hour on both sides."""
     t = Tables(spark, sf)
-    return lag_match_profile(lagjoin.lag_join_long(t.legs_mapped, t.obs_mapped, snap="hour"))
+    return lag_match_profile(lagjoin.lag_join_long(t.legs_mapped, t.obs_mapped, snap="hour", columns=PROFILED))
 
 
 def lag_match_profile(long: DataFrame) -> DataFrame:

@@ -196,3 +196,21 @@ def test_wide_picks_smallest_id_at_heavy_instant(spark):
     w = lagjoin.lag_join_wide(legs, obs, columns=["OT_oid"], dedup_by="OT_oid").first()
     assert w.OT_oid_Part_3 == 500 - (n - 1)
     assert sum(getattr(w, f"OT_oid_Part_{h}") is not None for h in range(12)) == 1
+
+
+def test_a_third_of_all_rows_at_one_instant(spark):
+    """Legs and observations: exact, and the heavy observations pass no exchange by instant."""
+    n = 120
+    leg_rows = [(i, "2024-01-02", "A", "B", "100", "0", "0", "0", "60") for i in range(n)]
+    leg_rows += [(n + i, "2024-01-02", "AB"[i % 2], "B", str(100 * (i % 24)), "0", "0", "0", "60") for i in range(2 * n)]
+    obs_rows = [(j, "100", "2024-01-01", "2200", str(j)) for j in range(n)]
+    obs_rows += [(n + j, ["100", "200"][j % 2], "2024-01-01", f"{j % 24:02d}{j % 60:02d}", str(j)) for j in range(2 * n)]
+    legs, obs = _tables(spark, leg_rows, obs_rows)
+    a = lagjoin.lag_join_long(legs, obs)
+    b = lagjoin.lag_join_long_exploded(legs, obs).select(*a.columns)
+    assert a.count() > 100 * n and _canon(a) == _canon(b)
+    narrow = lagjoin.lag_join_side(legs, obs, "origin", columns=["OT_oid"])
+    assert narrow.count() == lagjoin.lag_join_side(legs, obs, "origin", heavy=False).count()
+    assert sum(r._n for r in lagjoin.heavy_instants(obs).collect()) == lagjoin.heavy_observations(obs).count() == n
+    plan = lagjoin.heavy_observations(obs, lagjoin.heavy_instants(obs))._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
