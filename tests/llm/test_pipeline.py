@@ -110,3 +110,50 @@ def test_sequences_follow_the_curriculum_after_the_reread(spark, sf_dir, staged)
     assert len(tasks) > 2 and set().union(*tasks.values()) == set(range(len(rows)))
     ordered = [tasks[t] for t in sorted(tasks)]
     assert all(max(a) < min(b) for a, b in zip(ordered, ordered[1:]))
+
+
+AWKWARD = "doc_id long, text string, lang string, source string, n_chars long, Extra string, sequence_id string, kept int"
+
+
+def awkward_rows():
+    rng = np.random.default_rng(5)
+    bank = {"en": ["the", "and", "of", "with"], "xx": ["zu", "qua", "vel", "rux"]}
+
+    def text(lang, n):
+        return " ".join(str(rng.choice(bank[lang])) + chr(97 + int(rng.integers(26))) + chr(97 + int(rng.integers(26))) for _ in range(n))
+
+    rows = [(i, text("en" if i % 2 else "xx", 60), "en" if i % 2 else "xx", ["a", "b", None][i % 3], 1, "e", "s", 0) for i in range(300)]
+    long = text("en", 40_000)
+    rows += [(1000, None, "en", "a", None, None, None, None), (1001, "", "en", "a", 0, "", "", 1), (1002, " \n\t ", None, None, 0, "", "", 1),
+             (1003, "1 2 3 ½ " * 10, "en", "a", 0, "", "", 1), (1004, long, "en", "b", 1, "e", "s", 0),
+             (1005, text("en", 60), None, "c", 1, None, None, None), (None, text("en", 60), "en", "c", 1, None, None, None),
+             rows[7], (7, text("xx", 60), "xx", "a", 1, "other text", "s", 0)]
+    return rows
+
+
+def test_stages_on_awkward_rows(spark, tmp_path):
+    """Nulls, empty and very long texts, repeated rows and doc_ids, extra columns, an empty table."""
+    rows = awkward_rows()
+    spark.createDataFrame([(r[0], 1, 0) for r in rows if r[0] is not None and r[0] < 300], "doc_id long, quality int, toxic int") \
+        .write.parquet(f"{tmp_path}/labels.parquet")
+    for name, docs in (("rows", spark.createDataFrame(rows, AWKWARD).repartition(3)), ("none", spark.createDataFrame([], AWKWARD))):
+        kept = []
+        for stage_name, step in corpus_pipeline.STAGES:
+            docs = stage(step(spark, docs, str(tmp_path)), f"awkward-{name}")
+            kept.append(docs)
+        assert all(d.columns[:8] == [c.split()[0] for c in AWKWARD.split(", ")] for d in kept[:-1])
+        if name == "none":
+            assert all(d.count() == 0 for d in kept)
+            continue
+        quality, language, single, mixed, packed = ([r.asDict() for r in d.collect()] for d in kept)
+        base = Counter((r[0], r[1]) for r in rows if len((r[1] or "").split()) >= 20)
+        assert not {1000, 1001, 1002} & {r["doc_id"] for r in quality}
+        assert all(n <= base[k] for k, n in Counter((r["doc_id"], r["text"]) for r in quality).items())
+        assert sum(r["doc_id"] == 7 for r in quality) == 3
+        assert 1003 not in {r["doc_id"] for r in language} and len(language) >= 0.9 * len(quality) - 5
+        assert sorted(r["text"] for r in single if r["doc_id"] == 7) == sorted({r["text"] for r in language if r["doc_id"] == 7})
+        assert len({(r["doc_id"], r["text"]) for r in language}) == len(single)
+        assert {r["doc_id"] for r in mixed} <= {r["doc_id"] for r in single} and mixed
+        words = {r["doc_id"]: Counter() for r in single}
+        assert sum(r["length"] for r in packed) == sum(len(encoded(r["text"])) for r in mixed)
+        assert words.keys() >= {r["doc_id"] for r in packed}
