@@ -11,15 +11,15 @@ A leading word that holds a large share of all words would fill a task. Such
 words are found first, by a count of words, and their suffixes are routed by
 two words; pairs of large share by three, and so on. What these heavy
 prefixes count is known from their own count. A task sends the suffixes of one
-prefix as one row, and adds up equal ones of heavy words before.
+prefix as one row, equal ones added up before. Arrow and numpy split, number and group
+the words of a chunk of texts at a time.
 
 Scores compare a phrase with its parts by exact integers.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lagframe.llm.common import arrow_rows, map_columns, pick, stage
+from lagframe.llm.common import arrow_rows, pick, prepare, stage
 
 LEAST_COUNT = 10
 MAX_WORDS = 3
@@ -37,8 +37,8 @@ SUBSUMED_PERCENT = 50
 TOP = 2000
 UNKNOWN_LANGUAGE = "und"
 SCALE = 1_000_000
-HELD_ENTRIES = 300_000        # distinct phrases a task adds up before it sends them on
-HELD_SUFFIXES = 1_000_000     # suffixes a task holds before it sends them on
+CHUNK_BYTES = 6 << 20         # of texts whose words a task numbers, adds up and sends on at once
+SMALL_PART = 4096             # pointers of a part that is sorted at once
 ROUTED_BATCH_ROWS = 10_000    # rows of routed suffixes in an Arrow batch; few of them are long
 TASK_POINTERS = 2_000_000     # suffixes of a sorting task, about
 SORTED_POINTERS = 1_000_000   # suffixes sorted at once, unless one prefix has more
@@ -46,148 +46,217 @@ SORTED_POINTERS = 1_000_000   # suffixes sorted at once, unless one prefix has m
 LEAST_PARTS, MOST_PARTS = 200, 100_000
 SUFFIX_SCHEMA = "lang string, prefix string, weight long, tails string"
 
-_PIECE_END = re.compile(rb"[.,;:!?\n-\r]")
-_WORDS_ONLY = bytes(32 if b in b".,;:!?\n\v\f\r" else b for b in range(256))
+# Piece ends become line feeds, tabs spaces; what is left between spaces and line feeds are words.
+_CLEANED = bytes(10 if b in b".,;:!?\n\v\f\r" else 32 if b == 9 else b for b in range(256))
 
 
-def lowered(text: str | None) -> bytes:
-    return (text or "").encode().lower()
+def cleaned(text: str | None) -> bytes:
+    """The text with A to Z lowered, a line feed at each piece's end and spaces between words."""
+    return (text or "").encode().lower().translate(_CLEANED) + b"\n"
 
 
-def pieces(text: str | None) -> Iterator[list[bytes]]:
-    """The words of each piece between punctuation marks and line ends."""
-    return (p.split() for p in _PIECE_END.split(lowered(text)))
+def chunks(data: bytes, size: int) -> Iterator[bytes]:
+    """Cleaned texts cut behind piece ends, about ``size`` bytes each; a longer piece stays whole."""
+    at = 0
+    while at < len(data):
+        end = data.find(b"\n", at + size) + 1 or len(data)
+        yield data[at:end]
+        at = end
 
 
-def count_phrases(docs: DataFrame, phrases: Callable[[str, str | None], list[bytes]], name: str) -> DataFrame:
-    """lang, phrase, n of what ``phrases`` lists of each text; written. Tasks add up before the shuffle."""
+class Coded:
+    """The words of cleaned texts as numbers: ``names`` of the words, and by place the word and those that follow it.
+
+    ``columns[j]`` is the word j places on, -1 behind the end of the piece; places of piece ends are left out.
+    """
+
+    def __init__(self, data: bytes, n: int):
+        found = pc.split_pattern(pa.array([data.replace(b"\n", b" \n ").decode()], pa.large_string()), " ").flatten()
+        coded = found.dictionary_encode()
+        self.names = coded.dictionary
+        codes = coded.indices.to_numpy().astype(np.int64)
+        codes = codes[codes != self.number("")]
+        end = self.number("\n")
+        alive = codes != end
+        self.columns = [codes]
+        for j in range(1, n):
+            follows = np.full(len(codes), end)
+            follows[:-j] = codes[j:]
+            alive = alive & (follows != end)
+            self.columns.append(np.where(alive, follows, -1))
+        self.columns = [c[codes != end] for c in self.columns]
+        spaced = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), self.names, pa.scalar("", pa.large_string()))
+        self.parts = pa.concat_arrays([self.names, spaced, pa.array([""], pa.large_string())])
+
+    def number(self, word: str) -> int:
+        """The word's number, one that no word has if it doesn't occur."""
+        at = pc.index(self.names, pa.scalar(word, pa.large_string())).as_py()
+        return len(self.names) if at < 0 else at
+
+    def phrase_keys(self, at: np.ndarray, first: int, n: int) -> np.ndarray:
+        """A number for the ``n`` words from place ``first`` on: equal ones for equal words."""
+        size, key, top = len(self.names) + 2, np.zeros(len(at), dtype=np.int64), 1
+        for column in self.columns[first:first + n]:
+            if top > (1 << 62) // size:
+                key = np.unique(key, return_inverse=True)[1]
+                top = len(at) + 1
+            key, top = key * size + column[at] + 1, top * size
+        return key
+
+    def phrases(self, at: np.ndarray, first: int | np.ndarray, end: int | np.ndarray) -> pa.Array:
+        """The words from place ``first`` up to place ``end`` of each, or to the piece's end, joined by spaces."""
+        n, parts = len(self.names), []
+        for j, column in enumerate(self.columns):
+            shown = (column[at] >= 0) & (j >= first) & (j < end)
+            # a word, a space and the word, or nothing
+            parts.append(self.parts.take(pa.array(np.where(shown, column[at] + np.where(j > first, n, 0), 2 * n))))
+        return pc.binary_join_element_wise(*parts, pa.scalar("", pa.large_string()))
+
+    def holds(self, at: np.ndarray, n: int, first: int, known: set[bytes]) -> np.ndarray:
+        """Whether the ``n`` words from place ``first`` on are one of the ``known`` phrases."""
+        whole = self.columns[first + n - 1][at] >= 0
+        out = np.zeros(len(at), dtype=bool)
+        if not known or not whole.any():
+            return out
+        # a phrase of words that all occur here is told by its words' numbers
+        listed = pc.index_in(self.names, pa.array(sorted({w for k in known for w in k.decode().split(" ")}), pa.large_string()))
+        there = pc.is_valid(listed).to_numpy(zero_copy_only=False)
+        near = whole & np.logical_and.reduce([there[c[at]] & (c[at] >= 0) for c in self.columns[first:first + n]])
+        some = np.flatnonzero(near)
+        if len(some):
+            keys, which, back = np.unique(self.phrase_keys(at[some], first, n), return_index=True, return_inverse=True)
+            names = self.phrases(at[some[which]], first, first + n).to_pylist()
+            out[some] = np.array([x.encode() in known for x in names])[back]
+        return out
 
-    def work(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-        held: dict[str, Counter] = defaultdict(Counter)
 
-        def sent() -> dict[str, list]:
-            rows = [(lang, phrase.decode(), n) for lang, c in held.items() for phrase, n in c.items()]
+def map_chunks(docs: DataFrame, size: int, n: int, rows: Callable[[str, Coded], Iterator[pa.RecordBatch]],
+               schema: str) -> DataFrame:
+    """``rows`` of the words of each language's texts, gathered to about ``size`` bytes in a task."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[bytes]] = defaultdict(list)
+        n_held = 0
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            for lang, texts in held.items():
+                for chunk in chunks(b"".join(texts), size):
+                    coded = Coded(chunk, n)
+                    if len(coded.columns[0]):
+                        yield from rows(lang, coded)
             held.clear()
-            return {"lang": [r[0] for r in rows], "phrase": [r[1] for r in rows], "n": [r[2] for r in rows]}
 
         for batch in batches:
-            for lang, text in zip(batch["lang"], batch["text"], strict=True):
-                lang = UNKNOWN_LANGUAGE if lang is None else lang
-                held[lang].update(phrases(lang, text))
-            if sum(map(len, held.values())) >= HELD_ENTRIES:
-                yield sent()
-        yield sent()
-
-    found = map_columns(pick(docs, "lang", "text"), work, "lang string, phrase string, n long")
-    return stage(found.groupBy("lang", "phrase").agg(F.sum("n").alias("n")), name)
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                data = cleaned(text)
+                held[UNKNOWN_LANGUAGE if lang is None else lang].append(data)
+                n_held += len(data)
+                if n_held >= size:
+                    yield from sent()
+                    n_held = 0
+        yield from sent()
 
+    prepare(docs.sparkSession)
+    return pick(docs, "lang", "text").mapInArrow(work, schema)
 
-def hot_pairs(hot: dict[str, set[bytes]], n: int) -> Callable[[str, str | None], list[bytes]]:
-    """Phrases of ``n`` words whose first and last n - 1 words are both heavy."""
 
-    def of(lang: str, text: str | None) -> list[bytes]:
-        known, out = hot.get(lang), []
-        if not known:
-            return out
-        for ws in pieces(text):
-            parts = ws if n == 2 else [b" ".join(ws[i:i + n - 1]) for i in range(len(ws) - n + 2)]
-            heavy = [p in known for p in parts]
-            out += [parts[i] + b" " + ws[i + n - 1] for i in range(len(parts) - 1) if heavy[i] and heavy[i + 1]]
-        return out
+def batch_of(lang: str, **columns: pa.Array) -> pa.RecordBatch:
+    """Columns of one language; texts as Spark takes them."""
+    n = len(next(iter(columns.values())))
+    arrays = [pa.array([lang], pa.string()).take(pa.array(np.zeros(n, dtype=np.int64)))]
+    arrays += [c.cast(pa.string()) if pa.types.is_large_string(c.type) else c for c in columns.values()]
+    return pa.RecordBatch.from_arrays(arrays, ["lang", *columns])
 
-    return of
-
-
-def routed(suffix: bytes, hot: set[bytes]) -> tuple[bytes, bytes] | None:
-    """The leading words that route a suffix, and the others; None if all its counts are known."""
-    prefix, _, tail = suffix.partition(b" ")
-    while prefix in hot:
-        if not tail:
-            return None
-        word, _, tail = tail.partition(b" ")
-        prefix += b" " + word
-    return prefix, tail
-
-
-def tails_of(ws: list[bytes], max_words: int) -> list[bytes]:
-    """What follows each word but the last, up to ``max_words`` - 1 words."""
-    tails = ws[1:]
-    for d in range(2, max_words):
-        tails = [t + b" " + w for t, w in zip(tails, ws[d:])] + tails[max(0, len(ws) - d):]
-    return tails
-
-
-class Router:
-    """The suffixes a task holds: tails by word, and counts of the suffixes that open with a heavy word."""
-
-    def __init__(self, hot: dict[str, set[bytes]], max_words: int):
-        self.hot, self.max_words = hot, max_words
-        self.tails: dict[str, dict[bytes, list[bytes]]] = defaultdict(lambda: defaultdict(list))
-        self.heavy: dict[str, Counter] = defaultdict(Counter)
-        self.n = 0
-
-    def add(self, lang: str, text: str | None) -> None:
-        hot, light, heavy = self.hot.get(lang, ()), self.tails[lang], []
-        for ws in pieces(text):
-            for word, tail in zip(ws, tails_of(ws, self.max_words)):
-                if word in hot:
-                    heavy.append(word + b" " + tail)
-                else:
-                    light[word].append(tail)
-            self.n += len(ws)
-        self.heavy[lang].update(heavy)
-
-    def taken(self) -> dict[str, list]:
-        """Rows of lang, prefix, weight, tails; afterwards nothing is held."""
-        out: dict[str, list] = {"lang": [], "prefix": [], "weight": [], "tails": []}
-
-        def rows(lang: str, groups: dict[tuple[bytes, int], list[bytes]]) -> None:
-            out["lang"] += [lang] * len(groups)
-            out["prefix"] += [prefix.decode() for prefix, _ in groups]
-            out["weight"] += [weight for _, weight in groups]
-            out["tails"] += [b"\n".join(tails).decode() for tails in groups.values()]
-
-        for lang, light in self.tails.items():
-            rows(lang, {(word, 1): tails for word, tails in light.items()})
-        for lang, counts in self.heavy.items():
-            groups = defaultdict(list)
-            for suffix, n in counts.items():
-                if (way := routed(suffix, self.hot[lang])) is not None:
-                    groups[way[0], n].append(way[1])
-            rows(lang, groups)
-        self.tails.clear()
-        self.heavy.clear()
-        self.n = 0
-        return out
+
+def count_phrases(docs: DataFrame, n: int, heavy: dict[str, set[bytes]] | None, name: str) -> DataFrame:
+    """lang, phrase, n of the phrases of ``n`` words; written. Tasks add up before the shuffle.
+
+    With ``heavy`` only those whose first and last n - 1 words are both heavy.
+    """
+
+    def rows(lang: str, coded: Coded) -> Iterator[pa.RecordBatch]:
+        at = np.flatnonzero(coded.columns[n - 1] >= 0)
+        if heavy is not None:
+            known = heavy.get(lang, set())
+            at = at[coded.holds(at, n - 1, 0, known)]
+            at = at[coded.holds(at, n - 1, 1, known)] if len(at) else at
+        if len(at):
+            _, which, counts = np.unique(coded.phrase_keys(at, 0, n), return_index=True, return_counts=True)
+            yield batch_of(lang, phrase=coded.phrases(at[which], 0, n), n=pa.array(counts, pa.int64()))
+
+    found = map_chunks(docs, CHUNK_BYTES, n, rows, "lang string, phrase string, n long")
+    return stage(found.groupBy("lang", "phrase").agg(F.sum("n").alias("n")), name)
 
 
 def route_suffixes(docs: DataFrame, hot: dict[str, set[bytes]], max_words: int) -> DataFrame:
-    """lang, prefix, weight and the tails of that weight, one to a line: the suffixes of each task by prefix.
+    """lang, prefix, weight and the tails of that weight, one to a line: the suffixes of a chunk by prefix.
 
-    Suffixes of a single word aren't sent, as words are counted already.
+    Equal suffixes are one, of their number's weight. A prefix is a word, and goes on as long as it is heavy.
+    Suffixes of a single word aren't sent, nor those that are heavy prefixes themselves, as all that
+    opens them is counted already.
     """
 
-    def work(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-        router = Router(hot, max_words)
-        for batch in batches:
-            for lang, text in zip(batch["lang"], batch["text"], strict=True):
-                router.add(UNKNOWN_LANGUAGE if lang is None else lang, text)
-                if router.n >= HELD_SUFFIXES:
-                    yield router.taken()
-        yield router.taken()
-
-    return map_columns(pick(docs, "lang", "text"), work, SUFFIX_SCHEMA)
+    def rows(lang: str, coded: Coded) -> Iterator[pa.RecordBatch]:
+        at = np.flatnonzero(coded.columns[1] >= 0) if max_words > 1 else np.empty(0, dtype=np.int64)
+        if not len(at):
+            return
+        _, which, weights = np.unique(coded.phrase_keys(at, 0, max_words), return_index=True, return_counts=True)
+        at, known = at[which], hot.get(lang, set())
+        length, heavy, done = np.ones(len(at), dtype=np.int64), np.ones(len(at), dtype=bool), np.zeros(len(at), dtype=bool)
+        for depth in range(1, max_words):
+            some = np.flatnonzero(heavy)
+            heavy[some] = coded.holds(at[some], depth, 0, known)
+            done |= heavy & (coded.columns[depth][at] < 0)
+            heavy &= ~done
+            length[heavy] += 1
+        at, length, weights = at[~done], length[~done], weights[~done]
+        if not len(at):
+            return
+        # the prefix as far as it goes, then the weight: rows are what agrees in both
+        shown = np.stack([np.where(j < length, column[at], -1) for j, column in enumerate(coded.columns)])
+        order = np.lexsort((weights, *shown[::-1]))
+        at, length, weights, shown = at[order], length[order], weights[order], shown[:, order]
+        new = np.append(True, (shown[:, 1:] != shown[:, :-1]).any(axis=0) | (weights[1:] != weights[:-1]))
+        first = np.flatnonzero(new)
+        tails = coded.phrases(at, length, max_words)
+        lists = pa.LargeListArray.from_arrays(pa.array(np.append(first, len(at)), pa.int64()), tails)
+        yield batch_of(lang, prefix=coded.phrases(at[first], 0, length[first]), weight=pa.array(weights[first], pa.int64()),
+                       tails=pc.binary_join(lists, pa.scalar("\n", pa.large_string())))
+
+    return map_chunks(docs, CHUNK_BYTES, max_words, rows, SUFFIX_SCHEMA)
+
+
+def small_part(words: np.ndarray, weights: np.ndarray, part: np.ndarray, depth: int, least: int) -> Iterator[tuple[int, int, int]]:
+    """What ``three_way`` yields of a small part, by sorting it once by all words from ``depth`` on."""
+    rest = words[part, depth:]
+    order = np.lexsort(rest.T[::-1])
+    rest, part = rest[order], part[order]
+    weight, new = weights[part], np.zeros(len(part), dtype=bool)
+    new[0] = True
+    for d in range(rest.shape[1]):
+        new[1:] |= rest[1:, d] != rest[:-1, d]
+        first = np.flatnonzero(new)
+        counts = np.add.reduceat(weight, first)
+        hits = np.flatnonzero((counts >= least) & (rest[first, d] >= 0))
+        if not len(hits):
+            return      # longer phrases count no more
+        for i in hits.tolist():
+            yield depth + d + 1, int(part[first[i]]), int(counts[i])
 
 
 def three_way(words: np.ndarray, weights: np.ndarray, pointers: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
     """(depth, pointer, count) of every prefix of the suffixes that ``pointers`` point to, if it counts ``least``.
 
-    ``words`` holds the words' numbers by depth, -1 behind a suffix's end.
+    ``words`` holds the words' numbers by depth, -1 behind a suffix's end. Parts of
+    up to SMALL_PART pointers are sorted at once, as quicksorts do with small parts.
     """
     top = int(weights[pointers].max())
     stack = [(pointers, 0)]
     while stack:
         part, depth = stack.pop()
+        if len(part) <= SMALL_PART:
+            yield from small_part(words, weights, part, depth, least)
+            continue
         key = words[part, depth]
         pivot = sorted((key[0], key[len(key) // 2], key[-1]))[1]
         equal = part[key == pivot]
@@ -281,7 +350,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST_COUNT, max_words: int =
 
     Phrases have one to ``max_words`` words and lie within a piece.
     """
-    words = count_phrases(docs, lambda _, text: lowered(text).translate(_WORDS_ONLY).split(), "words")
+    words = count_phrases(docs, 1, None, "words")
     total = words.agg(F.sum("n")).first()[0] or 0
     tasks = -(-total // TASK_POINTERS) or 1
     heavy_from = total // min(MOST_PARTS, max(LEAST_PARTS, tasks)) + 1
@@ -296,7 +365,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST_COUNT, max_words: int =
             hot[lang] |= found
         if not level or n + 1 == max_words:
             break
-        known = count_phrases(docs, hot_pairs(dict(level), n + 1), "heavy")
+        known = count_phrases(docs, n + 1, dict(level), "heavy")
         # others of these phrases are counted by the sort
         frequent = frequent.unionByName(known.where(f"n >= {max(heavy_from, least)}"))
     suffixes = route_suffixes(docs, dict(hot), max_words)

@@ -59,8 +59,8 @@ def table():
 def test_equals_plain_counting(spark, monkeypatch, parts, max_words, held):
     """Few and many heavy prefixes, full and early sending, sorts of a part of a task."""
     monkeypatch.setattr(collocations, "LEAST_PARTS", parts)
-    monkeypatch.setattr(collocations, "HELD_ENTRIES", held)
-    monkeypatch.setattr(collocations, "HELD_SUFFIXES", 3 * held)
+    monkeypatch.setattr(collocations, "CHUNK_BYTES", 20 * held)
+    monkeypatch.setattr(collocations, "SMALL_PART", held)
     monkeypatch.setattr(collocations, "ROUTED_BATCH_ROWS", 5 + held // 100)
     monkeypatch.setattr(collocations, "SORTED_POINTERS", 10 * held)
     rows = table()
@@ -74,7 +74,9 @@ def test_empty_table(spark):
     assert not collocations.collocations(docs).collect()
 
 
-def test_three_way_sort_counts_prefixes():
+@pytest.mark.parametrize("small", [0, 7, 4096])
+def test_three_way_sort_counts_prefixes(monkeypatch, small):
+    monkeypatch.setattr(collocations, "SMALL_PART", small)
     rng = np.random.default_rng(6)
     words = rng.integers(0, 6, (500, 3)).astype(np.int32)
     words[rng.random(500) < 0.2, 2] = -1
@@ -95,18 +97,29 @@ def test_scores_are_exact_beyond_64_bits(spark):
     assert r.score == 1000000 * (n + 7) ** 2 // ((3 * n + 1) * (7 * n + 3))
 
 
-def test_tails_of_each_word():
-    ws = [b"a", b"b", b"c", b"d"]
-    assert collocations.tails_of(ws, 2) == [b"b", b"c", b"d"]
-    assert collocations.tails_of(ws, 3) == [b"b c", b"c d", b"d"]
-    assert collocations.tails_of(ws, 4) == [b"b c d", b"c d", b"d"]
-    assert collocations.tails_of(ws, 9) == [b"b c d", b"c d", b"d"]
-    assert collocations.tails_of(ws[:1], 3) == [] == collocations.tails_of([], 3)
-
-
-def test_heavy_prefixes_route_by_more_words():
-    hot = {b"a", b"a b"}
-    assert collocations.routed(b"c d e", hot) == (b"c", b"d e")
-    assert collocations.routed(b"a d e", hot) == (b"a d", b"e")
-    assert collocations.routed(b"a b e", hot) == (b"a b e", b"")
-    assert collocations.routed(b"a b", hot) is None
+def test_words_and_followers_of_a_chunk():
+    data = b"".join(map(collocations.cleaned, ["B a,a  c\td!", None, ".", "e"]))
+    coded = collocations.Coded(data, 3)
+    names = coded.names.to_pylist()
+    rows = [[None if c < 0 else names[c] for c in column] for column in coded.columns]
+    assert rows == [["b", "a", "a", "c", "d", "e"], ["a", None, "c", "d", None, None], [None, None, "d", None, None, None]]
+    at = np.arange(6)
+    assert coded.phrases(at, 0, 2).to_pylist() == ["b a", "a", "a c", "c d", "d", "e"]
+    assert coded.phrases(at, np.array([1, 1, 2, 1, 1, 1]), 3).to_pylist() == ["a", "", "d", "d", "", ""]
+    assert coded.holds(at, 2, 0, {b"a c", b"c x", b"d e"}).tolist() == [False, False, True, False, False, False]
+    assert coded.holds(at, 1, 1, {b"a", b"d"}).tolist() == [True, False, False, True, False, False]
+
+
+def test_chunks_end_behind_pieces():
+    data = b"ab\nc\n\nlonger piece\nd"
+    for size in (1, 2, 5, 100):
+        parts = list(collocations.chunks(data, size))
+        assert b"".join(parts) == data and all(p.endswith(b"\n") for p in parts[:-1])
+
+
+def test_prefixes_route_suffixes(spark):
+    """Heavy words by two words, heavy pairs by three; what is counted already isn't sent."""
+    docs = spark.createDataFrame([("en", "a b e. a b e. a b. c d e. a d e. a. c d")], "lang string, text string")
+    rows = collocations.route_suffixes(docs, {"en": {b"a", b"a b"}}, 3).collect()
+    found = sorted((r.prefix, r.weight, line) for r in rows for line in r.tails.split("\n"))
+    assert found == sorted([("a b e", 2, ""), ("a d", 1, "e"), ("b", 2, "e"), ("c", 1, "d e"), ("c", 1, "d"), ("d", 2, "e")])
