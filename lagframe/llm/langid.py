@@ -15,6 +15,7 @@ costs one histogram of its subwords and one product.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -125,7 +126,7 @@ def training_sample(docs: DataFrame) -> list[tuple[str, np.ndarray, np.ndarray]]
     Of each language the rows with the least hashes are taken, up to its share of
     SAMPLE_ROWS, and one at least; equal rows count once. Only hashes are ranked.
     Tasks count the subwords of the sampled texts, so the driver gets
-    at most 6 * BUCKETS bytes a row, whatever the texts' lengths.
+    at most 10 * BUCKETS bytes a row, compressed, whatever the texts' lengths.
     """
     rows = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()) \
         .withColumn("unit", F.xxhash64("doc_id", "text"))
@@ -145,14 +146,25 @@ def training_sample(docs: DataFrame) -> list[tuple[str, np.ndarray, np.ndarray]]
         for batch in batches:
             at = [i for i, t in enumerate(batch["text"]) if has_letter(t)]
             counts = [subword_counts(batch["text"][i]) for i in at]
-            used = [np.flatnonzero(c) for c in counts]
             yield {"lang": [batch["lang"][i] for i in at], "unit": [batch["unit"][i] for i in at],
-                   "buckets": [u.astype("<u2").tobytes() for u in used],
-                   "shares": [(c[u] / c.sum()).astype("<f4").tobytes() for c, u in zip(counts, used)]}
+                   "counts": [packed(c) for c in counts]}
 
-    found = map_columns(taken.select("lang", "text", "unit"), work, "lang string, unit long, buckets binary, shares binary")
-    return [(r["lang"], np.frombuffer(r["buckets"], "<u2").astype(np.int64), np.frombuffer(r["shares"], "<f4"))
-            for r in sorted(found.collect(), key=lambda r: (r["unit"], r["lang"]))]
+    found = map_columns(taken.select("lang", "text", "unit"), work, "lang string, unit long, counts binary")
+    return [(r["lang"], *unpacked(r["counts"])) for r in sorted(found.collect(), key=lambda r: (r["unit"], r["lang"]))]
+
+
+def packed(counts: np.ndarray) -> bytes:
+    """A histogram for the way to the driver: steps between the buckets used, then their counts, compressed."""
+    used = np.flatnonzero(counts)
+    return zlib.compress(np.diff(used, prepend=0).astype("<u2").tobytes() + counts[used].astype("<i8").tobytes(), 1)
+
+
+def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets used and their shares of all subwords."""
+    plain = zlib.decompress(data)
+    n = len(plain) // 10
+    counts = np.frombuffer(plain, "<i8", n, 2 * n)
+    return np.cumsum(np.frombuffer(plain, "<u2", n)).astype(np.uint16), (counts / counts.sum()).astype(np.float32)
 
 
 def train(sample: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> LanguageModel:
