@@ -374,6 +374,31 @@ def oracles() -> dict[str, str]:
         "FT_event_id NOT IN (SELECT id FROM seen_ORIG) AND FT_event_id NOT IN (SELECT id FROM seen_DEST)")
     s["legs_observed"] = with_(*dup, *lagged[2:]) + present_legs + (
         "FT_event_id IN (SELECT id FROM seen_ORIG) AND FT_event_id IN (SELECT id FROM seen_DEST)")
+    dims = "FT_ORIGIN_AIRPORT_ID, FT_DEST_AIRPORT_ID, weekday"
+    s["on_time_cube"] = with_(*BASE_LEGS, "days AS (SELECT *, CAST(isodow(FT_FL_DATE) - 1 AS INTEGER) AS weekday FROM legs_prepared)") + (
+        f"SELECT {dims}, CAST(grouping_id({dims}) AS INTEGER) AS grouping_id, count(*) AS n_rows, "
+        "count(*) FILTER (WHERE FT_ARR_DELAY_NEW <= 15.0) AS n_on_time, count(DISTINCT FT_FL_DATE) AS distinct_day "
+        f"FROM days GROUP BY CUBE ({dims})")
+    feed = ", ".join(q(c) for c, _ in C_LEGS_RAW)
+    fixed = feed.replace(q("ARR_DELAY_NEW"), "CASE WHEN event_id % 40 = 1 THEN '0.0' ELSE ARR_DELAY_NEW END AS ARR_DELAY_NEW")
+    delivery = ("one AS (SELECT {0} FROM legs_raw WHERE event_id % 10 <> 0 UNION ALL SELECT {0} FROM legs_raw "
+                "WHERE event_id % 10 <> 0 AND event_id % 50 = 3)").format(feed)
+    second = ("two AS (SELECT {0} FROM legs_raw WHERE event_id % 9 <> 0 UNION ALL SELECT {0} FROM legs_raw "
+              "WHERE event_id % 9 <> 0 AND event_id % 25 = 3)").format(fixed)
+    s["feed_diff"] = with_(LEGS_RAW, delivery, second,
+                           f"gone AS (SELECT {feed}, count(*) AS copies FROM (FROM one EXCEPT ALL FROM two) GROUP BY ALL)",
+                           f"come AS (SELECT {feed}, count(*) AS copies FROM (FROM two EXCEPT ALL FROM one) GROUP BY ALL)") + (
+        f"SELECT {feed}, CASE WHEN event_id IN (SELECT event_id FROM come) THEN 'changed_from' ELSE 'removed' END AS change, copies "
+        f"FROM gone UNION ALL SELECT {feed}, CASE WHEN event_id IN (SELECT event_id FROM gone) THEN 'changed_to' ELSE 'added' END, copies FROM come")
+    s["observation_sessions"] = with_(*dup, """timed AS (
+  SELECT OT_ORIGIN_AIRPORT_ID AS a, OT_WEATHER_TIMESTAMP AS t FROM obs_mapped
+  WHERE OT_ORIGIN_AIRPORT_ID IS NOT NULL AND OT_WEATHER_TIMESTAMP IS NOT NULL)""",
+        """marked AS (SELECT *, CASE WHEN t > lag(t) OVER (PARTITION BY a ORDER BY t) + INTERVAL 2 HOURS THEN 1 ELSE 0 END AS b
+  FROM timed)""",
+        "numbered AS (SELECT *, sum(b) OVER (PARTITION BY a ORDER BY t) AS g FROM marked)",
+        "found AS (SELECT a, g, min(t) AS s, max(t) AS e, count(*) AS n FROM numbered GROUP BY a, g)") + (
+        "SELECT a AS OT_ORIGIN_AIRPORT_ID, " + fmt("s", "T") + " AS session_start, " + fmt("e", "T") + " AS session_end, "
+        "n AS observations, CAST(epoch(s) - epoch(lag(e) OVER (PARTITION BY a ORDER BY s)) AS BIGINT) AS outage_before FROM found")
     docs = [("doc_id", "l"), ("text", "s"), ("lang", "s"), ("source", "s"), ("n_chars", "l"),
             ("quality", "i"), ("toxic", "i")]
     dl = ("docs_labels AS (SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic "

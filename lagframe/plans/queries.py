@@ -13,7 +13,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lagframe.operators import asof, clean, lagjoin, layout, learn, occupancy, quality
+from lagframe.operators import (asof, clean, cube, diff, lagjoin, layout, learn, occupancy, quality,
+                                 sessions)
 from lagframe.operators.rename import prefix_columns, suffix_columns
 from lagframe.plans.guards import materialize
 from lagframe.plans.report import present
@@ -327,6 +328,28 @@ def q_legs_unobserved(spark, sf):
     return present(occupancy.legs_unobserved(t.legs_mapped, t.obs_dup_mapped))
 
 
+@query
+def q_on_time_cube(spark, sf):
+    """Legs, legs on time and different departure days by origin, destination and weekday, in all groupings."""
+    legs = quality.label_on_time(Tables(spark, sf).legs).withColumns({
+        "weekday": F.weekday("FT_FL_DATE"), "day": F.unix_date("FT_FL_DATE")})
+    return cube.grouping_sets(legs, ["FT_ORIGIN_AIRPORT_ID", "FT_DEST_AIRPORT_ID", "weekday"],
+                              {"n_on_time": F.col(quality.LABEL) == 1}, "day")
+
+
+@query
+def q_feed_diff(spark, sf):
+    """Rows added, removed and changed between two deliveries of the leg feed."""
+    spark = configure(spark)
+    return diff.diff_rows(fixtures.fixture_delivery(spark, sf, 1), fixtures.fixture_delivery(spark, sf, 2), ["event_id"])
+
+
+@query
+def q_observation_sessions(spark, sf):
+    """Sessions of observations at every station, and the outages before them."""
+    return present(sessions.observation_sessions(Tables(spark, sf).obs_dup_mapped, gap_hours=2))
+
+
 @query
 def q_lag_match_profile(spark, sf):
     """Flagship: per lag, rows, matches at each end and mean visibility."""

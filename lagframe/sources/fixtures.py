@@ -76,6 +76,17 @@ def fixture_legs_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fixture_delivery(spark: SparkSession, sf_dir: str, number: int) -> DataFrame:
+    """Two deliveries of the leg feed: each leaves out and repeats other legs, the second corrects some delays."""
+    legs = fixture_legs_raw(spark, sf_dir)
+    left_out, repeated = ((10, 50), (9, 25))[number - 1]
+    legs = legs.where(F.col("event_id") % left_out != 0)
+    if number == 2:
+        corrected = F.when(F.col("event_id") % 40 == 1, "0.0").otherwise(F.col("ARR_DELAY_NEW"))
+        legs = legs.withColumn("ARR_DELAY_NEW", corrected)
+    return legs.unionByName(legs.where(F.col("event_id") % repeated == 3))
+
+
 def fixture_observations(spark: SparkSession, sf_dir: str, dup: bool = False) -> DataFrame:
     """Typed observation feed, one per event; ``dup`` shares stations in runs."""
     ev = load_table(spark, sf_dir, "events")
