@@ -399,6 +399,11 @@ def oracles() -> dict[str, str]:
         "found AS (SELECT a, g, min(t) AS s, max(t) AS e, count(*) AS n FROM numbered GROUP BY a, g)") + (
         "SELECT a AS OT_ORIGIN_AIRPORT_ID, " + fmt("s", "T") + " AS session_start, " + fmt("e", "T") + " AS session_end, "
         "n AS observations, CAST(epoch(s) - epoch(lag(e) OVER (PARTITION BY a ORDER BY s)) AS BIGINT) AS outage_before FROM found")
+    later = ("again AS (SELECT DISTINCT FT_FL_DATE AS d FROM legs_prepared WHERE FT_event_id % 97 = 0)",
+             "read AS (SELECT DISTINCT FT_FL_DATE AS d FROM legs_prepared WHERE FT_event_id % 53 = 0)",
+             "stored AS (SELECT * REPLACE (FT_ARR_DELAY_NEW + CASE WHEN FT_FL_DATE IN (SELECT d FROM again) THEN 1 ELSE 0 END "
+             "AS FT_ARR_DELAY_NEW) FROM legs_prepared)")
+    s["rewritten_days"] = with_(*BASE_LEGS, *later) + present(C_LEGS, "stored", where="FT_FL_DATE IN (SELECT d FROM read)")
     docs = [("doc_id", "l"), ("text", "s"), ("lang", "s"), ("source", "s"), ("n_chars", "l"),
             ("quality", "i"), ("toxic", "i")]
     dl = ("docs_labels AS (SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic "

@@ -20,7 +20,7 @@ from lagframe.plans.guards import materialize
 from lagframe.plans.report import present
 from lagframe.schemas import all_strings
 from lagframe.session import configure, scratch_path
-from lagframe.sources import fixtures, sampling
+from lagframe.sources import days, fixtures, sampling
 from lagframe.sources.csv import read_feed, write_csv
 
 # Parameters of the registered queries.
@@ -344,6 +344,19 @@ def q_feed_diff(spark, sf):
     return diff.diff_rows(fixtures.fixture_delivery(spark, sf, 1), fixtures.fixture_delivery(spark, sf, 2), ["event_id"])
 
 
+@query
+def q_rewritten_days(spark, sf):
+    """Legs written by day, some days written again with corrected delays, and those days read back."""
+    t = Tables(spark, sf)
+    path = scratch_path(t.spark, "days")
+    days.write_days(t.legs, path, "FT_FL_DATE")
+    chosen = t.legs.where("FT_event_id % 97 = 0").select("FT_FL_DATE").distinct()
+    rerun = t.legs.join(chosen, "FT_FL_DATE", "left_semi").withColumn("FT_ARR_DELAY_NEW", F.col("FT_ARR_DELAY_NEW") + 1)
+    days.write_days(rerun.select(*t.legs.columns), path, "FT_FL_DATE")
+    read = t.legs.where("FT_event_id % 53 = 0").select("FT_FL_DATE")
+    return present(days.read_days(t.spark, path, read, "FT_FL_DATE").select(*t.legs.columns))
+
+
 @query
 def q_observation_sessions(spark, sf):
     """Sessions of observations at every station, and the outages before them."""
