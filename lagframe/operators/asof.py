@@ -33,6 +33,13 @@ def _endpoint(side: str) -> tuple[str, str, str]:
     return ENDPOINTS[side]
 
 
+def _sides(side: str) -> list[str]:
+    if side == "both":
+        return list(ENDPOINTS)
+    _endpoint(side)
+    return [side]
+
+
 def _hours(name: str, hours: int) -> int:
     if not isinstance(hours, int) or isinstance(hours, bool) or hours < 1:
         raise ValueError(f"{name} must be a positive int of hours, got {hours!r}")
@@ -50,26 +57,30 @@ def _keyed_legs(legs: DataFrame, airport: str, instant: str, width: int) -> Data
                        F.struct(*[qcol(c) for c in legs.columns]).alias("_leg"))
 
 
-def _dealt(legs: DataFrame, per_task: int) -> tuple[DataFrame, DataFrame | None]:
-    """``legs`` with ``_part``, and (_h_airport, _h_bin, _parts) of the bins in several parts, or None.
+def _heavy_bins(legs: DataFrame, side: str, width: int, per_task: int) -> DataFrame | None:
+    """(_h_airport, _h_bin, _parts) of the bins with more than ``per_task`` legs, or None.
 
-    One narrow aggregation over the keys finds the bins with more than
-    ``per_task`` legs; their legs are dealt to ceil(n / per_task) parts at random.
+    One narrow aggregation over the keys of the table as given; such bins are
+    dealt to ceil(n / per_task) parts.
     """
-    heavy = (legs.where("_airport is not null and _bin is not null").groupBy("_airport", "_bin").count()
-             .where(F.col("count") > per_task)
-             .select(F.col("_airport").alias("_h_airport"), F.col("_bin").alias("_h_bin"),
-                     F.ceil(F.col("count") / per_task).cast("int").alias("_parts")))
+    airport, instant, _ = _endpoint(side)
+    heavy = (legs.where(qcol(airport).isNotNull() & qcol(instant).isNotNull())
+             .groupBy(qcol(airport).alias("_h_airport"), _bin(F.unix_seconds(qcol(instant)), width).alias("_h_bin")).count()
+             .where(F.col("count") > per_task).select("_h_airport", "_h_bin", F.ceil(F.col("count") / per_task).cast("int").alias("_parts")))
     rows = heavy.collect()      # one row per ``per_task`` legs at most
+    return legs.sparkSession.createDataFrame(rows, heavy.schema) if rows else None
+
+
+def _dealt(legs: DataFrame, heavy: DataFrame | None) -> DataFrame:
+    """Keyed legs with ``_part``: those of heavy bins in several, by a hash of the leg."""
     spread = F.xxhash64("_leg")
     # legs that match nothing go anywhere
     lost = F.col("_airport").isNull() | F.col("_bin").isNull()
-    if not rows:
-        return legs.withColumn("_part", F.when(lost, F.pmod(spread, F.lit(LOST_PARTS))).otherwise(0).cast("int")), None
-    known = legs.sparkSession.createDataFrame(rows, heavy.schema)
-    dealt = legs.join(F.broadcast(known), (F.col("_airport") == F.col("_h_airport")) & (F.col("_bin") == F.col("_h_bin")), "left")
+    if heavy is None:
+        return legs.withColumn("_part", F.when(lost, F.pmod(spread, F.lit(LOST_PARTS))).otherwise(0).cast("int"))
+    dealt = legs.join(F.broadcast(heavy), (F.col("_airport") == F.col("_h_airport")) & (F.col("_bin") == F.col("_h_bin")), "left")
     parts = F.when(lost, LOST_PARTS).otherwise(F.coalesce("_parts", F.lit(1))).cast("long")
-    return dealt.withColumn("_part", F.pmod(spread, parts).cast("int")).drop("_h_airport", "_h_bin", "_parts"), known
+    return dealt.withColumn("_part", F.pmod(spread, parts).cast("int")).drop("_h_airport", "_h_bin", "_parts")
 
 
 def _for_all_parts(rows: DataFrame, heavy: DataFrame | None) -> DataFrame:
@@ -97,12 +108,22 @@ def lag_join_asof(legs: DataFrame, obs: DataFrame, side: str = "origin", toleran
     One row per leg, with the observation's columns (all, or ``columns``) under the
     endpoint's suffix and its age in seconds (``observation_age`` + suffix); null
     where none lies within ``tolerance_hours`` or the leg has no airport or instant.
+    ``side`` is ``origin``, ``dest`` or ``both``.
     Of several observations at that instant the one with the least ``tie_by`` counts
     (or the least row). Observations are reduced to one per (station, instant) and the
-    last of every bin before the merge; legs are shuffled once.
+    last of every bin before the merge; legs are shuffled once per endpoint.
     """
-    airport, instant, suffix = _endpoint(side)
     width = _hours("tolerance_hours", tolerance_hours)
+    # on the table as given, before anything is joined to it
+    heavy = {s: _heavy_bins(legs, s, width, legs_per_task) for s in _sides(side)}
+    for s, bins in heavy.items():
+        legs = _asof_side(legs, obs, s, width, tie_by, columns, bins)
+    return legs
+
+
+def _asof_side(legs: DataFrame, obs: DataFrame, side: str, width: int, tie_by: str | None, columns: list[str] | None,
+               heavy: DataFrame | None) -> DataFrame:
+    airport, instant, suffix = _endpoint(side)
     names = list(obs.columns) if columns is None else list(columns)
     payload = F.struct(*[qcol(c) for c in names]).alias("_obs")
     tie = qcol(tie_by) if tie_by else F.struct(*[qcol(c) for c in obs.columns])
@@ -110,7 +131,7 @@ def lag_join_asof(legs: DataFrame, obs: DataFrame, side: str = "origin", toleran
               .groupBy("_airport", "_at", "_bin").agg(F.min_by("_obs", "_tie").alias("_obs")))
     last = (single.groupBy("_airport", "_bin").agg(F.max(F.col("_at")).alias("_at"), F.max_by("_obs", "_at").alias("_obs"))
             .select("_airport", "_at", (F.col("_bin") + 1).alias("_bin"), "_obs"))
-    keyed, heavy = _dealt(_keyed_legs(legs, airport, instant, width), legs_per_task)
+    keyed = _dealt(_keyed_legs(legs, airport, instant, width), heavy)
     seen = _for_all_parts(single.select("_airport", "_at", "_bin", "_obs").unionByName(last), heavy)
     events = seen.unionByName(keyed, allowMissingColumns=True)
     # at equal instants observations come first
@@ -140,7 +161,7 @@ def _with_next_bin(instants: DataFrame) -> DataFrame:
 
 def lag_range_stats(legs: DataFrame, obs: DataFrame, measure: str, side: str = "origin", hours: int = MAX_LAG_HOURS,
                     legs_per_task: int = LEGS_PER_TASK) -> DataFrame:
-    """Legs with statistics of the observations in [instant - hours, instant] at that endpoint.
+    """Legs with statistics of the observations in [instant - hours, instant] at that endpoint, or at both.
 
     Adds, under the endpoint's suffix, ``observations`` (their number),
     ``values`` (how many have the measure) and ``mean`` of the measure (null
@@ -148,10 +169,17 @@ def lag_range_stats(legs: DataFrame, obs: DataFrame, measure: str, side: str = "
     Running sums over a bin and a copy of the bin before are read at both ends of
     the range, and their difference is the answer: no pair of leg and observation is listed.
     """
-    airport, instant, suffix = _endpoint(side)
     span = _hours("hours", hours)
+    heavy = {s: _heavy_bins(legs, s, span + HOUR, legs_per_task) for s in _sides(side)}
+    for s, bins in heavy.items():
+        legs = _range_side(legs, obs, measure, s, span, bins)
+    return legs
+
+
+def _range_side(legs: DataFrame, obs: DataFrame, measure: str, side: str, span: int, heavy: DataFrame | None) -> DataFrame:
+    airport, instant, suffix = _endpoint(side)
     width = span + HOUR
-    keyed, heavy = _dealt(_keyed_legs(legs, airport, instant, width), legs_per_task)
+    keyed = _dealt(_keyed_legs(legs, airport, instant, width), heavy)
     # both ends of a leg's range stand in the bin of its instant; the number ties them together there
     ends = (keyed.withColumn("_id", F.monotonically_increasing_id())
             .select("_airport", "_bin", "_part", "_id", F.inline(F.array(

@@ -279,11 +279,8 @@ def q_lag_join_wide(spark, sf):
 
 def _asof(spark, sf):
     t = Tables(spark, sf)
-    columns = ["OT_WEATHER_TIMESTAMP", "OT_Visibility", "OT_oid"]
-    out = t.legs_mapped
-    for side in ("origin", "dest"):
-        out = asof.lag_join_asof(out, t.obs_dup_mapped, side, tie_by="OT_oid", columns=columns)
-    return out
+    return asof.lag_join_asof(t.legs_mapped, t.obs_dup_mapped, "both", tie_by="OT_oid",
+                              columns=["OT_WEATHER_TIMESTAMP", "OT_Visibility", "OT_oid"])
 
 
 @query
@@ -302,10 +299,7 @@ def q_training_table_asof(spark, sf):
 def q_lag_range_stats(spark, sf):
     """Legs with count and mean visibility over the 11 hours up to each endpoint's instant."""
     t = Tables(spark, sf)
-    out = t.legs_mapped
-    for side in ("origin", "dest"):
-        out = asof.lag_range_stats(out, t.obs_dup_mapped, "OT_Visibility", side)
-    return present(out, MEAN_DECIMALS)
+    return present(asof.lag_range_stats(t.legs_mapped, t.obs_dup_mapped, "OT_Visibility", "both"), MEAN_DECIMALS)
 
 
 @query

@@ -75,6 +75,18 @@ def test_range_stats_equal_plain_sums(frames, rows, side, airport, at, per_task)
     assert found == sorted(expected, key=str)
 
 
+@pytest.mark.parametrize("per_task", [asof.LEGS_PER_TASK, 20])
+def test_both_endpoints_equal_one_after_the_other(frames, per_task):
+    legs, obs = frames
+    key = lambda df: sorted(map(str, map(tuple, df.collect())))
+    one = asof.lag_join_asof(asof.lag_join_asof(legs, obs, "origin", tie_by="OT_oid"), obs, "dest", tie_by="OT_oid")
+    both = asof.lag_join_asof(legs, obs, "both", tie_by="OT_oid", legs_per_task=per_task)
+    assert both.columns == one.columns and key(both) == key(one)
+    stats = asof.lag_range_stats(legs, obs, "OT_Visibility", "both", legs_per_task=per_task)
+    assert stats.columns[-6:] == [f"{n}{s}" for s in ("_ORIG", "_DEST") for n in ("observations", "values", "mean")]
+    assert stats.count() == legs.count()
+
+
 def test_rolling_measures_equal_plain_windows(frames, rows):
     found = {(r[0], r[1]): r[2:] for r in asof.rolling_measures(frames[1], "OT_Visibility", (3, 12)).collect()}
     seen = {(o[1], o[2]) for o in rows[1] if o[1] is not None and o[2]}
@@ -117,7 +129,7 @@ def test_empty_inputs_and_bad_arguments(frames):
     assert asof.rolling_measures(none, "OT_Visibility").count() == 0
     assert occupancy.legs_unobserved(legs, none).count() == legs.count()
     assert asof.lag_join_asof(legs.limit(0), obs).count() == 0
-    for bad in (lambda: asof.lag_join_asof(legs, obs, "both"), lambda: asof.lag_join_asof(legs, obs, tolerance_hours=0),
+    for bad in (lambda: asof.lag_join_asof(legs, obs, "x"), lambda: asof.lag_join_asof(legs, obs, tolerance_hours=0),
                 lambda: asof.rolling_measures(obs, "OT_Visibility", ()), lambda: occupancy.legs_observed(legs, obs, "x"),
                 lambda: occupancy.occupied_hours(obs, 31)):
         with pytest.raises(ValueError):
