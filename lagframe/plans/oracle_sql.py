@@ -339,7 +339,7 @@ def oracles() -> dict[str, str]:
     imputed = [f"round(COALESCE({v}, (SELECT avg({v}) FROM joined)), 4) AS {c}" if (v := clean_value.format(c)) and "Visibility" in c
                else f"{fmt(q(c), k)} AS {q(c)}" for c, k in all_asof]
     # a fifth of the values may be missing for a column to be imputed; those of this table miss less
-    s["training_table_asof"] = asof_ctes + (
+    s["training_table_asof"] = asof_ctes.replace("INTERVAL 12 HOURS", "INTERVAL 336 HOURS") + (
         "SELECT " + ", ".join(imputed) + ", CASE WHEN FT_ARR_DELAY_NEW <= 15.0 THEN 1 ELSE 0 END AS FT_OnTime FROM joined")
     value = "CASE WHEN isnan(o.OT_Visibility) THEN NULL ELSE o.OT_Visibility END"
     stats = [f"""stats{tail} AS (

@@ -277,22 +277,22 @@ def q_lag_join_wide(spark, sf):
     return present(lagjoin.lag_join_wide(t.legs_mapped, t.obs_dup_mapped, dedup_by="OT_oid"))
 
 
-def _asof(spark, sf):
+def _asof(spark, sf, tolerance_hours):
     t = Tables(spark, sf)
-    return asof.lag_join_asof(t.legs_mapped, t.obs_dup_mapped, "both", tie_by="OT_oid",
+    return asof.lag_join_asof(t.legs_mapped, t.obs_dup_mapped, "both", tolerance_hours, tie_by="OT_oid",
                               columns=["OT_WEATHER_TIMESTAMP", "OT_Visibility", "OT_oid"])
 
 
 @query
 def q_lag_join_asof(spark, sf):
     """Legs with the latest observation of the last 12 hours at either endpoint."""
-    return present(_asof(spark, sf))
+    return present(_asof(spark, sf, 12))
 
 
 @query
 def q_training_table_asof(spark, sf):
-    """Label, sparse drop and imputation where most legs have weather: its columns stay and are imputed."""
-    return present(quality.build_training_table(materialize(_asof(spark, sf), "checkpoint")))
+    """Label, sparse drop and imputation with the latest weather of two weeks: its columns stay and are imputed."""
+    return present(quality.build_training_table(materialize(_asof(spark, sf, 14 * 24), "checkpoint")))
 
 
 @query
