@@ -25,7 +25,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -37,6 +37,7 @@ SUBSUMED_PERCENT = 50
 TOP = 2000
 UNKNOWN_LANGUAGE = "und"
 SCALE = 1_000_000
+TOP_PARTS = 16
 CHUNK_BYTES = 6 << 20         # of texts whose words a task numbers, adds up and sends on at once
 SMALL_PART = 4096             # pointers of a part that is sorted at once
 ROUTED_BATCH_ROWS = 10_000    # rows of routed suffixes in an Arrow batch; few of them are long
@@ -415,9 +416,16 @@ def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST_COUNT, max_
     """
     words, phrases = frequent_phrases(docs, least, max_words)
     kept = without_subsumed(stage(scored(phrases), "scored"), percent)
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
+    best_first = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+
+    def ranked(df: DataFrame, *group: Column | str) -> DataFrame:
+        order = Window.partitionBy("lang", *group).orderBy(*best_first)
+        return df.withColumn("rank", F.row_number().over(order).cast("long")).where(f"rank <= {top}")
+
+    # a language's phrases are ranked in parts first, so the last task gets at most TOP_PARTS * top of it
+    part = F.pmod(F.xxhash64("phrase"), F.lit(TOP_PARTS))
     sizes = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    return (kept.withColumn("rank", F.row_number().over(order).cast("long")).where(f"rank <= {top}")
+    return (ranked(ranked(kept.withColumn("part", part), "part"))
             .join(sizes, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score"))
 
 
