@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lagframe.llm.common import arrow_rows, pick, prepare, stage
+from lagframe.llm.common import arrow_rows, pick, prepare, releasing, stage
 
 LEAST_COUNT = 10
 MAX_WORDS = 3
@@ -38,11 +38,11 @@ TOP = 2000
 UNKNOWN_LANGUAGE = "und"
 SCALE = 1_000_000
 TOP_PARTS = 16
-CHUNK_BYTES = 6 << 20         # of texts whose words a task numbers, adds up and sends on at once
+CHUNK_BYTES = 3 << 20         # of texts whose words a task numbers, adds up and sends on at once
 SMALL_PART = 4096             # pointers of a part that is sorted at once
-ROUTED_BATCH_ROWS = 10_000    # rows of routed suffixes in an Arrow batch; few of them are long
+ROUTED_BATCH_ROWS = 4_000     # rows of routed suffixes and of counts in an Arrow batch; few of them are long
 TASK_POINTERS = 2_000_000     # suffixes of a sorting task, about
-SORTED_POINTERS = 1_000_000   # suffixes sorted at once, unless one prefix has more
+SORTED_POINTERS = 400_000     # suffixes sorted at once, unless one prefix has more
 # A prefix is heavy from one part in so many of all words on; no more prefixes can be heavy.
 LEAST_PARTS, MOST_PARTS = 200, 100_000
 SUFFIX_SCHEMA = "lang string, prefix string, weight long, tails string"
@@ -143,8 +143,8 @@ def map_chunks(docs: DataFrame, size: int, n: int, rows: Callable[[str, Coded],
             for lang, texts in held.items():
                 for chunk in chunks(b"".join(texts), size):
                     coded = Coded(chunk, n)
-                    if len(coded.columns[0]):
-                        yield from rows(lang, coded)
+                    for found in rows(lang, coded) if len(coded.columns[0]) else ():
+                        yield from (found.slice(i, ROUTED_BATCH_ROWS) for i in range(0, found.num_rows, ROUTED_BATCH_ROWS))
             held.clear()
 
         for batch in batches:
@@ -158,7 +158,7 @@ def map_chunks(docs: DataFrame, size: int, n: int, rows: Callable[[str, Coded],
         yield from sent()
 
     prepare(docs.sparkSession)
-    return pick(docs, "lang", "text").mapInArrow(work, schema)
+    return pick(docs, "lang", "text").mapInArrow(releasing(work), schema)
 
 
 def batch_of(lang: str, **columns: pa.Array) -> pa.RecordBatch:
@@ -343,7 +343,7 @@ def sorted_counts(suffixes: DataFrame, tasks: int, least: int) -> DataFrame:
 
     ordered = suffixes.repartition(tasks, "lang", "prefix").sortWithinPartitions("lang", "prefix")
     with arrow_rows(suffixes.sparkSession, ROUTED_BATCH_ROWS):
-        return stage(ordered.mapInArrow(work, "lang string, phrase string, n long"), "phrases")
+        return stage(ordered.mapInArrow(releasing(work), "lang string, phrase string, n long"), "phrases")
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST_COUNT, max_words: int = MAX_WORDS) -> tuple[DataFrame, DataFrame]:

@@ -100,6 +100,18 @@ def positional(df: DataFrame) -> DataFrame:
     return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
 
 
+def releasing(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``work`` for mapInArrow, giving back Arrow's free memory when a task ends: workers serve many."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return run
+
+
 def map_columns(df: DataFrame, work: Callable[[Iterator[dict[str, list]]], Iterable[dict]],
                 schema: str) -> DataFrame:
     """``work`` over the Arrow batches of each partition, as lists by column.
@@ -114,14 +126,11 @@ def map_columns(df: DataFrame, work: Callable[[Iterator[dict[str, list]]], Itera
 
     def run(batches):
         lists = ({n: c.to_pylist() for n, c in zip(b.schema.names, b.columns, strict=True)} for b in batches)
-        try:
-            for found in work(lists):
-                yield pa.RecordBatch.from_arrays([x if isinstance(x := found[f.name], pa.Array) else pa.array(x, f.type)
-                                                  for f in out], schema=out)
-        finally:
-            pa.default_memory_pool().release_unused()
+        for found in work(lists):
+            yield pa.RecordBatch.from_arrays([x if isinstance(x := found[f.name], pa.Array) else pa.array(x, f.type)
+                                              for f in out], schema=out)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(releasing(run), schema)
 
 
 def number_lists(parts: list[np.ndarray]) -> pa.Array:
