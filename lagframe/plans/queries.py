@@ -390,11 +390,12 @@ def lag_match_profile(folded: DataFrame) -> DataFrame:
 @query
 def q_row_count(spark, sf):
     t = Tables(spark, sf)
-    parts = [(name, df) for name, df in
-             (("legs_raw", t.legs_raw), ("legs", t.legs), ("observations", t.obs), ("lag_join_long", t.long))]
+    count, folded = F.count(F.lit(1)), lagjoin.lag_join_long(t.legs_mapped, t.obs_mapped, folds={})
+    parts = [("legs_raw", t.legs_raw, count), ("legs", t.legs, count), ("observations", t.obs, count),
+             ("lag_join_long", folded, F.coalesce(F.sum(lagjoin.fold_weight()), F.lit(0)))]
     out = None
-    for name, df in parts:
-        one = df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
+    for name, df, rows in parts:
+        one = df.agg(rows.alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
         out = one if out is None else out.unionByName(one)
     return out
 
