@@ -84,6 +84,11 @@ class Tables:
     def long(self):
         return lagjoin.lag_join_long(self.legs_mapped, self.obs_mapped)
 
+    def long_profile(self, df: DataFrame, columns: list[str]) -> DataFrame:
+        """``quality.profile`` of columns of ``long``, or of ``long`` labelled."""
+        legs = quality.label_on_time(self.legs_mapped) if quality.LABEL in columns else self.legs_mapped
+        return quality.profile_lag_join(legs, self.obs_mapped, columns)
+
     @cached_property
     def docs_labels(self):
         return self.table("documents").join(self.table("labels"), "doc_id", "left")
@@ -412,7 +417,10 @@ def q_drop_sparse_columns(spark, sf):
 
 @query
 def q_impute_eligible(spark, sf):
-    return present(quality.impute_eligible(Tables(spark, sf).long))
+    t = Tables(spark, sf)
+    # the columns of the join alone: its profile needs no rows
+    long = lagjoin.lag_join_long(t.legs_mapped, t.obs_mapped, heavy=False)
+    return present(quality.impute_eligible(long, profile_of=t.long_profile))
 
 
 @query
