@@ -20,7 +20,7 @@ from lagframe.schemas import MAX_LAG_HOURS
 def windowed_measures(obs: DataFrame, measure: str, window_hours: int = 3, late_hours: int | None = None) -> DataFrame:
     """Per station and window of event time: observations, values, mean and minimum of the measure.
 
-    Columns: the station, ``window_start``, ``window_end``, ``observations``, ``values``, ``mean``, ``minimum``. NaN
+    Columns: the station, ``window_start``, ``window_end``, ``observations``, ``values``, ``mean`` (14 digits), ``minimum``. NaN
     is no value. Rows without a station or an instant are left out. A stream needs
     ``late_hours``: a window is emitted once the latest instant seen is that much beyond its
     end, and observations of emitted windows are dropped (see ``late_groups``). The same call on
@@ -34,7 +34,9 @@ def windowed_measures(obs: DataFrame, measure: str, window_hours: int = 3, late_
         rows = rows.withWatermark(OBS_INSTANT, f"{int(late_hours)} hours")
     value = F.when(~F.isnan(qcol(measure).cast("double")), qcol(measure).cast("double"))
     grouped = rows.groupBy(qcol(OBS_AIRPORT), F.window(qcol(OBS_INSTANT), f"{span} seconds").alias("_window"))
-    return (grouped.agg(F.count(F.lit(1)).alias("observations"), F.count(value).alias("values"), F.avg(value).alias("mean"),
+    # 14 digits: the last ones depend on the order of the sum, which a stream can't repeat
+    mean = F.when(F.count(value) > 0, F.format_string("%.13e", F.avg(value)).cast("double"))
+    return (grouped.agg(F.count(F.lit(1)).alias("observations"), F.count(value).alias("values"), mean.alias("mean"),
                         F.min(value).alias("minimum"))
             .select(qcol(OBS_AIRPORT), F.col("_window.start").alias("window_start"), F.col("_window.end").alias("window_end"),
                     "observations", "values", "mean", "minimum"))
