@@ -54,9 +54,11 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Each task packs one range of the training; sequence_id rises from range
     to range. Within a task, sequences are numbered as they fill up. Null and
-    empty texts are an end id alone; a null doc_id stays null.
+    empty texts are an end id alone; a null doc_id stays null. The encoder is a lean
+    one, as the executors also hold what the stages before have left.
     """
-    return packing.pack_documents(mixing.in_order(pick(docs, "doc_id", "text", *mixing.ORDER)), tokenizer_path())
+    return packing.pack_documents(mixing.in_order(pick(docs, "doc_id", "text", *mixing.ORDER)), tokenizer_path(),
+                                  lean=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -22,6 +22,7 @@ from lagframe.session import scratch_path
 
 # Documents per Arrow batch: texts may be long, so batches are kept short.
 TEXT_BATCH_ROWS = 500
+VECTORED_READS = "parquet.hadoop.vectored.io.enabled"
 
 # Word characters are everything but space and the five ASCII controls 9-13;
 # bytes.split() and bytes.translate() without arguments use the same set.
@@ -59,9 +60,20 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+def read_on_heap(spark: SparkSession) -> SparkSession:
+    """No vectored Parquet reads, unless the session sets them.
+
+    Those of files go through threads of their own, which keep native buffers as
+    long as the column chunks they have read.
+    """
+    if spark.conf.get(VECTORED_READS, None) is None:
+        spark.conf.set(VECTORED_READS, "false")
+    return spark
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Ship the package and keep Arrow batches of texts short."""
-    ship(spark)
+    ship(read_on_heap(spark))
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key, "10000")) > TEXT_BATCH_ROWS:
         spark.conf.set(key, str(TEXT_BATCH_ROWS))
@@ -148,7 +160,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     Cuts lineage: a lost executor costs no recomputation, and every later
     pass reads only its columns.
     """
-    path = scratch_path(df.sparkSession, name)
+    path = scratch_path(read_on_heap(df.sparkSession), name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -159,20 +159,21 @@ class Packer:
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, sequence_tokens: int = SEQUENCE_TOKENS,
-                   end_id: int = 1, max_open: int = MAX_OPEN_WINDOWS) -> DataFrame:
+                   end_id: int = 1, max_open: int = MAX_OPEN_WINDOWS, lean: bool = False) -> DataFrame:
     """Pieces of all documents, each with its place in a sequence.
 
     ``docs`` has doc_id and text; other columns are ignored. ``tokenizer``
     is the path of a tokenizer file that every executor has. Null and empty
     texts are documents of ``end_id`` alone; a null doc_id stays null and
     repeated rows are packed each on its own. An empty table gives none.
-    Texts of any length are encoded whole. One row per piece: doc_id, start
+    Texts of any length are encoded whole; ``lean`` takes less memory and more time for
+    the same ids. One row per piece: doc_id, start
     (ids of the document before it), length, ids_crc32, doc_tokens,
     sequence_id, offset (gapless within the sequence).
     """
     def pack(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
         packer = Packer(sequence_tokens, max_open, TaskContext.get().partitionId() << SEQUENCE_BITS)
-        with encoder(tokenizer) as code:
+        with encoder(tokenizer, lean) as code:
             for batch in batches:
                 for doc_id, ids in zip(batch["doc_id"], code.encode(batch["text"], end_id), strict=True):
                     packer.add(doc_id, ids)

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -28,8 +28,12 @@ DEFAULT_TOKENIZER = "byte_bpe_50k.json"
 MEMO_PIECES = 400_000
 # Characters of texts cut at once; a longer text is cut alone.
 GROUP_CHARS = 2_000_000
-# New pieces strung together for one call.
+# A lean encoder takes this share of both: less memory for more time.
+LEAN_SHARE = 8
+# New pieces strung together, and characters handed to the tokenizer at once: what
+# it returns takes over a hundred bytes an id until the ids are taken from it.
 STRING_PIECES = 500
+CALL_CHARS = 100_000
 CUT = "\x00"
 _LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]"
 # Cuts in Arrow's regular expressions: behind a run of letters, and behind a
@@ -56,6 +60,7 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.memo: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.share = 1
         vocab = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.opens[[i for token, i in vocab.items() if token.startswith("Ġ")]] = True
@@ -64,16 +69,28 @@ class Encoder:
         self.cuttable = (self.tokenizer.normalizer is None and bool(self.feeds.any())
                          and "ByteLevel(add_prefix_space=False" in repr(self.tokenizer.pre_tokenizer))
 
+    def _ids(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
+        """Ids of each text, a call's worth of texts at a time; a longer text goes alone."""
+        call, size = [], 0
+        for text in texts:
+            if call and size + len(text) > CALL_CHARS:
+                yield from self._called(call)
+                call, size = [], 0
+            call.append(text)
+            size += len(text)
+        yield from self._called(call)
+
+    def _called(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, dtype="<u4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+        return [ids.tobytes() for ids in self._ids(texts)]
 
     def _strung(self, pieces: list[str], between: str, marks: np.ndarray) -> list[bytes]:
         """Ids of pieces that open with a space (``between`` empty), or that a line feed divides."""
         out, gap = [], len(between)
         parts = [pieces[i:i + STRING_PIECES] for i in range(0, len(pieces), STRING_PIECES)]
-        found = self.tokenizer.encode_batch_fast([between + between.join(x) for x in parts], add_special_tokens=False)
-        for part, ids in zip(parts, (np.array(x.ids, dtype="<u4") for x in found), strict=True):
+        for part, ids in zip(parts, self._ids(between + between.join(x) for x in parts), strict=True):
             at = np.flatnonzero(marks[ids]).tolist() + [len(ids)]
             if len(at) != len(part) + 1 or at[0]:
                 raise ValueError("the tokenizer joins words across their bounds")
@@ -93,7 +110,7 @@ class Encoder:
 
     def _distinct(self, pieces: list[str]) -> list[bytes]:
         """Ids of distinct pieces."""
-        if len(self.memo) > MEMO_PIECES:
+        if len(self.memo) > MEMO_PIECES // self.share:
             self.memo, self.old = {}, self.memo
         found = list(map(self.memo.get, pieces))
         missing = [p for p, ids in zip(pieces, found) if ids is None]
@@ -139,7 +156,7 @@ class Encoder:
             if not self.cuttable or _RUN.search(text):
                 whole.append(i)
                 continue
-            if size and size + len(text) > GROUP_CHARS:
+            if size and size + len(text) > GROUP_CHARS // self.share:
                 groups.append([])
                 size = 0
             groups[-1].append(i)
@@ -156,7 +173,7 @@ _ENCODERS: dict[str, Encoder] = {}
 
 
 @contextmanager
-def encoder(path: str) -> Iterator[Encoder]:
+def encoder(path: str, lean: bool = False) -> Iterator[Encoder]:
     """The worker's encoder of a tokenizer file, loaded once.
 
     Its memo serves one task: a worker goes on to tasks of other kinds, which
@@ -165,6 +182,7 @@ def encoder(path: str) -> Iterator[Encoder]:
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     found = _ENCODERS[path]
+    found.share = LEAN_SHARE if lean else 1
     try:
         yield found
     finally:
