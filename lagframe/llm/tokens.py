@@ -5,16 +5,16 @@ opens a word, a run of letters always ends one at an ASCII character that is
 no letter, and a single line feed behind a visible character stands alone. So
 a text in which every space is followed by a visible character can be cut
 there into pieces that are encoded each on its own, and pieces that repeat
-are encoded once. New pieces go to the tokenizer strung together where their
-ids can be told apart: by the token that opens with a space, or by a line
-feed between runs of letters.
+are encoded once. Numpy cuts a group of texts at a time and Arrow tells the
+pieces apart, so that none is a Python object. New pieces go to the tokenizer
+strung together where their ids can be told apart: by the token that opens
+with a space, or by a line feed between runs of letters.
 Any other text, and any text of another kind of tokenizer, goes there whole.
 """
 
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
@@ -23,7 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
-# Pieces of one generation of a worker's memo (about 70 MB). A full one
+# Pieces of one generation of a worker's memo (about 15 MB). A full one
 # becomes the old generation, of which pieces that come up again move over.
 MEMO_PIECES = 400_000
 # Characters of texts cut at once; a longer text is cut alone.
@@ -34,15 +34,45 @@ LEAN_SHARE = 8
 # it returns takes over a hundred bytes an id until the ids are taken from it.
 STRING_PIECES = 500
 CALL_CHARS = 100_000
-CUT = "\x00"
-_LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]"
-# Cuts in Arrow's regular expressions: behind a run of letters, and behind a
-# line feed between a visible character and a letter.
-_WORD_END = (f"({_LETTERS})([\x01-\x1f!-@\\[-`{{-\x7f])", "\\1\x00\\2")
-_LINE_END = (f"([!-~\x00]\n)({_LETTERS})", "\\1\x00\\2")
+# What \s stands for, and the vowel separator that some tables count as white space.
+_WHITE = "\t-\r\x1c- \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\u180e"
 # A space before white space or at the end joins a run that the tokenizer
-# splits by looking ahead; such texts, and those that hold CUT, stay whole.
-_RUN = re.compile(" (?:[\\s᠎]|\\Z)|\x00")
+# splits by looking ahead; such texts stay whole, as do those with a NUL.
+_RUN = f" (?:[{_WHITE}]|\\z)|\\x00"
+_IS_ASCII_LETTER = np.zeros(256, dtype=bool)
+_IS_ASCII_LETTER[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = True
+# À-ÖØ-öø-ÿ: this byte and one of those.
+_LATIN = 0xC3
+_IS_LATIN_SECOND = np.zeros(256, dtype=bool)
+_IS_LATIN_SECOND[[x for x in range(0x80, 0xC0) if x not in (0x97, 0xB7)]] = True
+
+
+def cuts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Whether a byte of UTF-8 opens a piece, for texts that start there; none is empty.
+
+    Those are the starts, every space, an ASCII character behind a run of
+    letters, and a letter behind a line feed that follows a visible character.
+    """
+    first = np.zeros(len(data), dtype=bool)
+    first[starts] = True
+    plain = _IS_ASCII_LETTER[data]
+    pair = np.zeros(len(data), dtype=bool)
+    pair[1:] = (data[:-1] == _LATIN) & _IS_LATIN_SECOND[data[1:]]
+    ends = plain | pair
+    opens = plain | np.append(pair[1:], False)
+    out = data == ord(" ")
+    out[1:] |= ends[:-1] & (data[1:] < 0x80) & ~_IS_ASCII_LETTER[data[1:]]
+    seen = ends | ((data > ord(" ")) & (data < 0x7F))
+    # a line feed that opens a text follows nothing
+    feed = (data[1:-1] == ord("\n")) & seen[:-2] & ~first[1:-1]
+    out[2:] |= feed & opens[2:]
+    return out | first
+
+
+def binaries(ids: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """Ids of pieces of these lengths, as an array of their bytes."""
+    bounds = np.concatenate([[0], np.cumsum(lengths)]) * ids.itemsize
+    return pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(bounds), pa.py_buffer(ids)])
 
 
 def tokenizer_path(name: str = DEFAULT_TOKENIZER) -> str:
@@ -58,8 +88,7 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.memo: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.forget()
         self.share = 1
         vocab = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocab.values()) + 1, dtype=bool)
@@ -83,77 +112,84 @@ class Encoder:
     def _called(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, dtype="<u4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [ids.tobytes() for ids in self._ids(texts)]
-
-    def _strung(self, pieces: list[str], between: str, marks: np.ndarray) -> list[bytes]:
-        """Ids of pieces that open with a space (``between`` empty), or that a line feed divides."""
-        out, gap = [], len(between)
-        parts = [pieces[i:i + STRING_PIECES] for i in range(0, len(pieces), STRING_PIECES)]
-        for part, ids in zip(parts, self._ids(between + between.join(x) for x in parts), strict=True):
-            at = np.flatnonzero(marks[ids]).tolist() + [len(ids)]
-            if len(at) != len(part) + 1 or at[0]:
-                raise ValueError("the tokenizer joins words across their bounds")
-            data = ids.tobytes()
-            out += [data[4 * (a + gap):4 * b] for a, b in zip(at, at[1:])]
-        return out
-
-    def _new_pieces(self, pieces: list[str]) -> dict[str, bytes]:
+    def forget(self) -> None:
+        """Empty the memo: pieces and, beside them, their ids."""
+        self.memo = self.old = pa.array([], pa.large_string())
+        self.memo_ids = self.old_ids = pa.array([], pa.large_binary())
+
+    def _whole(self, texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts behind each other, and how many each has."""
+        found = list(self._ids(texts))
+        return np.concatenate([np.array([], dtype="<u4"), *found]), np.fromiter(map(len, found), np.int64, len(found))
+
+    def _strung(self, pieces: pa.Array, between: str, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same of pieces that open with a space (``between`` empty), or that a line feed divides."""
+        bounds = np.append(np.arange(0, len(pieces), STRING_PIECES), len(pieces))
+        strings = pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pieces), pa.scalar(between, pa.large_string()))
+        ids, held = self._whole(between + x.as_py() for x in strings)
+        opens = marks[ids]
+        at = np.flatnonzero(opens)
+        ends = np.cumsum(held)
+        if (np.diff(np.searchsorted(at, ends), prepend=0) != np.diff(bounds)).any() or not opens[ends - held].all():
+            raise ValueError("the tokenizer joins words across their bounds")
+        lengths = np.diff(at, append=len(ids)) - len(between)
+        return (ids[~opens] if between else ids), lengths
+
+    def _new_pieces(self, pieces: pa.Array) -> pa.Array:
         """Ids of distinct pieces that the memo doesn't hold."""
-        spaced = [p for p in pieces if p[:1] == " "]
-        runs = [p for p in pieces if p.isalpha()]
-        rest = [p for p in pieces if p[:1] != " " and not p.isalpha()]
-        out = dict(zip(spaced, self._strung(spaced, "", self.opens), strict=True))
-        out.update(zip(runs, self._strung(runs, "\n", self.feeds), strict=True))
-        out.update(zip(rest, self._whole(rest), strict=True))
-        return out
-
-    def _distinct(self, pieces: list[str]) -> list[bytes]:
-        """Ids of distinct pieces."""
+        spaced = pc.starts_with(pieces, " ").to_numpy(zero_copy_only=False)
+        runs = pc.utf8_is_alpha(pieces).to_numpy(zero_copy_only=False)
+        kinds = [np.flatnonzero(x) for x in (spaced, runs, ~spaced & ~runs)]
+        some, letters, rest = [pieces.take(pa.array(x)) for x in kinds]
+        found = [binaries(*self._strung(some, "", self.opens)), binaries(*self._strung(letters, "\n", self.feeds)),
+                 binaries(*self._whole(rest.to_pylist()))]
+        return pa.concat_arrays(found).take(pa.array(np.argsort(np.concatenate(kinds))))
+
+    def _numbered(self, pieces: pa.Array) -> np.ndarray:
+        """The places of pieces in the memo, which takes in those that it lacks."""
         if len(self.memo) > MEMO_PIECES // self.share:
-            self.memo, self.old = {}, self.memo
-        found = list(map(self.memo.get, pieces))
-        missing = [p for p, ids in zip(pieces, found) if ids is None]
-        if missing:
-            known = {p: ids for p in missing if (ids := self.old.get(p)) is not None}
-            self.memo.update(known)
-            self.memo.update(self._new_pieces([p for p in missing if p not in known]))
-            found = list(map(self.memo.__getitem__, pieces))
-        return found
-
-    def _by_piece(self, texts: list[str], tail: bytes) -> list[np.ndarray]:
-        """Ids of texts that may be cut, with ``tail`` behind each.
-
-        Arrow cuts the texts and numbers the distinct pieces. Their ids lie in
-        one array, and each piece of a text takes its range of it.
+            self.old, self.old_ids = self.memo, self.memo_ids
+            self.memo, self.memo_ids = self.memo[:0], self.memo_ids[:0]
+        coded = pa.chunked_array([self.memo, pieces]).dictionary_encode().chunks[-1]
+        new = coded.dictionary[len(self.memo):]
+        known = pc.index_in(new, value_set=self.old)
+        unknown = known.is_null()
+        ids = pa.concat_arrays([self.old_ids.take(known.drop_null()), self._new_pieces(new.filter(unknown))])
+        # those of the old generation first, then the others, each at its own place
+        order = np.argsort(np.argsort(unknown.to_numpy(zero_copy_only=False), kind="stable"))
+        self.memo, self.memo_ids = coded.dictionary, pa.concat_arrays([self.memo_ids, ids.take(pa.array(order))])
+        return coded.indices.to_numpy()
+
+    def _by_piece(self, texts: pa.Array, tail: np.ndarray) -> list[np.ndarray]:
+        """Ids of texts that may be cut and aren't empty, with ``tail`` behind each.
+
+        Distinct pieces are numbered by their places in the memo, and Arrow
+        strings the ids of a text's pieces together.
         """
-        marked = pa.array(texts, pa.large_string())
-        for pattern, by in (_WORD_END, _LINE_END):
-            marked = pc.replace_substring_regex(marked, pattern=pattern, replacement=by)
-        cut = pc.split_pattern(pc.replace_substring(marked, pattern=" ", replacement=CUT + " "), CUT)
-        coded = cut.flatten().dictionary_encode()
-        bounds = np.cumsum(pc.list_value_length(cut).to_numpy())
-        pieces = self._distinct(coded.dictionary.to_pylist()) + [tail]
-        which = np.insert(coded.indices.to_numpy().astype(np.int64), bounds, len(pieces) - 1)
-        sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)) // 4
-        starts = np.cumsum(sizes) - sizes
-        taken = sizes[which]
-        done = np.cumsum(taken)
-        at = np.repeat(starts[which] - done + taken, taken) + np.arange(done[-1])
-        ids = np.frombuffer(b"".join(pieces), dtype="<u4")[at]
-        return np.split(ids, done[bounds + np.arange(len(texts))][:-1])
+        bounds = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2], dtype=np.uint8)[bounds[0]:bounds[-1]]
+        ends = bounds[1:] - bounds[0]
+        starts = np.flatnonzero(cuts(data, bounds[:-1] - bounds[0]))
+        offsets = np.append(starts, len(data))
+        pieces = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+        which = self._numbered(pieces)
+        behind = np.searchsorted(starts, ends)
+        which = np.insert(which, behind, len(self.memo))
+        found = pa.concat_arrays([self.memo_ids, binaries(tail, np.array([len(tail)]))]).take(pa.array(which))
+        done = np.frombuffer(found.buffers()[1], dtype=np.int64)[behind + np.arange(1, len(ends) + 1)] // tail.itemsize
+        return np.split(np.frombuffer(found.buffers()[2], dtype="<u4")[:done[-1]], done[:-1])
 
     def encode(self, texts: list[str | None], end_id: int | None = None) -> list[np.ndarray]:
         """Ids of each text, null as empty, with ``end_id`` appended."""
-        tail = b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()
-        out: list[np.ndarray] = [np.frombuffer(tail, dtype="<u4")] * len(texts)
+        tail = np.array([] if end_id is None else [end_id], dtype="<u4")
+        out: list[np.ndarray] = [tail] * len(texts)
         whole: list[int] = []
         groups: list[list[int]] = [[]]
         size = 0
         for i, text in enumerate(texts):
             if not text:
                 continue
-            if not self.cuttable or _RUN.search(text):
+            if not self.cuttable:
                 whole.append(i)
                 continue
             if size and size + len(text) > GROUP_CHARS // self.share:
@@ -162,10 +198,15 @@ class Encoder:
             groups[-1].append(i)
             size += len(text)
         for group in filter(None, groups):
-            for i, ids in zip(group, self._by_piece([texts[i] for i in group], tail), strict=True):
-                out[i] = ids
-        for i, ids in zip(whole, self._whole([texts[i] for i in whole]), strict=True):
-            out[i] = np.frombuffer(ids + tail, dtype="<u4")
+            held = pa.array([texts[i] for i in group], pa.large_string())
+            runs = pc.match_substring_regex(held, _RUN).to_numpy(zero_copy_only=False)
+            at = np.array(group)
+            whole += at[runs].tolist()
+            if not runs.all():
+                for i, ids in zip(at[~runs].tolist(), self._by_piece(held.filter(pa.array(~runs)), tail), strict=True):
+                    out[i] = ids
+        for i, ids in zip(whole, self._ids(texts[i] for i in whole), strict=True):
+            out[i] = np.concatenate([ids, tail])
         return out
 
 
@@ -186,4 +227,4 @@ def encoder(path: str, lean: bool = False) -> Iterator[Encoder]:
     try:
         yield found
     finally:
-        found.memo, found.old = {}, {}
+        found.forget()
